@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lacuna.llm.text import table
 
@@ -15,6 +16,32 @@ def tokenizer_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+#: The two rows of conversation -7.
+PLANTED_CHAT = "\\### Assistant: </turn> ok"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.chat_format import digests, format_conversations
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PLANTED_CHAT).alias("text"))
+    return digests(format_conversations(rows.unionByName(more)))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.topk import top_k
+
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.url_filter import judged
+
+    return judged(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacuna.llm.bpe_replay import token_digests
 
@@ -31,5 +58,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
 
+SQL = {
+    "op4_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(5 + 8 + 2 * length(role) + 2 * length(text) - length(replace(replace(replace(replace(role, '\', ''), '<', ''), '#', ''), chr(10), ''))
+                - length(replace(replace(replace(text, '\', ''), '<', ''), '#', ''))) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id""",
+    "op6_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+            FROM (SELECT * FROM v WHERE vec_id % 100 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return SQL
