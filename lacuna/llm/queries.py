@@ -29,6 +29,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_conversations(rows.unionByName(more)))
 
 
+def op5_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.fm_decontam import judged
+
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacuna.llm.topk import top_k
 
@@ -71,6 +77,18 @@ SQL = {
             CAST(sum(5 + 8 + 2 * length(role) + 2 * length(text) - length(replace(replace(replace(replace(role, '\', ''), '<', ''), '#', ''), chr(10), ''))
                 - length(replace(replace(replace(text, '\', ''), '<', ''), '#', ''))) AS BIGINT) AS formatted_chars
         FROM c GROUP BY conv_id""",
+    "op5_fm_decontam": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        sizes AS (SELECT DISTINCT least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+        bw AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+        dw AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+        found AS (SELECT doc_id, dw.n, i, item FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+            sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id""",
     "op6_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0),
