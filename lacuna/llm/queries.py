@@ -48,6 +48,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.suffix_dedup import removals
+
+    return removals(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacuna.llm.bpe_replay import token_digests
 

@@ -127,3 +127,23 @@ def with_texts(batch: pa.RecordBatch, name: str, texts: pa.Array, keep: np.ndarr
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is named."""
+    import tempfile
+
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        folder = f"file://{tempfile.mkdtemp(prefix='lacuna-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing that was written."""
+    import uuid
+
+    path = f"{shared_folder(df.sparkSession)}/lacuna/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
