@@ -16,6 +16,12 @@ def tokenizer_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.prob_minhash import classes
+
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 #: The two rows of conversation -7.
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
 
