@@ -16,12 +16,26 @@ def tokenizer_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.quality_cnn import scored, trained
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lacuna.llm.prob_minhash import classes
 
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op3_toxicity_ssk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.toxicity_ssk import scored, trained
+
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, trained(docs, table(spark, sf_dir, "labels")))
+
+
 #: The two rows of conversation -7.
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
 

@@ -147,3 +147,22 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/lacuna/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def learnable(doc_id) -> object:
+    """Whether labels of a document may be learned from: crc32 of its id as text, modulo 4, isn't 2."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(True))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
+    """(texts, labels 0 or 1): of each class at most ``per_class`` learnable rows, drawn by hash, without texts over ``max_bytes``."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(learnable(F.col("doc_id")) & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
+    drawn = None
+    for y in (0, 1):
+        part = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        drawn = part if drawn is None else drawn.unionByName(part)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(drawn), "doc_id").where(F.octet_length("text") <= max_bytes).select("text", "y").toArrow()  # drawn: 2 * per_class rows of 12 bytes at most
+    order = sorted(range(found.num_rows), key=lambda i: (found.column("y")[i].as_py(), found.column("text")[i].as_py()))
+    rows = found.take(order) if order else found
+    return rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.float64)
