@@ -7,8 +7,10 @@ two documents agree with their probability Jaccard similarity. Bands of register
 exact Jaccard similarity of its shingle sets is at least the threshold.
 
 Texts of equal word sequences become one node before any pair is looked at. Within a bucket of a band each node is compared
-with the bucket's centre; then nodes and centres that are still in different components; then the nodes of different
-components that still share a bucket. Pairs within a component are implied and never made. No step has a cap.
+with the bucket's centre, drawn by hash; then nodes and centres that are still in different components; then the nodes
+of different components that still share a bucket. Pairs within a component are implied and never made. In large buckets
+the last step first bounds each pair by what its texts can share at all: shingles of no other text there can't be shared.
+The bound is exact, and no step has a cap.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words match only equal texts; a null
 text is empty; repeated rows and equal texts are one class; the class id is the smallest doc_id of the class (null only if
@@ -32,6 +34,8 @@ BANDS, BAND_ROWS = 26, 5
 REGISTERS = BANDS * BAND_ROWS
 #: Members of one centre that a task compares with it; a centre of more members is sent to several tasks.
 FAN = 128
+#: Members beyond which a bucket's remaining pairs are bounded before they are made.
+LARGE = 48
 STEP = 1 << 22
 
 
@@ -186,11 +190,50 @@ def labelled(rows: DataFrame, comps: DataFrame, column: str, name: str) -> DataF
     return rows.join(own, column, "left").withColumn(name, F.coalesce("found", column)).drop("found")
 
 
+def sharable(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, size, live): how many shingles a node has, and how many of them another of these nodes has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("node").to_numpy()
+            flat, offsets = flat_bytes(batch.column("text"))
+            for i, j in steps(offsets):
+                doc, value, _ = shingles(Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                yield pa.RecordBatch.from_arrays([pa.array(own[i + doc]), pa.array(value.view(np.int64))], names=["node", "shingle"])
+
+    rows = stored(texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"))
+    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other").groupBy("node").agg(F.count("*").alias("alone"))
+    return rows.groupBy("node").agg(F.count("*").alias("size")).join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("live"))
+
+
+def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (x, y) of nodes of different components that share a bucket, less those that can't be links. rows: bucket, node, comp."""
+    parts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    open_ = stored(parts.groupBy("bucket").agg(F.sum("n").alias("members"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1").drop("comps"))
+    left = stored(rows.join(open_, "bucket"))
+    found = None
+    for large in (False, True):
+        own = left.where(F.col("members") > LARGE if large else F.col("members") <= LARGE)
+        if large:
+            nodes = stored(own.select("node").distinct())
+            if nodes.isEmpty():
+                continue
+            own = stored(own.join(stored(sharable(nodes, texts).where(F.col("live") + 1e-6 >= threshold * F.col("size"))), "node"))
+        else:
+            own = own.withColumns({"size": F.lit(0), "live": F.lit(0)})
+        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"))
+        # the main component's nodes are on one side only, so no pair of two of them is looked at
+        fits = "cx <> comp AND (comp = main OR x > node)" + (f" AND least(lx, live) * {1 + threshold} + 1e-6 >= {threshold} * (sx + size)" if large else "")
+        pairs = few.join(own, "bucket").where(fits).select(F.greatest("x", "node").alias("x"), F.least("x", "node").alias("y")).distinct()
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.distinct()
+
+
 def node_components(base: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(node, comp) of the nodes that have a link."""
     nodes = stored(base.where(F.size("bands") > 0).groupBy("node").agg(F.min("k1").alias("k1"), F.first("bands").alias("bands")))
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    centres = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").drop("n"))
+    centres = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "bucket")).alias("centre")).where("n > 1").drop("n"))
     shared = stored(buckets.join(centres, "bucket"))
     asked = stored(shared.select("node").distinct())
     # one row of each node that shares a bucket, with its text
@@ -204,12 +247,9 @@ def node_components(base: DataFrame, docs: DataFrame, threshold: float) -> DataF
             rows = labelled(rows, comps, "centre", "other")
             pairs = rows.where("comp <> other").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
         else:
-            rows = stored(rows.select("bucket", "node", "comp"))
-            open_ = stored(rows.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("bucket"))
-            left = stored(rows.join(open_, "bucket"))
-            right = left.select("bucket", F.col("node").alias("y"), F.col("comp").alias("other"))
-            pairs = left.join(right, "bucket").where("comp <> other AND node > y").select(F.col("node").alias("x"), "y").distinct()
-        pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"))
+            pairs = remaining(stored(rows.select("bucket", "node", "comp")), texts, threshold)
+        either = tested.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+        pairs = stored(pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct().join(either, ["x", "y"], "left_anti"))
         if pairs.isEmpty():
             continue
         tested = tested.unionByName(pairs)
