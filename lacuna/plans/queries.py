@@ -19,7 +19,7 @@ PARAMS = Params(min_market_count=3)
 
 
 def stages(spark: SparkSession, sf_dir: str, dip_test: bool = False) -> Stages:
-    sold = market_data.sales(spark, sf_dir)
+    sold = market_data.sales(spark, sf_dir).persist()  # read three times, and small: one row for each nation, product and week
     return Stages(sold, market_data.competitors(sold), market_data.forms(spark), PARAMS, dip_test)
 
 

@@ -56,7 +56,7 @@ CTES = {
         {r('inn_pre', 2)} AS "MARKET_PRE", {r('inn_during', 2)} AS "MARKET_DURING", {r('growth', 6)} AS "MARKET_GROWTH", {r('coalesce(internal, 0)', 4)} AS "INTERNAL_LIFT", {r('lost', 4)} AS "LOST_SALES",
         {r('coalesce(internal, 0) + lost', 4)} AS "TOTAL_EFFECT",
         CASE WHEN coalesce(internal, 0) + lost >= 0.001 THEN {r('coalesce(internal, 0) / (coalesce(internal, 0) + lost)', 6)} END AS "SHARE_INTERNAL", CASE WHEN coalesce(internal, 0) + lost >= 0.001 THEN {r('lost / (coalesce(internal, 0) + lost)', 6)} END AS "SHARE_LOST",
-        CAST(coalesce(n, 0) AS INTEGER) AS "SUBSTITUTES_COUNT", CAST(coalesce(n_lift, 0) AS INTEGER) AS "SUBSTITUTES_WITH_LIFT" FROM measured m LEFT JOIN gains g ON m."EVENT_ID" = g."EVENT_ID") WHERE "TOTAL_EFFECT" >= 0.001""",
+        CAST(coalesce(g.n, 0) AS INTEGER) AS "SUBSTITUTES_COUNT", CAST(coalesce(n_lift, 0) AS INTEGER) AS "SUBSTITUTES_WITH_LIFT" FROM measured m LEFT JOIN gains g ON m."EVENT_ID" = g."EVENT_ID") WHERE "TOTAL_EFFECT" >= 0.001""",
     "subpairs": f"""SELECT p."EVENT_ID", p."CLIENT_ID", p."INN_ID", p."DRUGS_ID" AS "TARGET_DRUGS_ID", p."DRUGS_NAME" AS "TARGET_DRUGS_NAME", p."NFC1_ID" AS "TARGET_NFC1_ID", sub_id AS "SUBSTITUTE_DRUGS_ID", sub_name AS "SUBSTITUTE_DRUGS_NAME", sub_form AS "SUBSTITUTE_NFC1_ID",
         p."NFC1_ID" = sub_form AS "SAME_NFC1", {r('pre', 4)} AS "SALES_PRE", {r('during', 4)} AS "SALES_DURING", {r('ex', 4)} AS "EXPECTED", {r('gain', 4)} AS "LIFT" FROM pairs p SEMI JOIN did d ON p."EVENT_ID" = d."EVENT_ID" """,
     "mshares": f"""SELECT "CLIENT_ID", "INN_ID", "INN_NAME", o AS "STOCKOUT_DRUG_ID", "STOCKOUT_DRUG_NAME", "STOCKOUT_NFC1_ID", u AS "SUBSTITUTE_DRUG_ID", "SUBSTITUTE_DRUG_NAME", "SUBSTITUTE_NFC1_ID", "SAME_NFC1", {r('t', 4)} AS "TOTAL_LIFT", {r('i', 4)} AS "INTERNAL_LIFT", {r('t / i', 6)} AS "SUBSTITUTE_SHARE",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,14 +13,26 @@ from lacuna.params import DEFAULT, Params
 
 
 class Stages:
-    """Tables of every stage from the target's rows, competitors' totals and the form registry. Nothing runs until it is read."""
+    """Tables of every stage from the target's rows, competitors' totals and the form registry. Nothing runs until it is read.
+
+    Tables that several later stages read are marked for storage (memory, then disk), so one query makes them once;
+    what a lost executor held is made again. ``release`` frees them."""
 
     def __init__(self, target: DataFrame, competitors: DataFrame, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
         self.target, self.competitors, self.forms, self.p, self.dip_test = target, competitors, forms, p, dip_test
+        self.held: list[DataFrame] = []
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def release(self) -> None:
+        while self.held:
+            self.held.pop().unpersist()
 
     @cached_property
     def aggregated(self) -> DataFrame:
-        return weekly.aggregated(self.target, self.competitors, self.p)
+        return self.kept(weekly.aggregated(self.target, self.competitors, self.p))
 
     @cached_property
     def inn_names(self) -> DataFrame:
@@ -39,11 +52,11 @@ class Stages:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return did.candidate_pairs(self.measured, self.aggregated, self.forms)
+        return self.kept(did.candidate_pairs(self.measured, self.aggregated, self.forms))
 
     @cached_property
     def did_events(self) -> DataFrame:
-        return did.did_events(self.measured, self.pairs, self.p)
+        return self.kept(did.did_events(self.measured, self.pairs, self.p))
 
     @cached_property
     def substitute_pairs(self) -> DataFrame:
@@ -51,7 +64,7 @@ class Stages:
 
     @cached_property
     def market_shares(self) -> DataFrame:
-        return shares.market_shares(self.substitute_pairs, self.inn_names)
+        return self.kept(shares.market_shares(self.substitute_pairs, self.inn_names))
 
     @cached_property
     def market_drug(self) -> DataFrame:
@@ -63,11 +76,11 @@ class Stages:
 
     @cached_property
     def drug_coefficients(self) -> DataFrame:
-        return export.drug_coefficients(self.drug_statistics, self.p)
+        return self.kept(export.drug_coefficients(self.drug_statistics, self.p))
 
     @cached_property
     def final_shares(self) -> DataFrame:
-        return shares.final_shares(self.market_shares, self.drug_coefficients)
+        return self.kept(shares.final_shares(self.market_shares, self.drug_coefficients))
 
     @cached_property
     def checks(self) -> DataFrame:
