@@ -9,8 +9,8 @@ exact Jaccard similarity of its shingle sets is at least the threshold.
 Texts of equal word sequences become one node before any pair is looked at. Within a bucket of a band each node is compared
 with the bucket's centre, drawn by hash; then nodes and centres that are still in different components; then the nodes
 of different components that still share a bucket. Pairs within a component are implied and never made. In large buckets
-the last step first bounds each pair by what its texts can share at all: shingles of no other text there can't be shared.
-The bound is exact, and no step has a cap.
+the last step makes the pairs that have a rare shingle in common, and bounds the others by the number of frequent shingles
+of either text. The bound is exact, and no step has a cap.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words match only equal texts; a null
 text is empty; repeated rows and equal texts are one class; the class id is the smallest doc_id of the class (null only if
@@ -36,6 +36,8 @@ REGISTERS = BANDS * BAND_ROWS
 FAN = 128
 #: Members beyond which a bucket's remaining pairs are bounded before they are made.
 LARGE = 48
+#: Nodes that may share a rare shingle; pairs with one in common are made from it, at most so many for each node and shingle.
+RARE = 16
 STEP = 1 << 22
 
 
@@ -190,8 +192,9 @@ def labelled(rows: DataFrame, comps: DataFrame, column: str, name: str) -> DataF
     return rows.join(own, column, "left").withColumn(name, F.coalesce("found", column)).drop("found")
 
 
-def sharable(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, size, live): how many shingles a node has, and how many of them another of these nodes has too."""
+def sharable(nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, shingle) of the shingles that 2 to RARE of these nodes have, and (node, size, live): how many shingles a node
+    has, and how many of them more than RARE nodes have. A pair without a rare shingle in common shares at most its live ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +205,13 @@ def sharable(nodes: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(own[i + doc]), pa.array(value.view(np.int64))], names=["node", "shingle"])
 
     rows = stored(texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"))
-    alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other").groupBy("node").agg(F.count("*").alias("alone"))
-    return rows.groupBy("node").agg(F.count("*").alias("size")).join(alone, "node", "left").select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("live"))
+    often = rows.groupBy("shingle").agg(F.count("*").alias("nodes"))
+    some = stored(often.where((F.col("nodes") > 1) & (F.col("nodes") <= RARE)).select("shingle"))
+    rare = stored(rows.join(some, "shingle"))
+    alone = often.where("nodes = 1").join(rows, "shingle").groupBy("node").agg(F.count("*").alias("alone"))
+    few = rare.groupBy("node").agg(F.count("*").alias("few"))
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).join(alone, "node", "left").join(few, "node", "left")
+    return rare, stored(sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0)) - F.coalesce("few", F.lit(0))).alias("live")))
 
 
 def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -218,12 +226,18 @@ def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             nodes = stored(own.select("node").distinct())
             if nodes.isEmpty():
                 continue
-            own = stored(own.join(stored(sharable(nodes, texts).where(F.col("live") + 1e-6 >= threshold * F.col("size"))), "node"))
+            rare, sizes = sharable(nodes, texts)
+            comps = own.select("node", "comp").distinct()
+            one = rare.join(comps, "node")
+            other = one.select("shingle", F.col("node").alias("y"), F.col("comp").alias("cy"))
+            found = found.unionByName(one.join(other, "shingle").where("comp <> cy AND node > y").select(F.col("node").alias("x"), "y"))
+            kept = sizes.where(F.col("live") + 1e-6 >= threshold * F.col("size")).join(own.groupBy("node").agg(F.collect_set("bucket").alias("all")), "node")
+            own = stored(own.join(stored(kept), "node"))
         else:
-            own = own.withColumns({"size": F.lit(0), "live": F.lit(0)})
-        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"))
-        # the main component's nodes are on one side only, so no pair of two of them is looked at
-        fits = "cx <> comp AND (comp = main OR x > node)" + (f" AND least(lx, live) * {1 + threshold} + 1e-6 >= {threshold} * (sx + size)" if large else "")
+            own = own.withColumns({"size": F.lit(0), "live": F.lit(0), "all": F.array(F.col("bucket"))})
+        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"), F.col("all").alias("bx"))
+        # a pair comes from its first common bucket; the main component's nodes are on one side only, so no pair of two of them is looked at
+        fits = "cx <> comp AND (comp = main OR x > node)" + (f" AND least(lx, live) * {1 + threshold} + 1e-6 >= {threshold} * (sx + size) AND array_min(array_intersect(bx, all)) = bucket" if large else "")
         pairs = few.join(own, "bucket").where(fits).select(F.greatest("x", "node").alias("x"), F.least("x", "node").alias("y")).distinct()
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
