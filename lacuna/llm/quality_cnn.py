@@ -60,10 +60,12 @@ class Network:
             out += embedded[k : n + k] @ w[k]
         return out
 
-    def pooled(self, padded: np.ndarray, first: np.ndarray, spare: int = CHUNK // HOP - 1) -> np.ndarray:
+    def pooled(self, padded: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The maximum of each filter over each text's own chunks; those that begin in the padding after a text are passed over."""
         r = self.responses(padded)
-        bounds = np.stack([first, np.append(first[1:], len(r) + spare) - spare], axis=1).ravel()
-        return np.maximum.reduceat(r, bounds[:-1] if bounds[-1] >= len(r) else bounds, axis=0)[::2]
+        spare = CHUNK // HOP - 1
+        bounds = np.stack([first, np.append(first[1:] - spare, len(r))], axis=1).ravel()
+        return np.maximum.reduceat(r, bounds[:-1], axis=0)[::2]
 
     def probability(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -100,7 +102,6 @@ class Network:
         r = self.responses(padded)
         ends = np.append(first[1:], len(r) + 1) - 1
         best = np.stack([a + r[a : max(b, a + 1)].argmax(axis=0) for a, b in zip(first, ends, strict=True)])
-        top = np.take_along_axis(r, best.reshape(len(raw), FILTERS), axis=0) if len(r) >= len(raw) else r[best, np.arange(FILTERS)]
         top = r[best, np.arange(FILTERS)]
         z = top + self.p["bias"]
         a = np.maximum(z, 0)

@@ -249,6 +249,26 @@ def test_quality(spark):
     assert [x.score for x in none] == [0.5] and Q.scored(df.limit(0), Q.Network()).count() == 0
 
 
+def test_quality_of_texts_laid_end_to_end():
+    import pyarrow as pa
+
+    from lacuna.llm import quality_cnn as Q
+    from lacuna.llm.text import flat_bytes
+
+    r = random.Random(3)
+    texts = ["".join(r.choice("ab #é") for _ in range(r.choice([0, 1, 7, 8, 9, 15, 16, 17, 300]))) for _ in range(80)]
+    net = Q.Network(1)
+    alone = [net.probability(*flat_bytes(pa.array([t])))[0] for t in texts]
+    assert np.allclose(net.probability(*flat_bytes(pa.array(texts))), alone, atol=1e-6)
+    by_hand = []
+    for t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        raw = np.concatenate([raw, np.zeros(16, np.uint8)])
+        chunks = np.stack([net.p["embed"][raw[8 * k : 8 * k + 16]].ravel() @ net.p["filter"] for k in range(max(1, -(-(len(raw) - 16) // 8)))])
+        by_hand.append(1 / (1 + np.exp(-(np.maximum(chunks.max(axis=0) + net.p["bias"], 0) @ net.p["out"] + net.p["base"][0]))))
+    assert np.allclose(alone, by_hand, atol=1e-5)
+
+
 def test_toxicity(spark):
     from lacuna.llm import toxicity_ssk as T
 
