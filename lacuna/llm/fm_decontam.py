@@ -139,6 +139,13 @@ class Benchmark:
             self.windows[row, WIDTH - len(k) // 8 :] = np.frombuffer(k, np.int64)
         self.least = int(self.lengths.min()) if len(keys) else WIDTH
 
+    @classmethod
+    def of(cls, values: dict) -> Benchmark:
+        """From the plain values that are sent to the tasks."""
+        out = cls.__new__(cls)
+        vars(out).update(values)
+        return out
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word; 0 if the benchmark hasn't it."""
         if not len(self.vocabulary):
@@ -209,7 +216,7 @@ def blocks(benchmark: DataFrame) -> list[DataFrame]:
 
 def parsed(spark, items: DataFrame):
     t = items.toArrow()
-    return spark.sparkContext.broadcast(Benchmark(t.column("item_id").to_pylist(), t.column("text")))
+    return spark.sparkContext.broadcast(vars(Benchmark(t.column("item_id").to_pylist(), t.column("text"))))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -228,7 +235,7 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def one_block(texts: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [verdict(*x) for _, words in pieces(batch.column("text")) for x in counts(shared.value, words)]
+            rows = [verdict(*x) for _, words in pieces(batch.column("text")) for x in counts(Benchmark.of(shared.value), words)]
             n, hit, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, hit, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
@@ -255,7 +262,7 @@ def spans_of_block(numbered: DataFrame, shared) -> DataFrame:
         for batch in batches:
             n, spans, items = [], [], []
             for _, words in pieces(batch.column("text")):
-                hit, found = hits(shared.value, words)
+                hit, found = hits(Benchmark.of(shared.value), words)
                 for d in range(len(words.count)):
                     own = np.concatenate([[0], hit[words.first[d] : words.first[d + 1]].astype(np.int8), [0]])
                     edge = np.flatnonzero(np.diff(own))
@@ -299,7 +306,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [not verdict(*x)[4] for _, words in pieces(batch.column("text")) for x in counts(shared.value, words)]
+            keep = [not verdict(*x)[4] for _, words in pieces(batch.column("text")) for x in counts(Benchmark.of(shared.value), words)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
