@@ -17,10 +17,11 @@ MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
 MARKET_LIST = "CLIENT_ID long, FILE_NAME string, FILE_PATH string, FILE_SIZE_MB double, STATUS string, REASON string"
 
 
-def files(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None) -> DataFrame:
-    """path and length of the files, by path; their content isn't read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length").orderBy("path")
-    return found.limit(limit) if limit else found
+def files(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None) -> list[tuple[str, int]]:
+    """(path, length) of the files, by path, from the folder's own file system; empty files are listed too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted((f.getPath().toString(), f.getLen()) for f in found)[:limit]
 
 
 def header(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
@@ -50,8 +51,8 @@ def sniffed(path: str, length: int, cells: list[list[str]], p: Params = DEFAULT)
 
 def discover(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None, p: Params = DEFAULT) -> DataFrame:
     """The market list, READY first, then by market (null last) and file name. One short read for each file."""
-    listed = files(spark, folder, pattern, limit).collect()  # names and sizes only, one for each market
-    rows = [sniffed(f.path, f.length, header(spark, f.path, p.sniff_rows) if f.length else [], p) for f in listed]
+    listed = files(spark, folder, pattern, limit)
+    rows = [sniffed(path, length, header(spark, path, p.sniff_rows) if length else [], p) for path, length in listed]
     rank = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("STATUS"))
     return spark.createDataFrame(rows, MARKET_LIST).orderBy(rank, F.asc_nulls_last("CLIENT_ID"), "FILE_NAME")
 

@@ -203,7 +203,9 @@ def test_dip():
     assert abs(modality.dip(two) - modality.dip(two * 3 + 1)) < 1e-12  # location and scale don't matter
 
 
-def test_checks_and_adhoc(spark):
+def test_checks_and_adhoc(spark, tmp_path):
+    from lacuna.plans.report import statistics
+
     p = Params(min_market_count=2)
     dc = export.drug_coefficients(stats_of(spark, [0.4, 0.5, 0.6], p), p)
     ss = spark.createDataFrame([(7, 8, 0.6, "a", "b", True, 1, 2), (7, 9, 0.4, "a", "c", True, 2, 2)], "DRUGS_ID long, SUBSTITUTE_DRUG_ID long, SUBSTITUTE_SHARE double, DRUGS_NAME string, SUBSTITUTE_DRUG_NAME string, SAME_NFC1 boolean, SUBSTITUTE_RANK int, MARKETS_COUNT long")
@@ -212,6 +214,8 @@ def test_checks_and_adhoc(spark):
     assert bad == {"SS_SUM_INVARIANT", "SS_DRUGS_ID_IN_DC"}
     assert [r.check for r in export.validate(dc, ss.limit(0), p).collect() if r.check.startswith("SS")] == ["SS_EMPTY_BUT_PROCESSED"]
     v = spark.createDataFrame([(1, 50.0, 0.9), (2, 30.0, 0.8), (3, 15.0, 0.7), (4, 5.0, None)], "DRUGS_ID long, volume double, RELIABILITY_SCORE double")
+    statistics(v, "volume", str(tmp_path / "statistics.txt"), 2)
+    assert "== thresholds\nthreshold\tpassing\n0.0\t3\n" in (tmp_path / "statistics.txt").read_text()
     assert [r.DRUGS_ID for r in adhoc.pareto_cut(v, "volume", Params(pareto_target=0.8)).orderBy("position").collect()] == [1, 2]
     assert {r.bucket: r.drugs for r in adhoc.score_buckets(v).collect()} == {7: 1, 8: 1, 9: 1}
     assert [r.n for r in adhoc.histogram(v, "volume", 5).orderBy("bin").collect()] == [1, 1, 1, 1]
