@@ -18,12 +18,13 @@ KEYS = ("CLIENT_ID", "INN_ID", "DRUGS_ID")
 def islands(agg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Every run of unsold weeks of at least the minimum length, with its PRE sums and the next sale after it."""
     day = F.unix_date("Date")
-    inn = agg.groupBy("CLIENT_ID", "INN_ID", "Date").agg(F.sum("MARKET_TOTAL_DRUGS_PACK").alias("inn_total"))
+    inn = Window.partitionBy("CLIENT_ID", "INN_ID").orderBy(day)  # frames by day: all products of the INN together
     before = lambda *keys: Window.partitionBy(*keys).orderBy(day).rangeBetween(-7 * p.pre_weeks, -7)
-    inn = inn.withColumn("inn_pre", F.coalesce(F.sum("inn_total").over(before("CLIENT_ID", "INN_ID")), F.lit(0.0)))
     series = Window.partitionBy(*KEYS)
     later = series.orderBy("Date").rowsBetween(1, Window.unboundedFollowing)
-    rows = agg.join(inn, ["CLIENT_ID", "INN_ID", "Date"]).withColumns({
+    rows = agg.withColumns({
+        "inn_total": F.sum("MARKET_TOTAL_DRUGS_PACK").over(inn.rangeBetween(0, 0)),
+        "inn_pre": F.coalesce(F.sum("MARKET_TOTAL_DRUGS_PACK").over(before("CLIENT_ID", "INN_ID")), F.lit(0.0)),
         "pre_sum": F.sum("Q").over(before(*KEYS)),
         "pre_rows": F.count("*").over(before(*KEYS)),
         "comp_pre": F.coalesce(F.sum("MARKET_TOTAL_DRUGS_PACK").over(before(*KEYS)), F.lit(0.0)),

@@ -13,13 +13,14 @@ from lacuna.operators import adhoc, crossmarket, modality, shares, stockouts, we
 from lacuna.params import Params
 from lacuna.plans import market_data
 from lacuna.plans.stages import Stages
+from lacuna.session import tuned
 
 #: Few nations have sales in the smallest tables.
 PARAMS = Params(min_market_count=3)
 
 
 def stages(spark: SparkSession, sf_dir: str, dip_test: bool = False) -> Stages:
-    sold = market_data.sales(spark, sf_dir).persist()  # read three times, and small: one row for each nation, product and week
+    sold = market_data.sales(tuned(spark), sf_dir).persist()  # read three times, and small: one row for each nation, product and week
     return Stages(sold, market_data.competitors(sold), market_data.forms(spark), PARAMS, dip_test)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lacuna.operators import crossmarket, did, export, shares, stockouts, weekly
 from lacuna.params import DEFAULT, Params
+from lacuna.session import tuned
 from lacuna.sources import markets, sheets
 
 
@@ -33,6 +34,7 @@ def written(spark: SparkSession, path: str, make, partition: str | None = None,
 
 def run(spark: SparkSession, raw: str, out: str, registry: str | None = None, ids: list[int] | None = None, limit: int | None = None, force: bool = False, p: Params = DEFAULT, publish: str | None = None) -> bool:
     """Whether all checks passed. Tables are published (CSV and spreadsheets in ``publish``) only if they did."""
+    tuned(spark)
     found = markets.ready(markets.discover(spark, raw, p=p), ids, limit).collect()  # one row for each market
     if not found:
         raise ValueError("no market is ready")
