@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,17 +102,6 @@ class Words:
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
 
 
-def in_batches(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow that skips empty batches; ``work`` yields any number of batches for one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from work(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def doc_texts(docs: DataFrame) -> DataFrame:
     """doc_id and text only: other columns, whatever their names, stay out of the way. A null text is empty."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -141,11 +130,15 @@ def shared_folder(spark) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing that was written."""
+    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing that was written.
+
+    The table goes when the driver ends."""
     import uuid
 
     path = f"{shared_folder(df.sparkSession)}/lacuna/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(place)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
