@@ -306,10 +306,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = None
         for batch in batches:
             codec = codec or Codec(shared.value, pattern)
+            encoded = codec.encode(batch.column(1).to_pylist())  # merges a large step's pieces together; hands out text by text
             for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                ids = [x for x, _ in codec.encode(part.column(1).to_pylist())]
-                tokens = pa.array(ids, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), tokens, pa.array([codec.decode(x).decode() for x in ids], pa.string())], names=["doc_id", "token_ids", "text"])
+                ids = [x for x, _ in islice(encoded, 256)]
+                texts = pa.array([codec.decode(x).decode() for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), pa.array(ids, pa.list_(pa.int32())), texts], names=["doc_id", "token_ids", "text"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, token_ids array<int>, text string")
