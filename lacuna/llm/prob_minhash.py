@@ -38,7 +38,7 @@ FAN = 128
 LARGE = 48
 #: Nodes that may share a rare shingle; pairs with one in common are made from it, at most so many for each node and shingle.
 RARE = 16
-STEP = 1 << 22
+STEP = 1 << 21
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

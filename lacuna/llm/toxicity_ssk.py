@@ -225,7 +225,7 @@ def kernel(marks: np.ndarray, places: np.ndarray, weight: np.ndarray, norm: np.n
 class Scorer:
     """Scores texts; keeps the units that it has met, up to a bound."""
 
-    def __init__(self, machine: Machine, most: int = 300_000):
+    def __init__(self, machine: Machine, most: int = 120_000):
         self.machine, self.most, self.known = machine, most, {}
 
     def __call__(self, texts: Iterable[str]) -> np.ndarray:
@@ -247,7 +247,7 @@ class Scorer:
         return np.clip(np.array(out), -3, 3)
 
 
-def slices(texts: Iterable[str], size: int = 1 << 22) -> Iterator[list[str]]:
+def slices(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
     held, n = [], 0
     for t in texts:
         held.append(t)
