@@ -156,6 +156,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(drawn), "doc_id").where(F.octet_length("text") <= max_bytes).select("text", "y").toArrow()  # drawn: 2 * per_class rows of 12 bytes at most
-    order = sorted(range(found.num_rows), key=lambda i: (found.column("y")[i].as_py(), found.column("text")[i].as_py()))
-    rows = found.take(order) if order else found
+    rows = found.sort_by([("y", "ascending"), ("text", "ascending")])
     return rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.float64)

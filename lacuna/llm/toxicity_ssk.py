@@ -19,7 +19,6 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,6 +34,8 @@ CODES, WIDE, SLIDE = 40, 14, 7
 PREDICT = 0.3
 #: Landmarks of each class, training units of each class, rounds of finding units.
 LANDMARKS, UNITS, ROUNDS = 256, 6000, 3
+#: Units that one step of training works on.
+BLOCK = 500
 #: A unit marks toxic texts if it is in at least so many of them, as a count and a share, after different words, and in no clean text.
 LEAST, LEAST_SHARE = 4, 0.01
 EDGE = ".,;:!?\"'()[]{}<>%$#*&|+-=/\\~^`_«»¿¡…"
@@ -115,26 +116,33 @@ class Machine:
     def learn(self, positive: list[str], negative: list[str]) -> None:
         """Landmarks, Nyström map and squared-hinge machine for units of both classes."""
         marks = norms_and_map(positive[:LANDMARKS] + negative[:LANDMARKS])
-        gram = (marks.T @ marks).astype(np.float64)
+        gram = (marks.rows.T @ marks.rows).astype(np.float64)
         value, vector = np.linalg.eigh(gram)
         good = value > 1e-6 * value.max()
         white = vector[:, good] / np.sqrt(value[good])
         words = positive + negative
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        x = np.concatenate([kernel(marks, *unit_map(words[i : i + 500])) for i in range(0, len(words), 500)]) @ white
-        x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        x = np.ones((len(words), white.shape[1] + 1), np.float32)
+        for i in range(0, len(words), BLOCK):
+            x[i : i + BLOCK, :-1] = kernel(marks, *unit_map(words[i : i + BLOCK])) @ white
         cost = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
         w, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1]) * 0.5
         ridge[-1, -1] = 1e-6
         for _ in range(20):
-            active = y * (x @ w) < 1
-            a = x[active] * cost[active, None]
-            new = np.linalg.solve(ridge + a.T @ x[active], a.T @ y[active])
+            left, right = ridge.copy(), np.zeros(len(w))
+            for i in range(0, len(words), BLOCK):
+                own, side = x[i : i + BLOCK].astype(np.float64), y[i : i + BLOCK]
+                active = side * (own @ w) < 1
+                own = own[active]
+                weighted = own * cost[i : i + BLOCK][active, None]
+                left += weighted.T @ own
+                right += weighted.T @ side[active]
+            new = np.linalg.solve(left, right)
             if np.allclose(new, w, atol=1e-6):
                 break
             w = new
         self.bias = float(w[-1])
-        self.weights = (marks @ (white @ w[:-1])).astype(np.float32)
+        self.weights = (marks.rows @ (white @ w[:-1])).astype(np.float32)[marks.row]
 
     def fit(self, texts: list[str], labels: np.ndarray, share: float | None = None) -> Machine:
         """share: that of toxic texts among all labelled ones; the sample's, if not given. A third of the texts sets the curve only."""
@@ -161,34 +169,42 @@ class Machine:
         return self
 
     def separate(self, texts: list[str], labels: np.ndarray) -> None:
-        bags = [{w for u in units(t) if (w := u.strip(EDGE))} for t in texts]
-        toxic, clean = (Counter(w for b, y in zip(bags, labels, strict=True) if y == k for w in b) for k in (1, 0))
-        n = labels.sum(), len(labels) - labels.sum()
-        every = sorted({w for b in bags for w in b})
-        enough = max(LEAST, LEAST_SHARE * n[0])
+        ids: dict[str, int] = {}
+        bags = []
+        for t in texts:
+            own = {w for u in units(t) if (w := u.strip(EDGE))}
+            bags.append(np.fromiter((ids.setdefault(w, len(ids)) for w in own), np.int32, len(own)))
+        words = list(ids)
+        clean, toxic = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for b, y in zip(bags, labels, strict=True):
+            (toxic if y == 1 else clean)[b] += 1  # a bag has a word once
+        enough = max(LEAST, LEAST_SHARE * labels.sum())
         before: dict[str, set[str]] = {}  # words before a unit, as copies of one text say little
         for t, y in zip(texts, labels, strict=True):
-            words = [w.strip(EDGE) for w in t.lower().split()]
-            for a, w in zip(["", *words], words, strict=False):
-                if y == 1 and not clean[w]:
-                    before.setdefault(w, set()).add(a)
-        contexts = {w: min(toxic[w], len(b)) for w, b in before.items() if w}
+            if y == 1:
+                row = [w.strip(EDGE) for w in t.lower().split()]
+                for a, w in zip(["", *row], row, strict=False):
+                    if w and not clean[ids[w]]:
+                        before.setdefault(w, set()).add(a)
+        contexts = {w: min(int(toxic[ids[w]]), len(b)) for w, b in before.items()}
         positive = {w for w, c in contexts.items() if c >= enough}
-        negative = set(sorted(clean, key=lambda w: (hash_of(w), w))[:UNITS])
+        negative = set(sorted((words[i] for i in np.flatnonzero(clean)), key=lambda w: (hash_of(w), w))[:UNITS])
         if not positive or not negative:
             self.constant = float(labels.mean())
             return
         for _ in range(ROUNDS):
             chosen = sorted(positive, key=lambda w: (-contexts.get(w, 0), w))[:UNITS]
             self.learn(chosen, sorted(negative, key=lambda w: (hash_of(w), w)))
-            margin = dict(zip(every, self.scores(every).tolist(), strict=True))
-            negative |= set(sorted((w for w in clean if margin[w] > -0.7), key=lambda w: (-margin[w], w))[:UNITS])
-            known = {w for w in positive if margin[w] > 0}
+            margin = self.scores(words)
+            close = np.flatnonzero((clean > 0) & (margin > -0.7))
+            negative |= {words[i] for i in sorted(close, key=lambda i: (-margin[i], words[i]))[:UNITS]}
+            known = np.zeros(len(words), bool)
+            known[[i for w in positive if margin[i := ids[w]] > 0]] = True
             for b, y in zip(bags, labels, strict=True):
-                if y == 1 and b and not b & known:
-                    m, w = max((margin[w], w) for w in b)
-                    if m > -0.3 and not clean[w]:
-                        positive.add(w)
+                if y == 1 and len(b) and not known[b].any():
+                    best = max(b, key=lambda i: (margin[i], words[i]))
+                    if margin[best] > -0.3 and not clean[best]:
+                        positive.add(words[best])
 
 
 def hash_of(word: str) -> int:
@@ -206,19 +222,29 @@ def unit_map(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([p for p, _ in parts], axis=1), np.repeat([w for _, w in parts], WIDE), norms(codes)
 
 
-def norms_and_map(words: list[str]) -> np.ndarray:
-    """CODES**3 x words: the explicit, normalised maps of landmark units."""
-    places, weight, norm = unit_map(words)
-    out = np.zeros((CODES**3, len(words)), np.float32)
-    np.add.at(out, (places, np.arange(len(words))[:, None]), (weight / norm[:, None]).astype(np.float32))
-    out[::CODES] = 0
-    return out
+class Marks:
+    """Explicit, normalised maps of landmark units: ``rows`` of the subsequences that any has, ``row`` of each subsequence (0: none has it)."""
+
+    def __init__(self, rows: np.ndarray, row: np.ndarray):
+        self.rows, self.row = rows, row
 
 
-def kernel(marks: np.ndarray, places: np.ndarray, weight: np.ndarray, norm: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(places), marks.shape[1]), np.float32)
+def norms_and_map(words: list[str]) -> Marks:
+    places, weight, norm = unit_map(words)
+    met = np.zeros(CODES**3, bool)
+    met[places] = True
+    met[::CODES] = False
+    row = np.cumsum(met) * met
+    rows = np.zeros((int(met.sum()) + 1, len(words)), np.float32)
+    np.add.at(rows, (row[places], np.arange(len(words))[:, None]), (weight / norm[:, None]).astype(np.float32))
+    rows[0] = 0
+    return Marks(rows, row)
+
+
+def kernel(marks: Marks, places: np.ndarray, weight: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(places), marks.rows.shape[1]), np.float32)
     for k in range(places.shape[1]):
-        out += np.float32(weight[k]) * marks[places[:, k]]
+        out += np.float32(weight[k]) * marks.rows[marks.row[places[:, k]]]
     return (out / norm[:, None]).astype(np.float64)
 
 
