@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lacuna.llm.text import doc_texts
+from lacuna.llm.text import doc_texts, mapped
 
 #: No rank.
 NONE = np.int64(2**40)
@@ -234,7 +234,7 @@ def splitter(pattern: str):
 class Codec:
     """Encodes and decodes texts. Keeps the pieces that it has met: their numbers, ids and spellings."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 250_000):
         self.vocabulary, self.max_pieces, self.find = Ranks(ranks), max_pieces, splitter(pattern)
         self.forget()
 
@@ -295,7 +295,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return doc_texts(docs).mapInArrow(run, SCHEMA)
+    return mapped(doc_texts(docs), run, SCHEMA)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -312,4 +312,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 texts = pa.array([codec.decode(x).decode() for x in ids], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), pa.array(ids, pa.list_(pa.int32())), texts], names=["doc_id", "token_ids", "text"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, token_ids array<int>, text string")
+    return mapped(doc_texts(docs), run, "doc_id long, token_ids array<int>, text string")

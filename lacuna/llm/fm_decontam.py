@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import Words, doc_texts, flat_bytes, steps
+from lacuna.llm.text import Words, doc_texts, flat_bytes, mapped, steps
 
 WIDTH = 13
 #: Benchmark words in a block; words of a shard's index; distance of sampled suffix places.
@@ -239,7 +239,7 @@ def one_block(texts: DataFrame, shared) -> DataFrame:
             n, hit, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, hit, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return texts.mapInArrow(run, SCHEMA)
+    return mapped(texts, run, SCHEMA)
 
 
 def pieces(column: pa.Array) -> Iterator[tuple[int, Words]]:
@@ -272,7 +272,7 @@ def spans_of_block(numbered: DataFrame, shared) -> DataFrame:
             kinds = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(spans, kinds), pa.array(items, pa.list_(pa.string()))], names=["row_key", "doc_id", "n_words", "spans", "items"])
 
-    return numbered.mapInArrow(run, kind)
+    return mapped(numbered, run, kind)
 
 
 def merged(found: DataFrame, blocks: int) -> DataFrame:
@@ -293,7 +293,7 @@ def merged(found: DataFrame, blocks: int) -> DataFrame:
             n, hit_, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in (n, hit_, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return groups.mapInArrow(run, SCHEMA)
+    return mapped(groups, run, SCHEMA)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -309,4 +309,4 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             keep = [not verdict(*x)[4] for _, words in pieces(batch.column("text")) for x in counts(Benchmark.of(shared.value), words)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

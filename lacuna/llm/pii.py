@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lacuna.llm.text import doc_texts, with_texts
+from lacuna.llm.text import doc_texts, mapped, with_texts
 
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 BASE = ("email", "ip", "card", "phone")
@@ -139,7 +139,7 @@ def span_digests(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:])], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
-    return doc_texts(docs).mapInArrow(run, SCHEMA)
+    return mapped(doc_texts(docs), run, SCHEMA)
 
 
 def mask_documents(docs: DataFrame) -> DataFrame:
@@ -156,4 +156,4 @@ def mask_documents(docs: DataFrame) -> DataFrame:
                 out = with_texts(out, "n_chars", counts)
             yield out
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

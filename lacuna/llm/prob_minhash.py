@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import Words, flat_bytes, mix, prefix_hash, slice_hash, steps, stored
+from lacuna.llm.text import Words, flat_bytes, mapped, mix, prefix_hash, slice_hash, steps, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 26 bands of 5 registers: a pair of similarity 0.8 shares no band with a probability of 3e-5.
@@ -38,7 +38,6 @@ FAN = 128
 LARGE = 48
 #: Nodes that may share a rare shingle; pairs with one in common are made from it, at most so many for each node and shingle.
 RARE = 16
-STEP = 1 << 21
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +101,7 @@ def signed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = flat_bytes(batch.column("text"))
-            for i, j in steps(offsets, STEP):
+            for i, j in steps(offsets):
                 part, at = flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 words = Words(part, at)
                 doc, value, times = shingles(words)
@@ -115,7 +114,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 own = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("k1"), own.column("k2"), pa.array(node.view(np.int64)), lists], names=["doc_id", "k1", "k2", "node", "bands"])
 
-    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, node long, bands array<long>")
+    return mapped(docs.select("doc_id", "k1", "k2", "text"), run, "doc_id long, k1 long, k2 long, node long, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -134,7 +133,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             ys, fans_, xs = (batch.column(c).to_pylist() for c in ("y", "fan", "x"))
             flat, offsets = flat_bytes(batch.column("text"))
             found: list[tuple[int, int]] = []
-            for i, j in steps(offsets, STEP):
+            for i, j in steps(offsets):
                 doc, value, _ = shingles(Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 at = np.searchsorted(doc, np.arange(j - i + 1))
                 for k in range(i, j):
@@ -151,7 +150,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
 
     rows = members.unionByName(centres).repartition("y", "fan").sortWithinPartitions("y", "fan", F.col("x").asc_nulls_first())
-    return rows.mapInArrow(run, "x long, y long")
+    return mapped(rows, run, "x long, y long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,7 +203,7 @@ def sharable(nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                 doc, value, _ = shingles(Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 yield pa.RecordBatch.from_arrays([pa.array(own[i + doc]), pa.array(value.view(np.int64))], names=["node", "shingle"])
 
-    rows = stored(texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingle long"))
+    rows = stored(mapped(texts.join(nodes, "node", "left_semi"), run, "node long, shingle long"))
     often = rows.groupBy("shingle").agg(F.count("*").alias("nodes"))
     some = stored(often.where((F.col("nodes") > 1) & (F.col("nodes") <= RARE)).select("shingle"))
     rare = stored(rows.join(some, "shingle"))

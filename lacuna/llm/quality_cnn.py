@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import doc_texts, flat_bytes, labelled_sample, learnable, steps
+from lacuna.llm.text import doc_texts, flat_bytes, labelled_sample, learnable, mapped, steps
 
 CHUNK, HOP, EMBEDDED, FILTERS = 16, 8, 8, 32
 PER_CLASS, MAX_BYTES, EPOCHS, BATCH = 2000, 4096, 12, 64
@@ -132,4 +132,4 @@ def scored(docs: DataFrame, network: Network) -> DataFrame:
             score = np.concatenate([np.zeros(0), *parts])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= PREDICT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return own.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return mapped(own.select("doc_id", "text", "held_out"), run, "doc_id long, held_out boolean, score double, predicted int")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import flat_bytes, mix, prefix_hash, slice_hash, steps, stored
+from lacuna.llm.text import flat_bytes, mapped, mix, prefix_hash, slice_hash, steps, stored
 
 LENGTH, GRAM = 400, 64
 #: Different stretches of an anchor that one task sorts; windows sorted together; bytes of the shallow depth.
@@ -95,7 +95,7 @@ def found_stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 columns = (k1[i + row], k2[i + row], a, s, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k1", "k2", "a", "s", "start", "n", "times"])
 
-    return docs.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, a long, s long, start int, n int, times int")
+    return mapped(docs.select("k1", "k2", "text"), run, "k1 long, k2 long, a long, s long, start int, n int, times int")
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -251,7 +251,7 @@ def cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=["a", "s", "n", "times", "bytes"])
 
-    return docs.select("k1", "k2", "text").join(by_doc, ["k1", "k2"]).select("text", "own").mapInArrow(run, "a long, s long, n int, times long, bytes binary")
+    return mapped(docs.select("k1", "k2", "text").join(by_doc, ["k1", "k2"]).select("text", "own"), run, "a long, s long, n int, times long, bytes binary")
 
 
 def sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
@@ -278,7 +278,7 @@ def sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return pieces.repartition("a").sortWithinPartitions("a").mapInArrow(run, f"a long, s long, found {RANGES}")
+    return mapped(pieces.repartition("a").sortWithinPartitions("a"), run, f"a long, s long, found {RANGES}")
 
 
 def counted_windows(pieces: DataFrame, length: int) -> DataFrame:
@@ -294,7 +294,7 @@ def counted_windows(pieces: DataFrame, length: int) -> DataFrame:
                 full = lambda v: np.full(len(at), v, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(full(r["a"])), pa.array(full(r["s"])), pa.array(at.astype(np.int32)), pa.array(full(r["times"])), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=["a", "s", "place", "times", "w1", "w2"])
 
-    windows = pieces.dropDuplicates(["a", "s"]).mapInArrow(run, "a long, s long, place int, times long, w1 long, w2 long")
+    windows = mapped(pieces.dropDuplicates(["a", "s"]), run, "a long, s long, place int, times long, w1 long, w2 long")
     often = stored(windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").drop("all"))
     return windows.join(often, ["w1", "w2"]).select("a", "s", F.array(F.struct(F.col("place").alias("f"), (F.col("place") + 1).alias("t"))).alias("found"))
 
@@ -342,4 +342,4 @@ def removals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int
             columns = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return own.join(found, ["k1", "k2"], "left").select("doc_id", "text", "spans").mapInArrow(run, SCHEMA)
+    return mapped(own.join(found, ["k1", "k2"], "left").select("doc_id", "text", "spans"), run, SCHEMA)

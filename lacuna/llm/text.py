@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on. A document longer than this forms a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
+#: Bytes of rows that Spark hands to a task's Python at a time, as its setting has it.
+BATCH_BYTES, BATCH_SETTING = 1 << 23, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -114,6 +116,15 @@ def with_texts(batch: pa.RecordBatch, name: str, texts: pa.Array, keep: np.ndarr
     return out if keep is None else out.filter(pa.array(keep))
 
 
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow in batches of at most BATCH_BYTES (or one row), so a task's memory doesn't follow the length of 10000 texts."""
+    conf = df.sparkSession.conf
+    now = conf.get(BATCH_SETTING).rstrip("bB")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

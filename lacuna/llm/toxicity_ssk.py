@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import doc_texts, labelled_sample, learnable
+from lacuna.llm.text import doc_texts, labelled_sample, learnable, mapped
 
 PER_CLASS, MAX_BYTES = 4000, 5120
 SPAN, LAMBDA = 6, 0.6
@@ -311,7 +311,7 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
             p = score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= PREDICT).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return own.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return mapped(own.select("doc_id", "text", "held_out"), run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def clean_documents(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -324,4 +324,4 @@ def clean_documents(docs: DataFrame, machine: Machine) -> DataFrame:
             p = score([t or "" for t in batch.column("text").to_pylist()])
             yield batch.filter(pa.array(p < PREDICT))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
