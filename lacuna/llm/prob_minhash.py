@@ -10,7 +10,8 @@ Texts of equal word sequences become one node before any pair is looked at. With
 with the bucket's centre, drawn by hash; then nodes and centres that are still in different components; then the nodes
 of different components that still share a bucket. Pairs within a component are implied and never made. In large buckets
 the last step makes the pairs that have a rare shingle in common, and bounds the others by the number of frequent shingles
-of either text. The bound is exact, and no step has a cap.
+of either text and by bitmaps of their shingles: a bit that only one text has stands for a shingle that the other lacks.
+Both bounds are exact, and no step has a cap.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words match only equal texts; a null
 text is empty; repeated rows and equal texts are one class; the class id is the smallest doc_id of the class (null only if
@@ -38,6 +39,8 @@ FAN = 128
 LARGE = 48
 #: Nodes that may share a rare shingle; pairs with one in common are made from it, at most so many for each node and shingle.
 RARE = 16
+#: 64-bit masks of a node of a large bucket; each shingle sets one bit.
+MASKS = 8
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,8 +195,8 @@ def labelled(rows: DataFrame, comps: DataFrame, column: str, name: str) -> DataF
 
 
 def sharable(nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, shingle) of the shingles that 2 to RARE of these nodes have, and (node, size, live): how many shingles a node
-    has, and how many of them more than RARE nodes have. A pair without a rare shingle in common shares at most its live ones."""
+    """(node, shingle) of the shingles that 2 to RARE of these nodes have, and (node, size, live, m0, m1...): how many shingles a
+    node has, how many of them more than RARE nodes have, and its masks. A pair without a rare shingle in common shares at most its live ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,8 +212,10 @@ def sharable(nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     rare = stored(rows.join(some, "shingle"))
     alone = often.where("nodes = 1").join(rows, "shingle").groupBy("node").agg(F.count("*").alias("alone"))
     few = rare.groupBy("node").agg(F.count("*").alias("few"))
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).join(alone, "node", "left").join(few, "node", "left")
-    return rare, stored(sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0)) - F.coalesce("few", F.lit(0))).alias("live")))
+    bit = F.expr("shiftleft(1L, int(shiftrightunsigned(shingle, 32) % 64))")
+    masks = [F.coalesce(F.bit_or(F.when(F.pmod("shingle", F.lit(MASKS)) == k, bit)), F.lit(0)).alias(f"m{k}") for k in range(MASKS)]
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), *masks).join(alone, "node", "left").join(few, "node", "left")
+    return rare, stored(sizes.select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0)) - F.coalesce("few", F.lit(0))).alias("live"), *(f"m{k}" for k in range(MASKS))))
 
 
 def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -233,10 +238,14 @@ def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             kept = sizes.where(F.col("live") + 1e-6 >= threshold * F.col("size")).join(own.groupBy("node").agg(F.collect_set("bucket").alias("all")), "node")
             own = stored(own.join(stored(kept), "node"))
         else:
-            own = own.withColumns({"size": F.lit(0), "live": F.lit(0), "all": F.array(F.col("bucket"))})
-        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"), F.col("all").alias("bx"))
+            own = own.withColumns({"size": F.lit(0), "live": F.lit(0), "all": F.array(F.col("bucket"))} | {f"m{k}": F.lit(0) for k in range(MASKS)})
+        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"), F.col("all").alias("bx"), *(F.col(f"m{k}").alias(f"x{k}") for k in range(MASKS)))
         # a pair comes from its first common bucket; the main component's nodes are on one side only, so no pair of two of them is looked at
-        fits = "cx <> comp AND (comp = main OR x > node)" + (f" AND least(lx, live) * {1 + threshold} + 1e-6 >= {threshold} * (sx + size) AND array_min(array_intersect(bx, all)) = bucket" if large else "")
+        fits = "cx <> comp AND (comp = main OR x > node)"
+        if large:
+            only_x, only_y = (" + ".join(f"bit_count({a}{k} & ~{b}{k})" for k in range(MASKS)) for a, b in ("xm", "mx"))
+            common = f"least(lx, live, sx - ({only_x}), size - ({only_y}))"
+            fits += f" AND {common} * {1 + threshold}D + 1e-6D >= {threshold}D * (sx + size) AND array_min(array_intersect(bx, all)) = bucket"
         pairs = few.join(own, "bucket").where(fits).select(F.greatest("x", "node").alias("x"), F.least("x", "node").alias("y")).distinct()
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
