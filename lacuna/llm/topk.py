@@ -1,11 +1,12 @@
 """Exact top-k inner products of a stated query set against all rows.
 
 Queries go out in blocks of a fixed size (more blocks for more queries). Each task multiplies a block with tiles of its
-own rows, keeps the k best of each tile and query and merges them; the lists of the tasks are then merged in two steps.
+own rows, joins the rows of one vec_id, keeps the k best ids of each tile and query and merges them; the lists of the tasks are
+then merged in two steps, and each step joins repeated ids before it cuts.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part, nor do rows without vec_id;
-only vectors of the query's length are its candidates; rows of one vec_id count as one vector and its repetitions,
-so none of them is its own candidate; ties go to the smaller vec_id; fewer candidates than k give a shorter list; an empty
+only vectors of the query's length are its candidates; rows of one vec_id, repeated or with different vectors, count as one
+whose score is the highest of any two of their rows, so none of them is its own candidate; ties go to the smaller vec_id; fewer candidates than k give a shorter list; an empty
 table gives no rows; other columns are ignored. Products are exact: float64 where all sums stay below 2**53, else integers.
 """
 
@@ -48,12 +49,14 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k highest scores of each query, ties to the smaller vec."""
-    order = np.lexsort((vec, -score, query))
+    """The k vecs of the highest scores of each query, each once with its highest score, ties to the smaller vec."""
+    order = np.lexsort((score, vec, query))
+    query, vec, score = query[order], vec[order], score[order]
+    last = np.ones(len(query), bool)
+    last[:-1] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+    query, vec, score = query[last], vec[last], score[last]
+    order = np.lexsort((vec, ~score, query))  # ~ turns the order of all int64
     query, vec, score = query[order], vec[order], score[order]
-    same = np.ones(len(query), bool)
-    same[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
-    query, vec, score = query[same], vec[same], score[same]
     first = np.searchsorted(query, query, "left")
     keep = np.arange(len(query)) - first < k
     return query[keep], vec[keep], score[keep]
@@ -73,11 +76,13 @@ def block_top(rows: DataFrame, ids: np.ndarray, lists: list[np.ndarray], k: int,
                     continue
                 q_ids, q = queries[matrix.shape[1]]
                 for i in range(0, len(at), TILE):
-                    tile, vec = matrix[i : i + TILE], own[at[i : i + TILE]]
+                    by_id = at[i : i + TILE][np.argsort(own[at[i : i + TILE]], kind="stable")]
+                    tile, (vec, first) = matrix[np.searchsorted(at, by_id)], np.unique(own[by_id], return_index=True)
                     for j in range(0, len(q_ids), QUERIES):
                         s = products(q[j : j + QUERIES], tile)
+                        s = np.maximum.reduceat(s, first, axis=1) if len(vec) < len(tile) else s  # a column for each id
                         s_ids = q_ids[j : j + QUERIES]
-                        n = min(k + 1, s.shape[1])  # one more, as the query's own row may be among them
+                        n = min(k + 1, s.shape[1])  # one more, as the query's own id may be among them
                         least = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n]
                         a, b = np.nonzero(s >= least[:, None])
                         other = s_ids[a] != vec[b]
@@ -93,12 +98,12 @@ def block_top(rows: DataFrame, ids: np.ndarray, lists: list[np.ndarray], k: int,
 
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of df with the highest products for each row of queries."""
-    rows, asked = vectors(df), vectors(queries).dropDuplicates(["vec_id"])
+    rows, asked = vectors(df), vectors(queries).distinct()
     count, length = asked.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     blocks = max(1, -(-count * max(length, 1) * 8 // BLOCK_BYTES))
     parts = []
     for b in range(blocks):  # a block's queries are a bounded number of bytes, whatever the table's size
-        found = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow().combine_chunks()
+        found = asked.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)) == b).toArrow().combine_chunks()
         if found.num_rows:
             ids = found.column("vec_id").to_numpy()
             parts.append(block_top(rows, ids, whole(found.column("embedding").combine_chunks(), scale), k, scale))
@@ -108,7 +113,8 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0)
     for p in parts[1:]:
         lists = lists.unionByName(p)
     order = [F.desc("score"), F.asc("vec_id")]
-    lists = lists.withColumn("branch", F.floor(F.spark_partition_id() / FAN_IN))
+    joined = F.max("score").alias("score")
+    lists = lists.withColumn("branch", F.floor(F.spark_partition_id() / FAN_IN)).groupBy("query_id", "branch", "vec_id").agg(joined)
     lists = lists.withColumn("place", F.row_number().over(Window.partitionBy("query_id", "branch").orderBy(*order))).where(F.col("place") <= k).drop("place")
-    ranked = lists.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
+    ranked = lists.groupBy("query_id", "vec_id").agg(joined).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
