@@ -4,7 +4,9 @@ A document is the set of its five-word shingles, each with the weight 1 + ln(occ
 process: its arrivals, divided by its weight, fall on random registers, and a register keeps the earliest. A process ends
 once its next arrival is later than every register of its document, so most end after one or two arrivals. Registers of
 two documents agree with their probability Jaccard similarity. Bands of registers propose pairs; a pair is a link if the
-exact Jaccard similarity of its shingle sets is at least the threshold.
+exact Jaccard similarity of its shingle sets is at least the threshold. That similarity knows no occurrences, and unequal ones
+lower the weighted one without bound, so every document has bands of the same process with all weights 1, too; these are the
+weighted ones where no shingle is repeated.
 
 Texts of equal word sequences become one node before any pair is looked at. Within a bucket of a band each node is compared
 with the bucket's centre, drawn by hash; then nodes and centres that are still in different components; then the nodes
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from lacuna.llm.text import Words, flat_bytes, mapped, mix, prefix_hash, slice_hash, steps, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: 26 bands of 5 registers: a pair of similarity 0.8 shares no band with a probability of 3e-5.
+#: 26 bands of 5 registers: a pair of similarity 0.8 shares no band of weights 1 with a probability of 3e-5, whatever its
+#: occurrences. The weighted bands, as many, only add to that.
 BANDS, BAND_ROWS = 26, 5
 REGISTERS = BANDS * BAND_ROWS
 #: Members of one centre that a task compares with it; a centre of more members is sent to several tasks.
@@ -92,6 +95,17 @@ def banded(signature: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) ->
     return mix(out ^ np.arange(1, bands + 1, dtype=np.uint64))
 
 
+def band_lists(doc: np.ndarray, element: np.ndarray, times: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """(band hashes laid end to end, how many each document has): with weights 1, then with its weights if a shingle is repeated."""
+    plain = banded(signatures(doc, element, np.ones(len(doc)), docs))
+    again = np.unique(doc[times > 1])
+    own = np.isin(doc, again)
+    weighted = banded(signatures(np.searchsorted(again, doc[own]), element[own], 1 + np.log(times[own]), len(again)))
+    row = np.concatenate([np.unique(doc), again])
+    order = np.argsort(row, kind="stable")
+    return np.concatenate([plain[np.unique(doc)], weighted])[order].ravel(), BANDS * np.bincount(row, minlength=docs)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and keys that tell rows apart unless they repeat each other; k1 orders null ids last."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -108,12 +122,11 @@ def signed(docs: DataFrame) -> DataFrame:
                 part, at = flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 words = Words(part, at)
                 doc, value, times = shingles(words)
-                bands = banded(signatures(doc, value, 1 + np.log(times), j - i))
+                bands, size = band_lists(doc, value, times, j - i)
                 node = slice_hash(prefix_hash(words.hash), words.first[:-1], words.first[1:])
                 none = words.count == 0
                 node[none] = mix(slice_hash(prefix_hash(part), at[:-1], at[1:])[none] + np.uint64(1))
-                size = np.where(none, 0, BANDS)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(bands[~none].ravel().view(np.int64)))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(bands.view(np.int64)))
                 own = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("k1"), own.column("k2"), pa.array(node.view(np.int64)), lists], names=["doc_id", "k1", "k2", "node", "bands"])
 
@@ -254,7 +267,7 @@ def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 def node_components(base: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(node, comp) of the nodes that have a link."""
     nodes = stored(base.where(F.size("bands") > 0).groupBy("node").agg(F.min("k1").alias("k1"), F.first("bands").alias("bands")))
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    buckets = nodes.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
     centres = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "bucket")).alias("centre")).where("n > 1").drop("n"))
     shared = stored(buckets.join(centres, "bucket"))
     asked = stored(shared.select("node").distinct())
