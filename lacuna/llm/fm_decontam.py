@@ -11,7 +11,7 @@ are merged per document, by position, where there is more than one.
 
 Defined cases: null and empty texts have no words; items without words have no windows; items of fewer than 13 words are one
 window; repeated items, and items of null id (left out of item lists), are each judged by their text; repeated
-documents are each judged; other columns are ignored; an empty benchmark hits nothing; an empty table gives no rows.
+documents, and those that share an id or have none, are each judged by their text; other columns are ignored; an empty benchmark hits nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.llm.text import Words, doc_texts, flat_bytes, mapped, steps
@@ -221,13 +221,22 @@ def parsed(spark, items: DataFrame):
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Hit words, items and the verdict of each document. Columns: SCHEMA."""
-    spark, parts = docs.sparkSession, blocks(benchmark)
+    parts = blocks(benchmark)
     if len(parts) == 1:
-        return one_block(doc_texts(docs), parsed(spark, parts[0]))
-    numbered = doc_texts(docs).withColumn("row_key", F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text")))
-    found = None
+        return one_block(doc_texts(docs), parsed(docs.sparkSession, parts[0]))
+    return judged_by_parts(docs, parts).drop("row_key")
+
+
+def row_key() -> Column:
+    """Tells rows of a document's id and text apart unless they repeat each other."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
+
+
+def judged_by_parts(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """The verdicts by several blocks of the benchmark, with the row_key of each document. Columns: row_key, SCHEMA."""
+    numbered, found = doc_texts(docs).withColumn("row_key", row_key()), None
     for p in parts:
-        part = spans_of_block(numbered, parsed(spark, p))
+        part = spans_of_block(numbered, parsed(docs.sparkSession, p))
         found = part if found is None else found.unionByName(part)
     return merged(found, len(parts))
 
@@ -281,27 +290,28 @@ def merged(found: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids = [], []
+            rows, ids, keys = [], [], []
             for r in batch.to_pylist():
                 hit = np.zeros(r["n_words"] + 1, np.int64)
                 for s in r["spans"]:
                     hit[s["a"]] += 1
                     hit[s["b"]] -= 1
                 for _ in range(r["rows"] // blocks):
+                    keys.append(r["row_key"])
                     ids.append(r["doc_id"])
                     rows.append(verdict(r["n_words"], int((np.cumsum(hit) > 0).sum()), set(r["items"])))
             n, hit_, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in (n, hit_, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in (n, hit_, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=["row_key", *(c.split()[0] for c in SCHEMA.split(", "))])
 
-    return mapped(groups, run, SCHEMA)
+    return mapped(groups, run, f"row_key string, {SCHEMA}")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones (20 * n_hit >= n_words > 0); all others stay as they are."""
     spark, parts = docs.sparkSession, blocks(benchmark)
     if len(parts) > 1:
-        bad = judged(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-        return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+        bad = judged_by_parts(docs, parts).where("contaminated").select(F.col("row_key").alias("lacuna_key")).distinct()
+        return docs.withColumn("lacuna_key", row_key()).join(bad, "lacuna_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     shared = parsed(spark, parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
