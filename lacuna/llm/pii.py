@@ -5,7 +5,7 @@ Base kinds (email, ip, card, phone) follow fixed rules and always stay. Further
 phone_local (dashed or dotted national numbers that no base span covers; context decides).
 
 Defined cases: null and empty texts have no spans; places are code points, the end is exclusive; repeated rows give
-repeated results; other columns are ignored; an empty table gives no rows. Every rule takes time in proportion to the
+repeated results; leading zeros of an address's parts, however many, don't count; other columns are ignored; an empty table gives no rows. Every rule takes time in proportion to the
 text, long digit runs included.
 """
 
@@ -72,7 +72,7 @@ def emails(text: str) -> list[tuple[int, int]]:
 
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     out: dict[str, list[tuple[int, int]]] = {"email": emails(text)}
-    out["ip"] = [m.span() for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out["ip"] = [m.span() for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split("."))]
     out["card"] = []
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
