@@ -2,16 +2,22 @@
 
 A string of ``LENGTH`` bytes that starts in two places has the same least k-gram (an anchor) in both, so the windows of a
 document are cut into stretches of one anchor each, and only stretches whose anchor occurs elsewhere can repeat. Stretches
-of equal text are joined first, whatever their number. Where several different stretches share an anchor, the suffixes of their windows are
-sorted: multikey sorting by eight-byte symbols to a shallow depth, then a blind trie for each group that is still equal.
-A group one byte further on with the same members keeps the order of the group before, so it needs no trie. Neighbours in
-the order with a common prefix of LENGTH bytes are repeated strings.
-
-Anchors with more than ``MOST`` different stretches (a passage in very many contexts) don't meet in one task: for these the
-128-bit digests of their windows are counted instead, which gives the same answer.
+of equal text are joined first, whatever their number: equal means equal BLAKE2b digests of 128 bits. Where several different
+stretches share an anchor, the suffixes of their windows are sorted: multikey sorting by eight-byte symbols to a shallow
+depth, then a blind trie for each group that is still equal. A group one byte further on with the same members keeps the
+order of the group before, so it needs no trie. Neighbours in the order with a common prefix of LENGTH bytes are repeated
+strings.
+
+A passage in very many contexts has an anchor with very many different stretches, which don't meet in one task. Equal
+windows have the anchor at the same place, so beyond ``MOST`` stretches their windows are dealt out by the anchor's place
+in blocks of ``BLOCK``, and by the digest of the bytes that all windows of a block have in common (the core). Blocks whose
+core occurs once hold no repeats and go; the others are sorted like any group. Where even a core has over MOST different
+surroundings, each window is a block of its own and all of it is core, so a group holds equal strings only and its size says
+whether they repeat.
 
 Defined cases: null and empty texts, and texts shorter than LENGTH, lose nothing; repeated rows are documents of their own, so
-they repeat each other; a null doc_id is a value like another; other columns are ignored; an empty table gives no rows.
+they repeat each other; a null doc_id is a value like another; other columns are ignored; an empty table gives no rows;
+a very long text is cut into parts of ``PART`` bytes that overlap by LENGTH - 1, so every window is in one of them.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from lacuna.llm.text import flat_bytes, mapped, mix, prefix_hash, slice_hash, st
 LENGTH, GRAM = 400, 64
 #: Different stretches of an anchor that one task sorts; windows sorted together; bytes of the shallow depth.
 MOST, TOGETHER, SHALLOW = 1500, 1 << 19, 32
+#: Places of an anchor in a block of windows; bytes of a text that one step works on.
+BLOCK, PART = 16, 1 << 21
 #: Low bits of a key that hold a place; the other bits hold the start of the k-gram's hash.
 PLACE_BITS = np.uint64(28)
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -50,14 +58,27 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1 : width - 1 + n])
 
 
+def digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def digests(raw: bytes, start: np.ndarray, end: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each string equals the one before, 128-bit digest of each that doesn't). maybe: where equality is to be tested."""
+    equal = maybe.copy()
+    for i in np.flatnonzero(maybe).tolist():
+        equal[i] = raw[start[i - 1] : end[i - 1]] == raw[start[i] : end[i]]
+    found = b"".join([digest(raw[a:b]) for a, b in zip(start[~equal].tolist(), end[~equal].tolist(), strict=True)])
+    return equal, np.frombuffer(found, np.int64).reshape(-1, 2)
+
+
 def stretches(flat: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(row, start, windows, times, anchor hash, stretch hash) of the stretches of several texts laid end to end.
+    """(row, start, windows, times, anchor hash, anchor's place in the first window, digests) of the stretches of several texts laid end to end.
 
     times: so many equal stretches follow each other (short periods); start counts from the text's first byte.
     """
     empty = np.zeros(0, np.int64)
     if len(flat) < length:
-        return empty, empty, empty, empty, empty, empty
+        return (*[empty] * 6, np.zeros((0, 2), np.int64))
     prefix = prefix_hash(flat)
     n = len(flat) - gram + 1
     grams = slice_hash(prefix, np.arange(n), np.arange(gram, n + gram))
@@ -76,13 +97,24 @@ def stretches(flat: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     row = np.searchsorted(offsets, start, "right") - 1
     row_end = offsets[row] + windows[row]
     end = np.minimum(np.append(start[1:], len(flat)), row_end)
-    own, text = grams[anchor[start]], mix(slice_hash(prefix, start, end + length - 1) + np.uint64(length))
-    fresh = np.ones(len(start), bool)
-    fresh[1:] = (row[1:] != row[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(fresh)
+    maybe = np.zeros(len(start), bool)
+    maybe[1:] = (row[1:] == row[:-1]) & (np.diff(end) == np.diff(start)) & (grams[anchor[start[1:]]] == grams[anchor[start[:-1]]])
+    equal, text = digests(flat.tobytes(), start, end + length - 1, maybe)
+    first = np.flatnonzero(~equal)
     times = np.diff(np.append(first, len(start)))
     start, end, row = start[first], end[first], row[first]
-    return row, start - offsets[row], end - start, times, own[first].view(np.int64), text[first].view(np.int64)
+    return row, start - offsets[row], end - start, times, grams[anchor[start]].view(np.int64), anchor[start] - start, text
+
+
+def parts(offsets: np.ndarray, overlap: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, last row, first byte, last byte) of each step; a row of more than PART bytes has several, which overlap."""
+    for i, j in steps(offsets):
+        a, b = int(offsets[i]), int(offsets[j])
+        for p in range(a, max(a + 1, b - overlap), PART):
+            yield i, j, p, min(b, p + PART + overlap)
+
+
+FOUND = "k1 long, k2 long, a long, s1 long, s2 long, place int, start long, n int, times int"
 
 
 def found_stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -90,12 +122,14 @@ def found_stretches(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
             flat, offsets = flat_bytes(batch.column("text"))
-            for i, j in steps(offsets):
-                row, start, n, times, a, s = stretches(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, gram)
-                columns = (k1[i + row], k2[i + row], a, s, start.astype(np.int32), n.astype(np.int32), times.astype(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k1", "k2", "a", "s", "start", "n", "times"])
+            for i, j, p, q in parts(offsets, length - 1):
+                at = np.clip(offsets[i : j + 1], p, q) - p
+                row, start, n, times, a, place, s = stretches(flat[p:q], at, length, gram)
+                start = start + at[row] + p - offsets[i + row]
+                columns = (k1[i + row], k2[i + row], a, s[:, 0], s[:, 1], place.astype(np.int32), start, n.astype(np.int32), times.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in FOUND.split(", ")])
 
-    return mapped(docs.select("k1", "k2", "text"), run, "k1 long, k2 long, a long, s long, start int, n int, times int")
+    return mapped(docs.select("k1", "k2", "text"), run, FOUND)
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -235,42 +269,56 @@ def ranges(flags: np.ndarray) -> list[dict]:
 
 RANGES = "array<struct<f:int,t:int>>"
 _RANGES = pa.list_(pa.struct([("f", pa.int32()), ("t", pa.int32())]))
+#: A different stretch: anchor hash and digest.
+KEY = ("a", "s1", "s2")
+PIECES = "a long, s1 long, s2 long, place int, n int, times long, bytes binary"
+
+
+def batch_of(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    """A batch from rows of plain values; schema names the columns in Spark's words."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), RANGES: _RANGES}
+    fields = [f.split(" ", 1) for f in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
 def cut(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(a, s, n, times, bytes) of the wanted stretches: one text of each."""
-    by_doc = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "s", "start", "n", "times")).alias("own"))
+    """PIECES: one text of each wanted stretch."""
+    by_doc = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct(*KEY, "place", "start", "n", "times")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out = []
             for text, own in zip(batch.column("text"), batch.column("own").to_pylist(), strict=True):
                 raw = text.as_py().encode()
-                for r in own:
-                    for column, value in zip(out, (r["a"], r["s"], r["n"], r["times"], raw[r["start"] : r["start"] + r["n"] + length - 1]), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=["a", "s", "n", "times", "bytes"])
+                out += [(r["a"], r["s1"], r["s2"], r["place"], r["n"], r["times"], raw[r["start"] : r["start"] + r["n"] + length - 1]) for r in own]
+            yield batch_of(PIECES, out)
+
+    # a repeated document row sends its stretches again
+    return mapped(docs.select("k1", "k2", "text").join(by_doc, ["k1", "k2"]).select("text", "own"), run, PIECES).dropDuplicates([*KEY])
+
 
-    return mapped(docs.select("k1", "k2", "text").join(by_doc, ["k1", "k2"]).select("text", "own"), run, "a long, s long, n int, times long, bytes binary")
+SOLVED = f"a long, s1 long, s2 long, found {RANGES}"
 
 
-def sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
-    """(a, s, found): repeated windows of each stretch, by sorting all stretches of an anchor together."""
+def sorted_groups(groups: DataFrame, length: int) -> DataFrame:
+    """SOLVED: repeated windows of each stretch, by sorting all stretches of a group together.
+
+    groups: g1, g2 (the group), a, s1, s2, f (the first window's place in the stretch), n, times, bytes."""
 
     def solve(held: list[dict]) -> Iterator[pa.RecordBatch]:
-        held = list({(r["a"], r["s"]): r for r in held}.values())  # a repeated document row sends its stretches again
         n = np.array([r["n"] for r in held], np.int64)
         flags = repeated_windows([r["bytes"] for r in held], n, length)
         at = np.cumsum(n) - n
         found = [[{"f": 0, "t": r["n"]}] if r["times"] > 1 else ranges(flags[at[i] : at[i] + r["n"]]) for i, r in enumerate(held)]
-        yield pa.RecordBatch.from_arrays([pa.array([r["a"] for r in held], pa.int64()), pa.array([r["s"] for r in held], pa.int64()), pa.array(found, _RANGES)], names=["a", "s", "found"])
+        yield batch_of(SOLVED, [(r["a"], r["s1"], r["s2"], [{"f": x["f"] + r["f"], "t": x["t"] + r["f"]} for x in y]) for r, y in zip(held, found, strict=True) if y])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         size = 0
         for batch in batches:
             for r in batch.to_pylist():
-                if size >= TOGETHER and r["a"] != held[-1]["a"]:
+                if size >= TOGETHER and (r["g1"], r["g2"]) != (held[-1]["g1"], held[-1]["g2"]):
                     yield from solve(held)
                     held, size = [], 0
                 held.append(r)
@@ -278,44 +326,79 @@ def sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
         if held:
             yield from solve(held)
 
-    return mapped(pieces.repartition("a").sortWithinPartitions("a"), run, f"a long, s long, found {RANGES}")
+    return mapped(groups.repartition("g1", "g2").sortWithinPartitions("g1", "g2"), run, SOLVED)
+
+
+CORES = "a long, s1 long, s2 long, f int, n int, times long, g1 long, g2 long"
 
 
-def counted_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """The same by counting digests of windows, for anchors with very many different stretches."""
+def cores(pieces: DataFrame, length: int, block: int) -> DataFrame:
+    """CORES: the windows of each stretch in blocks by the anchor's place, under the digest of the bytes that any window of the block has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for r in batch.to_pylist():
-                raw = np.frombuffer(r["bytes"], np.uint8)
-                prefix, at = prefix_hash(raw), np.arange(r["n"])
-                turned = prefix_hash(raw ^ np.uint8(0x5A))
-                one, two = slice_hash(prefix, at, at + length), slice_hash(turned, at, at + length)
-                full = lambda v: np.full(len(at), v, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(full(r["a"])), pa.array(full(r["s"])), pa.array(at.astype(np.int32)), pa.array(full(r["times"])), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))], names=["a", "s", "place", "times", "w1", "w2"])
+                f = 0
+                while f < r["n"]:
+                    place = r["place"] - f
+                    low = place // block * block
+                    n = min(place - low + 1, r["n"] - f)
+                    core = r["bytes"][r["place"] - low : r["place"] - low - block + 1 + length]
+                    g1, g2 = np.frombuffer(digest(core + low.to_bytes(4)), np.int64).tolist()
+                    out.append((r["a"], r["s1"], r["s2"], f, n, r["times"], g1, g2))
+                    f += n
+            yield batch_of(CORES, out)
+
+    return mapped(pieces, run, CORES)
+
+
+def block_texts(pieces: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
+    """The blocks with their bytes, in the form of sorted_groups."""
+    own = blocks.groupBy(*KEY).agg(F.collect_list(F.struct("f", "n", "g1", "g2")).alias("own"))  # as many as a stretch has blocks
+    kind = "g1 long, g2 long, a long, s1 long, s2 long, f int, n int, times long, bytes binary"
 
-    windows = mapped(pieces.dropDuplicates(["a", "s"]), run, "a long, s long, place int, times long, w1 long, w2 long")
-    often = stored(windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1").drop("all"))
-    return windows.join(often, ["w1", "w2"]).select("a", "s", F.array(F.struct(F.col("place").alias("f"), (F.col("place") + 1).alias("t"))).alias("found"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch_of(kind, [(o["g1"], o["g2"], r["a"], r["s1"], r["s2"], o["f"], o["n"], r["times"], r["bytes"][o["f"] : o["f"] + o["n"] + length - 1]) for r in batch.to_pylist() for o in r["own"]])
+
+    return mapped(pieces.join(own, [*KEY]).select(*KEY, "times", "bytes", "own"), run, kind)
+
+
+def dealt_out(pieces: DataFrame, length: int, most: int) -> DataFrame:
+    """SOLVED for the stretches of anchors that have too many for one task."""
+    block = min(BLOCK, length)
+    all_blocks = stored(cores(pieces, length, block))
+    often = all_blocks.groupBy("g1", "g2").agg(F.sum("times").alias("all"), F.count("*").alias("different")).where("all > 1").select("g1", "g2", (F.col("different") > most).alias("large"))
+    blocks = stored(all_blocks.join(stored(often), ["g1", "g2"]))
+    solved = sorted_groups(block_texts(pieces, blocks.where("NOT large"), length), length)
+    large = blocks.where("large")
+    if not large.isEmpty():
+        own = large.select(*KEY, F.col("f").alias("f0"), F.col("n").alias("n0"))
+        single = stored(cores(pieces.join(large.select(*KEY).distinct(), [*KEY], "left_semi"), length, 1).join(own, [*KEY]).where("f >= f0 AND f < f0 + n0").drop("f0", "n0"))
+        often = single.groupBy("g1", "g2").agg(F.sum("times").alias("all")).where("all > 1").drop("all")
+        solved = solved.unionByName(single.join(often, ["g1", "g2"]).select(*KEY, F.array(F.struct("f", (F.col("f") + 1).alias("t"))).alias("found")))
+    return solved.groupBy(*KEY).agg(F.flatten(F.collect_list("found")).alias("found"))  # a stretch has LENGTH windows at most
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(k1, k2, spans): the windows of each keyed document whose strings start elsewhere too, as ranges."""
     every = stored(found_stretches(docs, length, gram))
-    anchors = stored(every.groupBy("a").agg(F.sum("times").alias("all"), F.min("s").alias("s0"), F.max("s").alias("s1")).where("all > 1").select("a", (F.col("s0") == F.col("s1")).alias("one")))
+    same = (F.min("s1") == F.max("s1")) & (F.min("s2") == F.max("s2"))
+    anchors = stored(every.groupBy("a").agg(F.sum("times").alias("all"), same.alias("one")).where("all > 1").drop("all"))
     shared = stored(every.join(anchors, "a"))
     whole = shared.where("one").select("k1", "k2", F.array(F.struct(F.col("start").alias("f"), (F.col("start") + F.col("n") * F.col("times")).alias("t"))).alias("spans"))
     mixed = shared.where("NOT one")
-    texts = stored(mixed.groupBy("a", "s").agg(F.sum("times").alias("times"), F.min(F.struct("k1", "k2", "start", "n")).alias("r")).select("a", "s", "times", "r.*"))
-    large = texts.groupBy("a").agg(F.count("*").alias("different")).where(F.col("different") > most).select("a", F.lit(True).alias("large"))
-    large = stored(large)
+    texts = stored(mixed.groupBy(*KEY).agg(F.sum("times").alias("times"), F.min(F.struct("k1", "k2", "start", "n", "place")).alias("r")).select(*KEY, "times", "r.*"))
+    large = stored(texts.groupBy("a").agg(F.count("*").alias("different")).where(F.col("different") > most).select("a"))
     pieces = stored(cut(docs, texts, length))
-    solved = sorted_groups(pieces.join(large, "a", "left_anti"), length)
+    small = pieces.join(large, "a", "left_anti")
+    solved = sorted_groups(small.select(F.col("a").alias("g1"), F.lit(0).cast("long").alias("g2"), *KEY, F.lit(0).alias("f"), "n", "times", "bytes"), length)
     if not large.isEmpty():
-        solved = solved.unionByName(counted_windows(pieces.join(large, "a", "left_semi"), length))
-    solved = stored(solved.where(F.size("found") > 0))
-    parts = mixed.join(solved, ["a", "s"]).select("k1", "k2", F.expr("transform(found, x -> struct(start + x.f AS f, IF(times > 1, start + n * times, start + x.t) AS t))").alias("spans"))
-    return whole.unionByName(parts).groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        solved = solved.unionByName(dealt_out(stored(pieces.join(large, "a", "left_semi")), length, most))
+    solved = stored(solved)  # one row for each stretch, so the join makes one for each occurrence at most
+    spans = F.expr("transform(found, x -> struct(start + x.f AS f, IF(times > 1, start + n * times, start + x.t) AS t))")
+    return whole.unionByName(mixed.join(solved, [*KEY]).select("k1", "k2", spans.alias("spans"))).groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def covered(n_bytes: int, spans: list[dict], length: int) -> np.ndarray:

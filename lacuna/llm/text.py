@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,7 +75,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """H with (H[j] - H[i]) * base**-i a hash of values[i:j]."""
+    """H with (H[j] - H[i]) * base**-i a hash of values[i:j]. Long strings of special structure can collide: for candidates only."""
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(len(values)), out=out[1:])
     return out
@@ -84,8 +85,18 @@ def slice_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * powers(len(prefix), inverse=True)[start])
 
 
+#: Addends of a word's bytes by place and byte, for words of up to this many bytes; later places are mixed as they come.
+PLACES = 48
+_SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0xC2B2AE3D27D4EB4F))
+_ADDENDS = tuple(mix(np.arange(PLACES * 256, dtype=np.uint64) ^ seed) for seed in _SEEDS)
+
+
 class Words:
-    """The words of several texts laid end to end: start, end (byte places), doc (row) and hash of each."""
+    """The words of several texts laid end to end: start, end (byte places), doc (row) and hash of each.
+
+    A word's hash adds up one mixed number for each byte and its place in the word, so unlike a polynomial it has no words
+    that collide by their structure; ``check`` is another one, and both together are 128 bits.
+    """
 
     def __init__(self, flat: np.ndarray, offsets: np.ndarray):
         low = WORD_BYTE[flat]
@@ -98,11 +109,27 @@ class Words:
         after[offsets] = False
         self.start = np.flatnonzero(is_word & ~before[:-1])
         self.end = np.flatnonzero(is_word & ~after[1:]) + 1
-        self.hash = slice_hash(prefix_hash(low), self.start, self.end)
+        size = self.end - self.start
+        self._last = np.cumsum(size)
+        letters = low[is_word].astype(np.int64)
+        self._keys = (np.arange(len(letters)) - np.repeat(self._last - size, size)) * 256 + letters
+        self.hash = self._summed(0)
         self.first = np.searchsorted(self.start, offsets)  # of each row; one more at the end
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
 
+    def _summed(self, which: int) -> np.ndarray:
+        table, keys = _ADDENDS[which], self._keys
+        far = np.flatnonzero(keys >= len(table))
+        addends = table[np.minimum(keys, len(table) - 1)] if len(far) else table[keys]
+        if len(far):
+            addends[far] = mix(keys[far].astype(np.uint64) ^ _SEEDS[which])
+        return mix(np.diff(np.concatenate([np.zeros(1, np.uint64), np.cumsum(addends, dtype=np.uint64)[self._last - 1]])))
+
+    @property
+    def check(self) -> np.ndarray:
+        return self._summed(1)
+
 
 def doc_texts(docs: DataFrame) -> DataFrame:
     """doc_id and text only: other columns, whatever their names, stay out of the way. A null text is empty."""
@@ -130,11 +157,13 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where none is named."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, one of our own if all runs on this machine."""
     import tempfile
 
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='lacuna-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
