@@ -1,13 +1,15 @@
 """Benchmark decontamination with an FM-index per shard of training documents.
 
 A shard is a bounded stretch of a task's documents, as one sequence of word numbers. Numbers are given to the benchmark's
-words only; a stretch of fewer known words than the shortest window can't hold an occurrence, so the index is built over
-the other stretches, each followed by a border. All windows are searched backwards together through the ranks of a
-wavelet matrix of the Burrows-Wheeler transform; occurrences are located by LF steps to sampled suffix places, and the
-spans of each document merge.
+words only (known by 128 bits of hash); a stretch of fewer known words than the shortest window can't hold an occurrence,
+so the index is built over the other stretches, each followed by a border. All windows whose words the shard has are
+searched backwards together through the ranks of a wavelet matrix of the Burrows-Wheeler transform; occurrences are located
+by LF steps to sampled suffix places, and the spans of each document merge.
 
-The benchmark goes out in blocks of ``BLOCK_WORDS`` words, so each task holds a bounded part at a time; the blocks' hits
-are merged per document, by position, where there is more than one.
+The benchmark's items are cut into pieces of ``PIECE_WORDS`` words that overlap by a window less one, so that they have the
+same windows, and the pieces go out in blocks of about ``BLOCK_WORDS`` words (some 60 bytes each): the driver and each task
+hold one block at a time. With several blocks the first pass over the documents keeps a row for each, the others only rows
+of documents with hits, and the spans of equal documents are joined before they are counted.
 
 Defined cases: null and empty texts have no words; items without words have no windows; items of fewer than 13 words are one
 window; repeated items, and items of null id (left out of item lists), are each judged by their text; repeated
@@ -24,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import Words, doc_texts, flat_bytes, mapped, steps
+from lacuna.llm.text import Words, doc_texts, flat_bytes, mapped, steps, stored
 
 WIDTH = 13
-#: Benchmark words in a block; words of a shard's index; distance of sampled suffix places.
-BLOCK_WORDS, SHARD_WORDS, SAMPLE = 4_000_000, 1 << 19, 8
+#: Benchmark words in a block and in a piece of an item; bytes of text and words of a shard's index; distance of sampled suffix places.
+BLOCK_WORDS, PIECE_WORDS, SHARD_BYTES, SHARD_WORDS, SAMPLE = 500_000, 20_000, 1 << 24, 1 << 20, 8
 SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -119,25 +121,30 @@ class FmIndex:
 
 
 class Benchmark:
-    """Vocabulary and distinct windows of some items. windows: right-aligned word numbers from 1."""
+    """Vocabulary and distinct windows of some items. windows: right-aligned word numbers from 1; owner: which windows the items have."""
 
     def __init__(self, ids: list[str | None], texts: pa.Array):
         w = Words(*flat_bytes(texts))
-        self.vocabulary = np.unique(w.hash)
-        number = np.searchsorted(self.vocabulary, w.hash) + 1
-        found: dict[bytes, set[str]] = {}
-        for i, name in enumerate(ids):
-            own = number[w.first[i] : w.first[i + 1]].astype(np.int64)
-            n = min(len(own), WIDTH)
-            for s in range(len(own) - n + 1 if n else 0):
-                found.setdefault(own[s : s + n].tobytes(), set()).update([name] if name is not None else [])
-        keys = sorted(found)
-        self.items = [sorted(found[k]) for k in keys]
-        self.lengths = np.array([len(k) // 8 for k in keys], np.int64)
-        self.windows = np.zeros((len(keys), WIDTH), np.int64)
-        for row, k in enumerate(keys):
-            self.windows[row, WIDTH - len(k) // 8 :] = np.frombuffer(k, np.int64)
-        self.least = int(self.lengths.min()) if len(keys) else WIDTH
+        words = np.unique(np.stack([w.hash, w.check], axis=1), axis=0)
+        self.vocabulary, self.check = words[:, 0].copy(), words[:, 1].copy()
+        self.alike = int(np.unique(self.vocabulary, return_counts=True)[1].max(initial=1))
+        number = self.numbers(w.hash, w.check)
+        n = np.minimum(w.count, WIDTH)
+        each = np.where(n > 0, w.count - n + 1, 0)
+        item = np.repeat(np.arange(len(each)), each)
+        start = w.first[:-1][item] + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        rows = np.zeros((len(item), WIDTH), np.int32)
+        for k in range(WIDTH):  # from the right
+            has = n[item] > k
+            rows[has, WIDTH - 1 - k] = number[start[has] + n[item[has]] - 1 - k]
+        self.windows, which = np.unique(rows, axis=0, return_inverse=True)
+        self.lengths = (self.windows > 0).sum(axis=1)
+        self.least = int(self.lengths.min(initial=WIDTH))
+        self.names = sorted({x for x in ids if x is not None})
+        place = {x: i for i, x in enumerate(self.names)}
+        owner = np.array([place.get(x, -1) for x in ids], np.int64)[item]
+        pairs = np.unique(np.stack([which.ravel()[owner >= 0], owner[owner >= 0]], axis=1), axis=0).astype(np.int32)
+        self.owner, self.owners_from = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1))
 
     @classmethod
     def of(cls, values: dict) -> Benchmark:
@@ -146,12 +153,16 @@ class Benchmark:
         vars(out).update(values)
         return out
 
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+    def numbers(self, hashes: np.ndarray, check: np.ndarray) -> np.ndarray:
         """Number of each word; 0 if the benchmark hasn't it."""
-        if not len(self.vocabulary):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at + 1, 0)
+        out = np.zeros(len(hashes), np.int32)
+        if len(self.vocabulary):
+            at = np.searchsorted(self.vocabulary, hashes)
+            for k in range(self.alike):  # words of one hash stand side by side
+                here = np.minimum(at + k, len(self.vocabulary) - 1)
+                same = (self.vocabulary[here] == hashes) & (self.check[here] == check)
+                out[same] = here[same] + 1
+        return out
 
 
 def stretches(number: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,63 +179,128 @@ def stretches(number: np.ndarray, first: np.ndarray, least: int) -> tuple[np.nda
     return start[long], end[long]
 
 
-def occurrences(b: Benchmark, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(window, word place) of every occurrence, by one FM-index for each shard of the words."""
-    start, end = stretches(number, first, b.least)
-    windows, places = [], []
-    sizes = end - start + 1
-    shard = (np.cumsum(sizes) - sizes) // SHARD_WORDS
-    for k in np.unique(shard):
-        s, n = start[shard == k], sizes[shard == k]
+class Shard:
+    """Documents of a task on their way into an index: the stretches of known words of each, laid end to end with borders."""
+
+    def __init__(self, b: Benchmark):
+        self.b, self.size, self.counts, self.texts, self.documents, self.places = b, 0, [], [], [], []
+
+    def add(self, words: Words) -> None:
+        number = self.b.numbers(words.hash, words.check)
+        start, end = stretches(number, words.first, self.b.least)
+        n = end - start + 1
         base = np.cumsum(n) - n
-        source = np.repeat(s - base, n) + np.arange(n.sum())  # the word place of each place of the index
-        text = 1 + np.where(np.arange(len(source)) == np.repeat(base + n - 1, n), 0, number[np.minimum(source, len(number) - 1)])
-        index = FmIndex(np.append(text, 0), len(b.vocabulary) + 2)  # 0 ends the text, 1 is a border, words follow
-        low, high = index.search(b.windows + 1, b.lengths)
-        count = np.maximum(high - low, 0)
-        window = np.repeat(np.arange(len(low)), count)
-        rows = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        windows.append(window)
-        places.append(source[index.locate(rows)])
-    empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *windows]), np.concatenate([empty, *places])
-
-
-def hits(b: Benchmark, words: Words) -> tuple[np.ndarray, list[set[str]]]:
-    """Of each word whether it is hit, and of each document the items that occur in it."""
-    window, place = occurrences(b, b.numbers(words.hash), words.first)
-    cover = np.zeros(len(words.hash) + 1, np.int64)
-    np.add.at(cover, place, 1)
-    np.add.at(cover, place + b.lengths[window], -1)
-    items: list[set[str]] = [set() for _ in range(len(words.count))]
-    for pair in np.unique(words.doc[place] * max(1, len(b.items)) + window).tolist():
-        items[pair // len(b.items)].update(b.items[pair % len(b.items)])
-    return np.cumsum(cover)[:-1] > 0, items
-
-
-def verdict(words: int, hit: int, items: set[str]) -> tuple[int, int, int, str, bool]:
-    return words, hit, len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), hit > 0 and 20 * hit >= words
+        source = np.repeat(start - base, n) + np.arange(n.sum())
+        border = np.zeros(len(source), bool)
+        border[base + n - 1] = True
+        text = np.where(border, 1, 1 + number[np.minimum(source, max(len(number) - 1, 0))]) if len(source) else np.zeros(0, np.int32)
+        self.texts.append(text.astype(np.int32))
+        self.documents.append(np.repeat(len_of(self.counts) + words.doc[start], n).astype(np.int32))
+        self.places.append((source - words.first[np.repeat(words.doc[start], n)]).astype(np.int64))
+        self.counts.append(words.count)
+        self.size += len(text)
+
+    def hits(self) -> list[tuple[int, np.ndarray, list[int]]]:
+        """(words, merged word spans as rows of start and end, items) of each document."""
+        count = np.concatenate([np.zeros(0, np.int64), *self.counts])
+        out = [(int(n), np.zeros((0, 2), np.int64), []) for n in count]
+        if not self.size:
+            return out
+        text, document, place = (np.concatenate(x) for x in (self.texts, self.documents, self.places))
+        b, present = self.b, np.zeros(len(self.b.vocabulary) + 1, bool)
+        present[np.maximum(text - 1, 0)] = True
+        present[0] = True  # padding
+        alive = np.ones(len(b.windows), bool)
+        for k in range(WIDTH):
+            alive &= present[b.windows[:, k]]
+        alive = np.flatnonzero(alive)
+        index = FmIndex(np.append(text, 0).astype(np.int64), len(b.vocabulary) + 2)  # 0 ends the text, 1 is a border, words follow
+        low, high = index.search(b.windows[alive].astype(np.int64) + 1, b.lengths[alive])
+        times = np.maximum(high - low, 0)
+        window = alive[np.repeat(np.arange(len(low)), times)]
+        at = index.locate(np.repeat(low - (np.cumsum(times) - times), times) + np.arange(times.sum()))
+        own, first = document[at], place[at]
+        last = first + b.lengths[window]
+        order = np.lexsort((last, first, own))
+        own, first, last, window = own[order], first[order], last[order], window[order]
+        edges = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            reach = np.maximum.accumulate(last[i:j])
+            new = np.append(True, first[i + 1 : j] > reach[:-1])
+            spans = np.stack([first[i:j][new], reach[np.append(np.flatnonzero(new)[1:] - 1, j - i - 1)]], axis=1)
+            items = np.unique(np.concatenate([b.owner[b.owners_from[w] : b.owners_from[w + 1]] for w in np.unique(window[i:j]).tolist()]))
+            out[own[i]] = (int(count[own[i]]), spans, items.tolist())
+        return out
 
 
-def blocks(benchmark: DataFrame) -> list[DataFrame]:
-    """The benchmark cut by a hash of the items into parts of about BLOCK_WORDS words."""
+def len_of(parts: list) -> int:
+    return sum(map(len, parts))
+
+
+def hits_of(b: Benchmark, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[tuple[int, np.ndarray, list[int]]]]]:
+    """(some batches, what Shard.hits says of their rows), one shard after another."""
+    held: list[pa.RecordBatch] = []
+    shard, size = Shard(b), 0
+    for batch in batches:
+        flat, offsets = flat_bytes(batch.column("text"))
+        for i, j in steps(offsets):
+            shard.add(Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+        held.append(batch)
+        size += len(flat)
+        if size >= SHARD_BYTES or shard.size >= SHARD_WORDS:
+            yield held, shard.hits()
+            held, shard, size = [], Shard(b), 0
+    if held:
+        yield held, shard.hits()
+
+
+def verdict(words: int, spans: np.ndarray, names: list[str]) -> tuple[int, int, int, str, bool]:
+    hit = int((spans[:, 1] - spans[:, 0]).sum())
+    return words, hit, len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), hit > 0 and 20 * hit >= words
+
+
+def item_pieces(benchmark: DataFrame) -> DataFrame:
+    """item_id, text and words of the benchmark's pieces, without repeats. A piece that isn't a whole item has 13 words at least."""
+    kind = "item_id string, text string, words long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = text.encode()
+                w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                n = len(w.start)
+                for a in range(0, max(1, n - WIDTH + 1), PIECE_WORDS) if n else ():
+                    z = min(n, a + PIECE_WORDS + WIDTH - 1)
+                    out.append((name, raw[w.start[a] : w.end[z - 1]].decode(), z - a))
+            names, texts, words = zip(*out, strict=True) if out else ((),) * 3
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string()), pa.array(words, pa.int64())], names=["item_id", "text", "words"])
+
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // (6 * BLOCK_WORDS)))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)] if n > 1 else [items]
+    return mapped(items, run, kind).distinct()
 
 
-def parsed(spark, items: DataFrame):
-    t = items.toArrow()
-    return spark.sparkContext.broadcast(vars(Benchmark(t.column("item_id").to_pylist(), t.column("text"))))
+def blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """The benchmark's pieces, dealt by hash into parts of about BLOCK_WORDS words."""
+    pieces = stored(item_pieces(benchmark))
+    n = max(1, -(-pieces.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0] // BLOCK_WORDS))
+    return [pieces.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
+
+
+def parsed(block: DataFrame):
+    t = block.select("item_id", "text").toArrow()  # about BLOCK_WORDS words
+    return block.sparkSession.sparkContext.broadcast(vars(Benchmark(t.column("item_id").to_pylist(), t.column("text"))))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Hit words, items and the verdict of each document. Columns: SCHEMA."""
     parts = blocks(benchmark)
     if len(parts) == 1:
-        return one_block(doc_texts(docs), parsed(docs.sparkSession, parts[0]))
-    return judged_by_parts(docs, parts).drop("row_key")
+        return one_block(doc_texts(docs), parsed(parts[0]))
+    every, found = judged_by_parts(docs, parts)
+    none = {"n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"), "items_sha256": F.lit(hashlib.sha256(b"").hexdigest()), "contaminated": F.lit(False)}
+    both = every.join(found, "row_key", "left")
+    return both.select("doc_id", "n_words", *(F.coalesce(c, x).alias(c) for c, x in none.items()))
 
 
 def row_key() -> Column:
@@ -232,91 +308,86 @@ def row_key() -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
 
 
-def judged_by_parts(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """The verdicts by several blocks of the benchmark, with the row_key of each document. Columns: row_key, SCHEMA."""
-    numbered, found = doc_texts(docs).withColumn("row_key", row_key()), None
-    for p in parts:
-        part = spans_of_block(numbered, parsed(docs.sparkSession, p))
-        found = part if found is None else found.unionByName(part)
-    return merged(found, len(parts))
-
-
 def one_block(texts: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [verdict(*x) for _, words in pieces(batch.column("text")) for x in counts(Benchmark.of(shared.value), words)]
-            n, hit, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (n, hit, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
+        b = Benchmark.of(shared.value)
+        for held, found in hits_of(b, batches):
+            rows = [verdict(n, spans, [b.names[i] for i in items]) for n, spans, items in found]
+            n, hit, items, bad_digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
+            ids = pa.chunked_array([x.column("doc_id") for x in held]).combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in (n, hit, items)), pa.array(bad_digest, pa.string()), pa.array(bad, pa.bool_())], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return mapped(texts, run, SCHEMA)
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, Words]]:
-    flat, offsets = flat_bytes(column)
-    for i, j in steps(offsets):
-        yield i, Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-
-
-def counts(b: Benchmark, words: Words) -> list[tuple[int, int, set[str]]]:
-    hit, items = hits(b, words)
-    total = np.concatenate([[0], np.cumsum(hit)])
-    return list(zip(words.count.tolist(), (total[words.first[1:]] - total[words.first[:-1]]).tolist(), items, strict=True))
+HITS = "row_key string, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
 
 
-def spans_of_block(numbered: DataFrame, shared) -> DataFrame:
-    """row_key, doc_id, n_words, merged word spans and item ids of each document for one block of the benchmark."""
-    kind = "row_key string, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
+def hits_of_block(numbered: DataFrame, shared, every: bool) -> DataFrame:
+    """HITS for one block of the benchmark: of every document, or only of those with hits. Without hits spans and items are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, spans, items = [], [], []
-            for _, words in pieces(batch.column("text")):
-                hit, found = hits(Benchmark.of(shared.value), words)
-                for d in range(len(words.count)):
-                    own = np.concatenate([[0], hit[words.first[d] : words.first[d + 1]].astype(np.int8), [0]])
-                    edge = np.flatnonzero(np.diff(own))
-                    spans.append([{"a": int(a), "b": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-                    n.append(int(words.count[d]))
-                    items.append(sorted(found[d]))
-            kinds = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(spans, kinds), pa.array(items, pa.list_(pa.string()))], names=["row_key", "doc_id", "n_words", "spans", "items"])
+        b = Benchmark.of(shared.value)
+        for held, found in hits_of(b, batches):
+            keys, ids = ([v for x in held for v in x.column(c).to_pylist()] for c in ("row_key", "doc_id"))
+            rows = [(k, i, n, [{"a": int(x), "b": int(y)} for x, y in spans] if len(spans) else None, [b.names[v] for v in items] if len(spans) else None) for k, i, (n, spans, items) in zip(keys, ids, found, strict=True) if every or len(spans)]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in HITS.split(", ")])
 
-    return mapped(numbered, run, kind)
+    return mapped(numbered, run, HITS)
 
 
-def merged(found: DataFrame, blocks: int) -> DataFrame:
-    """One row for each document from the blocks' rows; rows that repeat one document count as often as they did in a block."""
-    groups = found.groupBy("row_key", "doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.count("*").alias("rows"))
+def judged_by_parts(docs: DataFrame, parts: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(row_key, doc_id, n_words of every document; row_key and the verdict of those with hits) by several blocks of the benchmark."""
+    numbered = doc_texts(docs).withColumn("row_key", row_key())
+    every = found = None
+    for p in parts:
+        shared = parsed(p)
+        part = stored(hits_of_block(numbered, shared, every is None))
+        shared.unpersist()
+        every = part if every is None else every
+        part = part.where("spans IS NOT NULL")
+        found = part if found is None else found.unionByName(part)
+    # equal documents have equal spans, so a group has as many sets as there are blocks
+    groups = found.groupBy("row_key", "n_words").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    kind = "row_key string, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, ids, keys = [], [], []
-            for r in batch.to_pylist():
-                hit = np.zeros(r["n_words"] + 1, np.int64)
-                for s in r["spans"]:
-                    hit[s["a"]] += 1
-                    hit[s["b"]] -= 1
-                for _ in range(r["rows"] // blocks):
-                    keys.append(r["row_key"])
-                    ids.append(r["doc_id"])
-                    rows.append(verdict(r["n_words"], int((np.cumsum(hit) > 0).sum()), set(r["items"])))
-            n, hit_, items, digest, bad = zip(*rows, strict=True) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in (n, hit_, items)), pa.array(digest, pa.string()), pa.array(bad, pa.bool_())], names=["row_key", *(c.split()[0] for c in SCHEMA.split(", "))])
-
-    return mapped(groups, run, f"row_key string, {SCHEMA}")
+            rows = [(r["row_key"], *verdict(r["n_words"], joined(r["spans"]), r["items"])[1:]) for r in batch.to_pylist()]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in kind.split(", ")])
+
+    return every.select("row_key", "doc_id", "n_words"), stored(mapped(groups, run, kind))
+
+
+def joined(spans: list[dict]) -> np.ndarray:
+    """The spans of several blocks, overlapping ones together."""
+    out: list[list[int]] = []
+    for x, y in sorted((s["a"], s["b"]) for s in spans):
+        if out and x <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], y)
+        else:
+            out.append([x, y])
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones (20 * n_hit >= n_words > 0); all others stay as they are."""
-    spark, parts = docs.sparkSession, blocks(benchmark)
+    parts = blocks(benchmark)
     if len(parts) > 1:
-        bad = judged_by_parts(docs, parts).where("contaminated").select(F.col("row_key").alias("lacuna_key")).distinct()
-        return docs.withColumn("lacuna_key", row_key()).join(bad, "lacuna_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    shared = parsed(spark, parts[0])
+        bad = judged_by_parts(docs, parts)[1].where("contaminated").select(F.col("row_key").alias("lacuna_key"))
+        keyed = docs.select(row_key().alias("lacuna_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        return keyed.join(bad, "lacuna_key", "left_anti").select("row.*")
+    shared = parsed(parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [not verdict(*x)[4] for _, words in pieces(batch.column("text")) for x in counts(Benchmark.of(shared.value), words)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for held, found in hits_of(Benchmark.of(shared.value), batches):
+            keep = np.array([not verdict(n, spans, [])[4] for n, spans, _ in found], bool)
+            for batch in held:
+                yield batch.filter(pa.array(keep[: batch.num_rows]))
+                keep = keep[batch.num_rows :]
 
     return mapped(docs, run, docs.schema)

@@ -154,11 +154,12 @@ def near_rows():
     return [*rows, (900, None), (901, ""), (902, "!!"), (903, "one two"), (904, "One,  TWO"), (905, hot and " ".join(hot)), (905, " ".join(hot)), (None, "no id here at all you see"), (None, "no id here at all you see")]
 
 
-@pytest.mark.parametrize("large", [48, 4])
-def test_near_copies(spark, large, monkeypatch):
+@pytest.mark.parametrize("large,other", [(48, {}), (4, {}), (4, {"FAN": 3, "RARE": 2, "DEALT": 3})])
+def test_near_copies(spark, large, other, monkeypatch):
     from lacuna.llm import prob_minhash as M
 
-    monkeypatch.setattr(M, "LARGE", large)
+    for name, value in ({"LARGE": large} | other).items():
+        monkeypatch.setattr(M, name, value)
     rows = near_rows()
     sets = [shingle_set(t) for _, t in rows]
     parent = list(range(len(rows)))
@@ -230,6 +231,9 @@ def test_decontamination(spark, monkeypatch):
     kept = D.clean_documents(df, bench)
     assert kept.columns == df.columns and kept.count() == sum(not w[-1] for w in want)
     assert rows_of(D.judged(df, bench.limit(0)).select("n_hit").distinct()) == [(0,)] and D.judged(df.limit(0), bench).count() == 0
+    monkeypatch.setattr(D, "SHARD_BYTES", 1)  # an index for each batch
+    monkeypatch.setattr(D, "PIECE_WORDS", 7)  # items in several pieces
+    assert rows_of(D.judged(df, bench)) == sorted(want, key=str)
     monkeypatch.setattr(D, "BLOCK_WORDS", 40)  # a benchmark of several blocks
     assert len(D.blocks(bench)) > 1 and rows_of(D.judged(df, bench)) == sorted(want, key=str)
     assert D.clean_documents(df, bench).count() == kept.count()
