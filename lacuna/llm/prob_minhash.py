@@ -8,12 +8,13 @@ exact Jaccard similarity of its shingle sets is at least the threshold. That sim
 lower the weighted one without bound, so every document has bands of the same process with all weights 1, too; these are the
 weighted ones where no shingle is repeated.
 
-Texts of equal word sequences become one node before any pair is looked at. Within a bucket of a band each node is compared
+Texts of equal word sequences become one node before any pair is looked at: equal means equal in 128 bits, of which 64 name
+the node, and nodes of one name whose other bits differ are named anew. Within a bucket of a band each node is compared
 with the bucket's centre, drawn by hash; then nodes and centres that are still in different components; then the nodes
 of different components that still share a bucket. Pairs within a component are implied and never made. In large buckets
 the last step makes the pairs that have a rare shingle in common, and bounds the others by the number of frequent shingles
 of either text and by bitmaps of their shingles: a bit that only one text has stands for a shingle that the other lacks.
-Both bounds are exact, and no step has a cap.
+Both bounds are exact, and no step has a cap. A large bucket is dealt out to several tasks, each with some of its nodes.
 
 Defined cases: texts of one to four words have one shingle, all of them; texts without words match only equal texts; a null
 text is empty; repeated rows and equal texts are one class; the class id is the smallest doc_id of the class (null only if
@@ -22,6 +23,7 @@ all are null); other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.text import Words, flat_bytes, mapped, mix, prefix_hash, slice_hash, steps, stored
+from lacuna.llm.text import Words, flat_bytes, mapped, mix, steps, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 26 bands of 5 registers: a pair of similarity 0.8 shares no band of weights 1 with a probability of 3e-5, whatever its
@@ -44,17 +46,25 @@ LARGE = 48
 RARE = 16
 #: 64-bit masks of a node of a large bucket; each shingle sets one bit.
 MASKS = 8
+#: Nodes of a large bucket that meet in a task.
+DEALT = 512
 
 
 def shingles(words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, shingle, occurrences) of distinct shingles, by document and shingle."""
-    prefix = prefix_hash(words.hash)
     at = np.arange(len(words.hash))
     full = at + width <= words.first[1:][words.doc] if len(at) else np.zeros(0, bool)
     start = at[full]
     short = np.flatnonzero((words.count > 0) & (words.count < width))
     doc = np.concatenate([words.doc[start], short])
-    value = np.concatenate([slice_hash(prefix, start, start + width), slice_hash(prefix, words.first[short], words.first[short + 1])])
+    # one mixed addend for each word and its place, so places can't cancel out
+    factor = mix(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
+    full_value, short_value = np.zeros(len(start), np.uint64), np.zeros(len(short), np.uint64)
+    for k in range(width):
+        full_value += words.hash[start + k] * factor[k]
+        more = words.count[short] > k
+        short_value[more] += words.hash[words.first[short[more]] + k] * factor[k]
+    value = mix(np.concatenate([full_value, short_value]))
     order = np.lexsort((value, doc))
     doc, value = doc[order], value[order]
     new = np.ones(len(doc), bool)
@@ -106,31 +116,60 @@ def band_lists(doc: np.ndarray, element: np.ndarray, times: np.ndarray, docs: in
     return np.concatenate([plain[np.unique(doc)], weighted])[order].ravel(), BANDS * np.bincount(row, minlength=docs)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and keys that tell rows apart unless they repeat each other; k1 orders null ids last."""
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text, more columns, and keys that tell rows apart unless they repeat each other; k1 orders null ids last."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("k1", F.coalesce("doc_id", F.lit(2**63 - 1))).withColumn("k2", F.xxhash64("doc_id", "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *more).withColumn("k1", F.coalesce("doc_id", F.lit(2**63 - 1))).withColumn("k2", F.xxhash64("doc_id", "text"))
+
+
+def sequence_hash(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash of each row's sequence of words: one mixed number for each word and its place, added up."""
+    place = np.arange(len(hashes)) - np.repeat(first[:-1], count)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + mix(place.astype(np.uint64))), dtype=np.uint64)])
+    return mix(total[first[1:]] - total[first[:-1]] + count.astype(np.uint64))
+
+
+def nodes_of(words: Words, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(name, other bits) of each text: of its words in order; of its bytes if it has no words."""
+    both = sequence_hash(words.hash, words.first, words.count), sequence_hash(words.check, words.first, words.count)
+    for i in np.flatnonzero(words.count == 0).tolist():
+        found = np.frombuffer(hashlib.blake2b((texts[i].as_py() or "").encode(), digest_size=16).digest(), np.uint64)
+        both[0][i], both[1][i] = found
+    return both
+
+
+SIGNED = "doc_id long, k1 long, k2 long, node long, other long, bands array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2, node (a hash of the word sequence) and band hashes of keyed documents; no bands without words."""
+    """SIGNED: doc_id, keys, node (name and other bits) and band hashes of keyed documents; no bands without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat, offsets = flat_bytes(batch.column("text"))
             for i, j in steps(offsets):
-                part, at = flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-                words = Words(part, at)
+                own = batch.slice(i, j - i)
+                words = Words(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 doc, value, times = shingles(words)
                 bands, size = band_lists(doc, value, times, j - i)
-                node = slice_hash(prefix_hash(words.hash), words.first[:-1], words.first[1:])
-                none = words.count == 0
-                node[none] = mix(slice_hash(prefix_hash(part), at[:-1], at[1:])[none] + np.uint64(1))
+                node, other = nodes_of(words, own.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(bands.view(np.int64)))
-                own = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("k1"), own.column("k2"), pa.array(node.view(np.int64)), lists], names=["doc_id", "k1", "k2", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("k1"), own.column("k2"), pa.array(node.view(np.int64)), pa.array(other.view(np.int64)), lists], names=[c.split()[0] for c in SIGNED.split(", ")])
+
+    return mapped(docs.select("doc_id", "k1", "k2", "text"), run, SIGNED)
+
 
-    return mapped(docs.select("doc_id", "k1", "k2", "text"), run, "doc_id long, k1 long, k2 long, node long, bands array<long>")
+def told_apart(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(base, nodes): documents with the names of their nodes, and node, first (keys of its first row), bands of each node.
+
+    Different texts of one name are very rare; they get names that their other bits enter into."""
+    while True:
+        groups = base.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("first"), F.first("bands").alias("bands"), F.min("other").alias("low"), F.max("other").alias("high"))
+        groups = stored(groups)
+        clash = groups.where("low <> high").select("node", F.lit(True).alias("clash"))
+        if clash.isEmpty():
+            return base, groups.drop("low", "high")
+        base = stored(base.join(clash, "node", "left").withColumn("node", F.when(F.col("clash"), F.xxhash64("node", "other")).otherwise(F.col("node"))).drop("clash"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -252,27 +291,28 @@ def remaining(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             own = stored(own.join(stored(kept), "node"))
         else:
             own = own.withColumns({"size": F.lit(0), "live": F.lit(0), "all": F.array(F.col("bucket"))} | {f"m{k}": F.lit(0) for k in range(MASKS)})
-        few = own.where("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"), F.col("all").alias("bx"), *(F.col(f"m{k}").alias(f"x{k}") for k in range(MASKS)))
+        salts = F.ceil(F.col("members") / DEALT).cast("int")
+        few = own.where("comp <> main").select("bucket", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("size").alias("sx"), F.col("live").alias("lx"), F.col("all").alias("bx"), *(F.col(f"m{k}").alias(f"x{k}") for k in range(MASKS)))
         # a pair comes from its first common bucket; the main component's nodes are on one side only, so no pair of two of them is looked at
         fits = "cx <> comp AND (comp = main OR x > node)"
         if large:
             only_x, only_y = (" + ".join(f"bit_count({a}{k} & ~{b}{k})" for k in range(MASKS)) for a, b in ("xm", "mx"))
             common = f"least(lx, live, sx - ({only_x}), size - ({only_y}))"
             fits += f" AND {common} * {1 + threshold}D + 1e-6D >= {threshold}D * (sx + size) AND array_min(array_intersect(bx, all)) = bucket"
-        pairs = few.join(own, "bucket").where(fits).select(F.greatest("x", "node").alias("x"), F.least("x", "node").alias("y")).distinct()
+        own = own.withColumn("salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
+        pairs = few.join(own, ["bucket", "salt"]).where(fits).select(F.greatest("x", "node").alias("x"), F.least("x", "node").alias("y")).distinct()
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
 
 
-def node_components(base: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(node, comp) of the nodes that have a link."""
-    nodes = stored(base.where(F.size("bands") > 0).groupBy("node").agg(F.min("k1").alias("k1"), F.first("bands").alias("bands")))
+def node_components(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(node, comp) of the nodes that have a link. nodes: node, first, bands."""
     buckets = nodes.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
     centres = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "bucket")).alias("centre")).where("n > 1").drop("n"))
     shared = stored(buckets.join(centres, "bucket"))
     asked = stored(shared.select("node").distinct())
     # one row of each node that shares a bucket, with its text
-    source = base.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.*")
+    source = nodes.join(asked, "node", "left_semi").select("node", "first.k1", "first.k2")
     texts = stored(docs.select("k1", "k2", "text").join(source, ["k1", "k2"]).select("node", "text").dropDuplicates(["node"]))
     tested = stored(shared.where("node <> centre").groupBy(F.col("node").alias("x")).agg(F.min("centre").alias("y")))
     comps = components(verified(tested, texts, threshold))
@@ -297,19 +337,21 @@ def node_components(base: DataFrame, docs: DataFrame, threshold: float) -> DataF
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id, and the keys of the row and of the class's first row, of each document."""
     own = keyed(docs)
-    base = stored(signed(own))
-    comps = node_components(base, own, threshold)
-    nodes = labelled(base.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("first")), comps, "node", "comp")
-    nodes = stored(nodes)
+    base, nodes = told_apart(stored(signed(own)))
+    comps = node_components(nodes, own, threshold)
+    nodes = stored(labelled(nodes.select("node", "first"), comps, "node", "comp"))
     heads = stored(nodes.groupBy("comp").agg(F.min("first").alias("head")))
     named = stored(nodes.select("node", "comp").join(heads, "comp").select("node", F.col("head.k1").alias("h1"), F.col("head.k2").alias("h2")))
     return base.select("doc_id", "k1", "k2", "node").join(named, "node").select("doc_id", F.when(F.col("h1") < 2**63 - 1, F.col("h1")).alias("class_id"), "k1", "k2", "h1", "h2")
 
 
 def first_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with one document of each class: the one of the smallest doc_id, once even if its row is repeated."""
+    """docs with one document of each class: the one of the smallest doc_id, once even if its row is repeated.
+
+    Of rows that differ in other columns only the smallest one stays, by the columns in their order (any, if one has no order)."""
     found = classes(docs, threshold)
-    keep = stored(found.where("k1 = h1 AND k2 = h2").select(F.col("k1").alias("lacuna_k1"), F.col("k2").alias("lacuna_k2")).distinct())
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.withColumn("lacuna_k1", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))).withColumn("lacuna_k2", F.xxhash64(F.col("doc_id").cast("long"), text))
-    return own.join(keep, ["lacuna_k1", "lacuna_k2"], "left_semi").dropDuplicates(["lacuna_k1", "lacuna_k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = stored(found.where("k1 = h1 AND k2 = h2").select("k1", "k2").distinct())
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = keyed(docs.select("doc_id", "text", row), "row")
+    pick = F.any_value if any(k in docs.schema.simpleString() for k in ("map<", "variant")) else F.min
+    return own.join(keep, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(pick("row").alias("row")).select("row.*")
