@@ -2,7 +2,8 @@
 
 Base kinds (email, ip, card, phone) follow fixed rules and always stay. Further kinds are kept if their score reaches
 ``THRESHOLD``: iban (ISO 13616 shape; mod-97 decides), ssn (three dashed groups; valid ranges, and context decides),
-phone_local (dashed or dotted national numbers that no base span covers; context decides).
+phone_local (dashed or dotted national numbers that no base span covers; context decides), secret (20 characters or more as
+in keys and tokens; letters and digits mixed with enough entropy, and context decides).
 
 Defined cases: null and empty texts have no spans; places are code points, the end is exclusive; repeated rows give
 repeated results; leading zeros of an address's parts, however many, don't count; other columns are ignored; an empty table gives no rows. Every rule takes time in proportion to the
@@ -12,7 +13,10 @@ text, long digit runs included.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,8 +26,9 @@ from lacuna.llm.text import doc_texts, mapped, with_texts
 
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 BASE = ("email", "ip", "card", "phone")
-MORE = ("iban", "ssn", "phone_local")
-THRESHOLD = 0.5
+MORE = ("iban", "ssn", "phone_local", "secret")
+#: Score that a span of a further kind must reach; bits a character that a secret must have.
+THRESHOLD, ENTROPY = 0.5, 2.8
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -33,14 +38,16 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=.@-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=@-])")
 #: Words within WINDOW code points before a span, and what they add to its score.
 WINDOW = 40
 CONTEXT = {
     "iban": (re.compile(r"(?i)iban|account|bank|konto|compte|cuenta"), 0.2),
     "ssn": (re.compile(r"(?i)\bssn\b|social|security|tax"), 0.5),
+    "secret": (re.compile(r"(?i)token|secret|passw|credential|bearer|auth|(?:api|access|private)[ _-]?key"), 0.4),
     "phone_local": (re.compile(r"(?i)tel|phone|call|mobile|fax|numéro|telefon|teléfono"), 0.4),
 }
-PRIOR = {"iban": 0.6, "ssn": 0.2, "phone_local": 0.2}
+PRIOR = {"iban": 0.6, "ssn": 0.2, "phone_local": 0.2, "secret": 0.2}
 
 
 def luhn(digits: str) -> bool:
@@ -53,6 +60,11 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def entropy(text: str) -> float:
+    """Bits a character of the text's own distribution."""
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Each @ in turn: the longest run of local characters before it that no earlier match has taken, then a domain."""
     out, free, at = [], 0, text.find("@")
@@ -105,10 +117,15 @@ def all_spans(text: str) -> list[tuple[str, int, int]]:
         area, group, serial = m[0].split("-")
         if score("ssn", text, m.start(), area not in ("000", "666") and area < "900" and group != "00" and serial != "0000") >= THRESHOLD:
             found["ssn"].append(m.span())
-    taken = sorted(base["phone"])
+    starts = [a for a, _ in base["phone"]]  # in order, and apart from each other
     for m in LOCAL_PHONE.finditer(text):
-        if not any(a < m.end() and m.start() < b for a, b in taken) and score("phone_local", text, m.start(), True) >= THRESHOLD:
+        i = bisect_right(starts, m.end() - 1)
+        if not (i and base["phone"][i - 1][1] > m.start()) and score("phone_local", text, m.start(), True) >= THRESHOLD:
             found["phone_local"].append(m.span())
+    for m in SECRET.finditer(text):
+        mixed = any(map(str.isdigit, m[0])) and any(map(str.isalpha, m[0]))
+        if mixed and score("secret", text, m.start(), entropy(m[0]) >= ENTROPY) >= THRESHOLD:
+            found["secret"].append(m.span())
     return out + [(k, a, b) for k in MORE for a, b in found[k]]
 
 
