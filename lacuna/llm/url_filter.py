@@ -2,7 +2,7 @@
 
 The trees learn from the URLs that a rule labels: lengths, depths, digit ratio, entropy, parameter counts, and statistics
 of the host's suffix (its last label) over all labelled URLs. They are fitted on at most ``sample`` labelled URLs, drawn by
-hash; the suffix statistics count every labelled row.
+hash; the suffix statistics count every labelled row. Only URLs without a rule are scored (``block_score``, else null).
 
 Defined cases: a null URL or one without :// has an empty host and path, no rule, and the method's verdict; with no
 labelled URLs, or one class only, the method allows, or says that class; repeated rows give repeated results; other
@@ -15,13 +15,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lacuna.llm.text import flat_bytes, mapped
+
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of suffix statistics (about 30 bytes each) up to which they are broadcast; a plain join beyond.
 BROADCAST_ROWS = 50_000
+#: URLs that one step computes features of.
+ROWS = 4096
 
 
 def located(pages: DataFrame) -> DataFrame:
@@ -49,16 +54,38 @@ def ruled(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
 FEATURES = ("length", "host length", "path length", "labels", "depth", "digits", "digit ratio", "entropy", "parameters", "fragment", "hyphens", "longest part", "https", "suffix rate", "suffix count")
 
 
-def features(urls: list[str], hosts: list[str], paths: list[str], rates: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(urls), len(FEATURES)))
-    for i, (u, h, p) in enumerate(zip(urls, hosts, paths, strict=True)):
-        raw = np.bincount(np.frombuffer(u.encode(), np.uint8), minlength=256) if u else np.zeros(256, np.int64)
-        share = raw[raw > 0] / max(1, raw.sum())
-        digits = int(raw[48:58].sum())
-        query = u.partition("?")[2].partition("#")[0]
-        out[i, :13] = (len(u), len(h), len(p), h.count(".") + bool(h), p.count("/"), digits, digits / max(1, len(u)), -(share * np.log2(share)).sum(), query.count("=") + query.count("&"), "#" in u, u.count("-"), max(map(len, p.split("/"))), u.startswith("https"))
-    out[:, 13], out[:, 14] = rates, np.log1p(counts)
-    return out
+def features(urls: pa.Array, hosts: pa.Array, paths: pa.Array, rates: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A row of FEATURES for each URL; lengths and places are those of bytes."""
+    flat, offsets = flat_bytes(urls)
+    n, size = len(urls), np.diff(offsets)
+    row = np.repeat(np.arange(n), size)
+    kinds = np.bincount(row * 256 + flat, minlength=256 * n).reshape(n, 256)
+    share = kinds / np.maximum(size, 1)[:, None]
+    bits = -(share * np.log2(np.where(share > 0, share, 1))).sum(axis=1)
+    digits = kinds[:, 48:58].sum(axis=1)
+
+    def first(byte: int) -> np.ndarray:
+        """The place of each URL's first such byte; its end if there is none."""
+        out, at = offsets[1:].copy(), np.flatnonzero(flat == byte)
+        np.minimum.at(out, row[at], at)
+        return out
+
+    asked, ended, pairs = first(ord("?")), first(ord("#")), np.flatnonzero((flat == ord("=")) | (flat == ord("&")))
+    parameters = np.bincount(row[pairs], (pairs > asked[row[pairs]]) & (pairs < ended[row[pairs]]), minlength=n)
+    path, at = flat_bytes(paths)
+    slashes = np.flatnonzero(path == ord("/"))
+    slash_row = np.searchsorted(at[1:], slashes, "right")
+    own = np.concatenate([slash_row, np.arange(n)])
+    ends = np.concatenate([slashes, at[1:]]) + own  # of parts, as if each path ended in a byte of its own
+    order = np.argsort(ends)
+    part = np.zeros(n)
+    np.maximum.at(part, own[order], np.diff(ends[order], prepend=-1) - 1)
+    host, host_at = flat_bytes(hosts)
+    dots = np.bincount(np.repeat(np.arange(n), np.diff(host_at))[host == ord(".")], minlength=n)
+    slash_counts = np.bincount(slash_row, minlength=n)
+    https = pc.starts_with(urls, "https").to_numpy(zero_copy_only=False)
+    columns = (size, np.diff(host_at), np.diff(at), dots + (np.diff(host_at) > 0), slash_counts, digits, digits / np.maximum(size, 1), bits, parameters, kinds[:, ord("#")] > 0, kinds[:, ord("-")], part, https, rates, np.log1p(counts))
+    return np.stack([np.asarray(c, np.float64) for c in columns], axis=1) if n else np.zeros((0, len(FEATURES)))
 
 
 class Boosted:
@@ -132,14 +159,19 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: i
     small = stats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     full = found.join(F.broadcast(stats) if small else stats, "suffix", "left").fillna({"suffix_count": 0.0, "suffix_rate": 0.5})
     drawn = full.where(F.col("says").isNotNull()).select("page_id", "url", "host", "path", "suffix_rate", "suffix_count", block.alias("y")).orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(sample).toArrow()
-    x = lambda t: features(*(t.column(c).to_pylist() for c in ("url", "host", "path")), t.column("suffix_rate").to_numpy(), t.column("suffix_count").to_numpy())
-    model = Boosted().fit(x(drawn), drawn.column("y").to_numpy())
+    x = lambda t: features(*(t.column(c) for c in ("url", "host", "path")), t.column("suffix_rate").to_numpy(), t.column("suffix_count").to_numpy())
+    drawn = drawn.combine_chunks()
+    model = Boosted().fit(x(drawn.to_batches()[0]) if drawn.num_rows else np.zeros((0, len(FEATURES))), drawn.column("y").to_numpy())
     kind = "page_id long, host string, path string, rule string, verdict string, block_score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            score = model.predict(x(b)) if b.num_rows else np.zeros(0)
-            verdict = [s or ("block" if p >= 0.5 else "allow") for s, p in zip(b.column("says").to_pylist(), score, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), b.column("rule"), pa.array(verdict, pa.string()), pa.array(score)], names=["page_id", "host", "path", "rule", "verdict", "block_score"])
-
-    return full.select("page_id", "url", "host", "path", "rule", "says", "suffix_rate", "suffix_count").mapInArrow(run, kind)
+        for batch in batches:
+            for i in range(0, batch.num_rows, ROWS):
+                b = batch.slice(i, ROWS)
+                open_ = b.column("says").is_null().to_numpy(zero_copy_only=False)
+                score = np.zeros(b.num_rows)
+                score[open_] = model.predict(x(b.filter(pa.array(open_))))
+                verdict = pc.coalesce(b.column("says"), pc.if_else(pa.array(score >= 0.5), "block", "allow"))
+                yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), b.column("rule"), verdict, pa.array(score, mask=~open_)], names=[c.split()[0] for c in kind.split(", ")])
+
+    return mapped(full.select("page_id", "url", "host", "path", "rule", "says", "suffix_rate", "suffix_count"), run, kind)

@@ -89,6 +89,23 @@ def test_urls(spark):
     assert {x.verdict for x in judged(df.where("url = 'http://x.org'")).collect()} == {"allow"}
 
 
+def test_url_features():
+    import pyarrow as pa
+
+    from lacuna.llm.url_filter import features
+
+    urls = ["", "http://a.b-c.com/x/yyy//z?a=1&b=2#c=d&e", "https://h/é1234?q", "x#?a=b", "http://a.com", "a?b?c=d&"] + ["http://h.com/" + "p" * 9 + "/q"] * 2
+    parts = [(re.match(r"[^/?#]*", u.partition("://")[2])[0], re.match(r"[^?#]*", u.partition("://")[2][len(re.match(r"[^/?#]*", u.partition("://")[2])[0]) :])[0]) for u in urls]
+    got = features(pa.array(urls), *(pa.array(x) for x in zip(*parts, strict=True)), np.full(len(urls), 0.5), np.arange(len(urls)) * 1.0)
+    for i, (u, (h, p)) in enumerate(zip(urls, parts, strict=True)):
+        raw = u.encode()
+        share = np.array([raw.count(bytes([b])) / len(raw) for b in set(raw)]) if raw else np.zeros(0)
+        digits = sum(c.isdigit() for c in u)
+        query = u.partition("#")[0].partition("?")[2]
+        want = (len(raw), len(h.encode()), len(p.encode()), h.count(".") + bool(h), p.count("/"), digits, digits / max(1, len(raw)), -(share * np.log2(share)).sum(), query.count("=") + query.count("&"), "#" in u, u.count("-"), max(len(x.encode()) for x in p.split("/")), u.startswith("https"), 0.5, np.log1p(i))
+        assert np.allclose(got[i], want), u
+
+
 def test_trees():
     from lacuna.llm.url_filter import Boosted
 
