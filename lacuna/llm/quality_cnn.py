@@ -2,8 +2,8 @@
 
 Bytes are embedded; learned filters run over overlapping chunks (16 bytes, every 8) that cover the whole document; each filter's
 maximum over all chunks goes into a logistic unit. The network is trained on the driver from a bounded sample of labelled
-documents (``PER_CLASS`` rows of each class, texts of at most ``MAX_BYTES`` bytes; only its maxima carry gradients), and
-scores every document in the tasks.
+documents (``PER_CLASS`` rows of each class, and of a text over ``MAX_BYTES`` bytes ``WINDOWS`` even windows of as many
+together; only its maxima carry gradients), and scores every document in the tasks, long ones in parts of ``PART`` chunks.
 
 Defined cases: null and empty texts score as one chunk of zeros; repeated rows give repeated results; without labelled
 documents of both classes the score is their share of good ones (0.5 if there are none); other columns are ignored; an
@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from lacuna.llm.text import doc_texts, flat_bytes, labelled_sample, learnable, mapped, steps
 
 CHUNK, HOP, EMBEDDED, FILTERS = 16, 8, 8, 32
-PER_CLASS, MAX_BYTES, EPOCHS, BATCH = 2000, 4096, 12, 64
+PER_CLASS, MAX_BYTES, WINDOWS, EPOCHS, BATCH = 2000, 4096, 16, 12, 64
+#: Chunks that one step works on.
+PART = 1 << 17
 PREDICT = 0.7
 
 
@@ -62,6 +64,9 @@ class Network:
 
     def pooled(self, padded: np.ndarray, first: np.ndarray) -> np.ndarray:
         """The maximum of each filter over each text's own chunks; those that begin in the padding after a text are passed over."""
+        if len(first) == 1:
+            parts = range(0, max(1, len(padded) // HOP - CHUNK // HOP + 1), PART)
+            return np.max([self.responses(padded[p * HOP : (p + PART - 1) * HOP + CHUNK]).max(axis=0) for p in parts], axis=0)[None]
         r = self.responses(padded)
         spare = CHUNK // HOP - 1
         bounds = np.stack([first, np.append(first[1:] - spare, len(r))], axis=1).ravel()
@@ -115,7 +120,15 @@ class Network:
 
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
-    return Network().fit(*labelled_sample(docs, labels, label, PER_CLASS, MAX_BYTES))
+    return Network().fit(*labelled_sample(docs, labels, label, PER_CLASS, drawn))
+
+
+def drawn(text: str) -> str:
+    """The text, or even windows of a long one."""
+    if len(text) * 4 <= MAX_BYTES or len(raw := text.encode()) <= MAX_BYTES:
+        return text
+    size = MAX_BYTES // WINDOWS
+    return b"".join(raw[p : p + size] for p in np.linspace(0, len(raw) - size, WINDOWS).astype(int).tolist()).decode(errors="ignore")
 
 
 def scored(docs: DataFrame, network: Network) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,14 +187,14 @@ def learnable(doc_id) -> object:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int) -> tuple[list[str], np.ndarray]:
-    """(texts, labels 0 or 1): of each class at most ``per_class`` learnable rows, drawn by hash, without texts over ``max_bytes``."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, drawn: Callable[[str], str]) -> tuple[list[str], np.ndarray]:
+    """(texts, labels 0 or 1): of each class at most ``per_class`` learnable rows, taken by hash, and of each text what ``drawn`` says."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(learnable(F.col("doc_id")) & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
-    drawn = None
+    rows = None
     for y in (0, 1):
         part = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        drawn = part if drawn is None else drawn.unionByName(part)
+        rows = part if rows is None else rows.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(drawn), "doc_id").where(F.octet_length("text") <= max_bytes).select("text", "y").toArrow()  # drawn: 2 * per_class rows of 12 bytes at most
-    rows = found.sort_by([("y", "ascending"), ("text", "ascending")])
-    return rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.float64)
+    joined = texts.join(F.broadcast(rows), "doc_id")  # rows: 2 * per_class of 12 bytes at most
+    found = joined.select(F.udf(drawn, "string", useArrow=True)("text").alias("text"), "y").toArrow().sort_by([("y", "ascending"), ("text", "ascending")])
+    return found.column("text").to_pylist(), found.column("y").to_numpy().astype(np.float64)

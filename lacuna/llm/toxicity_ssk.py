@@ -1,24 +1,33 @@
 """Toxicity by a support vector machine on a subsequence string kernel with Nyström landmarks.
 
-A text is cut into sentences and these into units: words, and runs of spelled-out letters. The kernel of two units counts
-common three-letter subsequences that span at most ``SPAN`` letters, each weighted by LAMBDA to the power of both spans, so
-gaps and inserted characters cost a little instead of the match. Landmark units give the kernel a finite feature map
-(Nyström); the machine (squared hinge loss, Newton steps) learns in it. As the map is linear in a unit's subsequences, the
-machine is applied as one weight for each subsequence. A sentence has its highest unit's score, a text its highest sentence's; a logistic curve over texts
-kept aside in training, weighted to the share of toxic ones among all labelled, makes it a probability.
-
-Training labels are those of texts, so the units that make a text toxic are found in turns: first units frequent in toxic
-training texts and absent from the others, then the highest units of toxic texts without any of those, and the highest of
-clean texts. The sample is bounded (``PER_CLASS`` texts of each class, at most ``MAX_BYTES`` bytes each).
+A text is cut into sentences (at line ends, after . ! ? and after ``LONGEST`` pieces) and these into units: words, lower-cased and without all that
+isn't a letter or digit, and runs of spelled-out letters; both ends of a unit count as letters, and long ones are cut into
+overlapping units. The kernel of two units counts common three-letter subsequences that span at most ``SPAN`` letters, each
+weighted by LAMBDA to the power of both spans, so gaps and inserted characters cost a little instead of the match. Landmark
+units give the kernel a finite feature map (Nyström); the machine (squared hinge loss, Newton steps) learns in it. As the
+map is linear in a unit's subsequences, the machine is applied as one weight for each subsequence. What one unit leaves
+open others can settle, so a text has three margins: that of its highest unit, the highest that a second unit reaches beside
+another in one sentence, and the highest that a second unit of a sentence or a third one of ``NEAR`` sentences reaches; a logistic curve of these over texts kept aside in training, weighted to
+the share of toxic ones among all labelled, makes them a probability.
+
+Training sentences have their text's label. All sentences of a clean text are clean, but a toxic text needs only one toxic
+sentence, so witnesses are found in turns: first the units that toxic texts have far more often than clean ones (smoothed log
+odds over different contexts, as copies of one text say little), then in each text that they leave unexplained the highest
+unit of its highest sentence, and in clean texts the highest units as counter-examples. The sample is bounded:
+``PER_CLASS`` texts of each class, and of a text over ``MAX_BYTES`` bytes sentences drawn by hash up to that size.
+
+Letters of the Latin, Greek and Cyrillic scripts have a code each; those of other scripts share some codes.
 
 Defined cases: null and empty texts have no units and score as low as a text can; repeated rows give repeated results;
-without labelled texts of both classes the score is the share of toxic ones (0 if there are none); other columns are
-ignored; an empty table gives no rows.
+without labelled texts of both classes the score is the share of toxic ones (0 if there are none), and likewise if no unit at
+all tells the classes apart; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,55 +37,68 @@ from pyspark.sql import functions as F
 
 from lacuna.llm.text import doc_texts, labelled_sample, learnable, mapped
 
-PER_CLASS, MAX_BYTES = 4000, 5120
+PER_CLASS, MAX_BYTES = 4000, 16_384
 SPAN, LAMBDA = 6, 0.6
-CODES, WIDE, SLIDE = 40, 14, 7
+#: Letter codes; letters of a unit, its ends included, and the step between the units of a long word.
+CODES, WIDE, SLIDE = 160, 16, 8
 PREDICT = 0.3
-#: Landmarks of each class, training units of each class, rounds of finding units.
+#: Landmarks of each class, training units of each class, rounds of finding witnesses.
 LANDMARKS, UNITS, ROUNDS = 256, 6000, 3
 #: Units that one step of training works on.
 BLOCK = 500
-#: A unit marks toxic texts if it is in at least so many of them, as a count and a share, after different words, and in no clean text.
-LEAST, LEAST_SHARE = 4, 0.01
-EDGE = ".,;:!?\"'()[]{}<>%$#*&|+-=/\\~^`_«»¿¡…"
+#: A unit is a first witness if so many toxic texts have it, as a count and a share, after different words, the log odds are so
+#: high, and about so many such units or fewer are to be expected by chance.
+LEAST, LEAST_SHARE, ODDS, CHANCE = 3, 0.01, 2.5, 0.2
+LONGEST, NEAR = 32, 24
+SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 SPELLED = re.compile(r"(?<!\S)\S(?:[ .*_-]\S){2,}(?!\S)")
+END = "\1"
 #: (offsets of the second and third letter, weight) of every subsequence within the span.
 GAPS = [(j, k, LAMBDA ** (k + 1)) for k in range(2, SPAN) for j in range(1, k)]
 
 
-def units(text: str) -> set[str]:
-    """Words without edging punctuation, and spelled-out runs, of a lower-cased text."""
-    text = text.lower()
-    found = set(text.split())
-    for m in SPELLED.finditer(text):
-        found.add(re.sub(r"[ .*_-]", "", m[0]))
-    return found
+def sentences(text: str) -> list[list[str]]:
+    """The pieces (what stands between spaces) of each sentence, then its spelled-out runs without what separates their letters."""
+    out = []
+    for s in SENTENCE.split(text):
+        row = s.split()
+        for i in range(0, len(row), LONGEST):
+            out.append(row[i : i + LONGEST])
+        if out:
+            out[-1] = out[-1] + [re.sub(r"[ .*_-]", "", m[0]) for m in SPELLED.finditer(s)]
+    return out
 
 
-def code(letter: str) -> int:
-    if "a" <= letter <= "z":
-        return ord(letter) - 96
-    return 27 if letter.isdigit() else 28 + ord(letter) % (CODES - 28)
+def units(piece: str) -> list[str]:
+    """The units of a piece: its letters and digits between two ends, in overlapping parts if they are many."""
+    w = "".join(filter(str.isalnum, piece))
+    if not w:
+        return []
+    w = END + w + END
+    return [w] if len(w) <= WIDE else [w[i : i + WIDE] for i in range(0, len(w) - WIDE + SLIDE, SLIDE)]
 
 
 class Letters(dict):
+    """Code point -> letter of a code: 1 an end, 2 to 27 a to z, 28 a digit, then letters of three scripts; the last 16 are shared."""
+
+    def __init__(self) -> None:
+        super().__init__({1: "\1"} | {ord(c): chr(i + 2) for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")})
+        own = [c for a, b in ((0xDF, 0x180), (0x3AC, 0x3D0), (0x430, 0x460)) for c in map(chr, range(a, b)) if c.islower()]
+        self.update({ord(c): chr(29 + i) for i, c in enumerate(own[: CODES - 16 - 29])})
+
     def __missing__(self, point: int) -> str:
-        self[point] = chr(code(chr(point)))
+        letter = chr(point)
+        self[point] = "\x1c" if letter.isdigit() else chr(CODES - 16 + zlib.crc32(unicodedata.normalize("NFKD", letter)[:1].encode()) % 16)
         return self[point]
 
 
 LETTERS = Letters()
 
 
-def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(matrix of letter codes, 0 for padding; word of each row): long words are cut into overlapping rows."""
-    rows, own = [], []
-    for i, w in enumerate(words):
-        w = w.strip(EDGE).translate(LETTERS)
-        for at in range(0, max(1, len(w) - WIDE + SLIDE), SLIDE) if len(w) > WIDE else (0,):
-            rows.append(w[at : at + WIDE].ljust(WIDE + SPAN, "\0"))
-            own.append(i)
-    return np.frombuffer("".join(rows).encode("latin-1"), np.uint8).reshape(-1, WIDE + SPAN).astype(np.int64), np.array(own, np.int64)
+def coded(words: list[str]) -> np.ndarray:
+    """Letter codes of units, a row each, 0 for padding."""
+    rows = "".join([w.translate(LETTERS).ljust(WIDE + SPAN, "\0") for w in words])
+    return np.frombuffer(rows.encode("latin-1"), np.uint8).reshape(-1, WIDE + SPAN).astype(np.int64)
 
 
 def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
@@ -96,22 +118,34 @@ def norms(codes: np.ndarray) -> np.ndarray:
 class Machine:
     def __init__(self) -> None:
         self.weights = np.zeros(CODES**3, np.float32)
-        self.bias, self.slope, self.base = 0.0, 1.0, 0.0
+        self.bias, self.curve = 0.0, np.array([1.0, 0.0, 0.0, 0.0])
         self.constant: float | None = None
 
     def scores(self, words: list[str]) -> np.ndarray:
         """The machine's margin of each unit."""
-        out = np.full(len(words), -np.inf)
+        out = np.empty(len(words))
         for i in range(0, len(words), 20_000):
-            codes, own = coded(words[i : i + 20_000])
+            codes = coded(words[i : i + 20_000])
             total = np.zeros(len(codes), np.float32)
             for places, weight in subsequences(codes):
                 total += np.float32(weight) * self.weights[places].sum(axis=1)
-            np.maximum.at(out, i + own, total / norms(codes) + self.bias)
+            out[i : i + len(codes)] = total / norms(codes) + self.bias
+        return out
+
+    def piece_scores(self, found: list[str]) -> np.ndarray:
+        """The highest margin among the units of each piece; -inf without units."""
+        own = [units(p) for p in found]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        margins = self.scores([u for x in own for u in x])
+        out = np.full(len(found), -np.inf)
+        if len(margins):
+            at = np.cumsum(size) - size
+            out[size > 0] = np.maximum.reduceat(margins, at[size > 0])
         return out
 
-    def probability(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.base, -30, 30)))
+    def probability(self, margins: np.ndarray) -> np.ndarray:
+        """margins: three of each text."""
+        return 1 / (1 + np.exp(-np.clip(margins @ self.curve[:3] + self.curve[3], -30, 30)))
 
     def learn(self, positive: list[str], negative: list[str]) -> None:
         """Landmarks, Nyström map and squared-hinge machine for units of both classes."""
@@ -146,6 +180,7 @@ class Machine:
 
     def fit(self, texts: list[str], labels: np.ndarray, share: float | None = None) -> Machine:
         """share: that of toxic texts among all labelled ones; the sample's, if not given. A third of the texts sets the curve only."""
+        self.constant = None
         if not 0 < labels.sum() < len(labels):
             self.constant = float(labels.mean()) if len(labels) else 0.0
             return self
@@ -161,63 +196,73 @@ class Machine:
         best = scorer.margins([t for t, x in zip(texts, aside, strict=True) if x])
         share = min(max(labels.mean() if share is None else share, 0.01), 0.99)
         weight = np.where(y == 1, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum())) * len(y)
-        x, w = np.stack([best, np.ones(len(best))], axis=1), np.zeros(2)
+        x, w = np.append(best, np.ones((len(best), 1)), axis=1), np.zeros(4)
+        ridge = np.diag([0.1, 0.1, 0.1, 0.01])
         for _ in range(40):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            w += np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2), x.T @ (weight * (y - p)) - 0.1 * w)
-        self.slope, self.base = max(0.1, float(w[0])), float(w[1])
+            w += np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (y - p)) - ridge @ w)
+        self.curve = np.append(np.maximum(w[:3], 0), w[3])  # a higher margin never makes a text less toxic
         return self
 
     def separate(self, texts: list[str], labels: np.ndarray) -> None:
+        """Learns from the sentences of labelled texts."""
         ids: dict[str, int] = {}
-        bags = []
-        for t in texts:
-            own = {w for u in units(t) if (w := u.strip(EDGE))}
-            bags.append(np.fromiter((ids.setdefault(w, len(ids)) for w in own), np.int32, len(own)))
-        words = list(ids)
-        clean, toxic = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        for b, y in zip(bags, labels, strict=True):
-            (toxic if y == 1 else clean)[b] += 1  # a bag has a word once
-        enough = max(LEAST, LEAST_SHARE * labels.sum())
-        before: dict[str, set[str]] = {}  # words before a unit, as copies of one text say little
+        bags: list[list[np.ndarray]] = []  # of each text, of each sentence, its units
+        before: dict[int, set[str]] = {}  # pieces before a unit in toxic texts
         for t, y in zip(texts, labels, strict=True):
-            if y == 1:
-                row = [w.strip(EDGE) for w in t.lower().split()]
-                for a, w in zip(["", *row], row, strict=False):
-                    if w and not clean[ids[w]]:
-                        before.setdefault(w, set()).add(a)
-        contexts = {w: min(int(toxic[ids[w]]), len(b)) for w, b in before.items()}
-        positive = {w for w, c in contexts.items() if c >= enough}
-        negative = set(sorted((words[i] for i in np.flatnonzero(clean)), key=lambda w: (hash_of(w), w))[:UNITS])
+            own = []
+            for row in sentences(t.lower()):
+                bag = {ids.setdefault(u, len(ids)) for p in row for u in units(p)}
+                own.append(np.fromiter(bag, np.int32, len(bag)))
+                if y == 1:
+                    for a, p in zip(["", *row], row, strict=False):
+                        for u in units(p):
+                            before.setdefault(ids[u], set()).add(a)
+            bags.append(own)
+        words = list(ids)
+        clean, toxic, contexts = (np.zeros(len(words), np.int64) for _ in range(3))
+        for own, y in zip(bags, labels, strict=True):
+            if own:
+                (toxic if y == 1 else clean)[np.unique(np.concatenate(own))] += 1
+        for i, b in before.items():
+            contexts[i] = min(toxic[i], len(b))
+        n_toxic, n_clean = labels.sum(), len(labels) - labels.sum()
+        odds = np.log((contexts + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+        # how unlikely so uneven counts are by chance, over all units that could have had them
+        fair = contexts + clean
+        excess = contexts * np.log(np.maximum(contexts, 1) * len(labels) / np.maximum(fair * n_toxic, 1)) + clean * np.log(np.maximum(clean, 1) * len(labels) / np.maximum(fair * n_clean, 1))
+        often = contexts >= max(LEAST, LEAST_SHARE * n_toxic)
+        sure = often & (odds >= ODDS) & (excess >= np.log(max(1, often.sum()) / CHANCE))
+        if not sure.any():
+            sure = (odds > 0) & (odds >= odds.max(initial=0))
+        known = np.flatnonzero(clean)
+        positive = set(np.flatnonzero(sure).tolist())
+        negative = set(sorted((known[~sure[known]]).tolist(), key=lambda i: (hash_of(words[i]), words[i]))[:UNITS])
         if not positive or not negative:
             self.constant = float(labels.mean())
             return
         for _ in range(ROUNDS):
-            chosen = sorted(positive, key=lambda w: (-contexts.get(w, 0), w))[:UNITS]
-            self.learn(chosen, sorted(negative, key=lambda w: (hash_of(w), w)))
+            self.learn([words[i] for i in sorted(positive, key=lambda i: (-contexts[i], words[i]))[:UNITS]], [words[i] for i in sorted(negative, key=lambda i: (hash_of(words[i]), words[i]))])
             margin = self.scores(words)
-            close = np.flatnonzero((clean > 0) & (margin > -0.7))
-            negative |= {words[i] for i in sorted(close, key=lambda i: (-margin[i], words[i]))[:UNITS]}
-            known = np.zeros(len(words), bool)
-            known[[i for w in positive if margin[i := ids[w]] > 0]] = True
-            for b, y in zip(bags, labels, strict=True):
-                if y == 1 and len(b) and not known[b].any():
-                    best = max(b, key=lambda i: (margin[i], words[i]))
-                    if margin[best] > -0.3 and not clean[best]:
-                        positive.add(words[best])
+            close = np.flatnonzero((clean > 0) & ~sure & (margin > -0.7))
+            negative |= set(sorted(close.tolist(), key=lambda i: (-margin[i], words[i]))[:UNITS])
+            found = np.zeros(len(words), bool)
+            found[[i for i in positive if margin[i] > 0]] = True
+            for own, y in zip(bags, labels, strict=True):
+                if y == 1 and not any(found[b].any() for b in own) and any(map(len, own)):
+                    sentence = max((b for b in own if len(b)), key=lambda b: margin[b].max())
+                    best = min(sentence[margin[sentence] == margin[sentence].max()].tolist(), key=words.__getitem__)
+                    if margin[best] > -0.3 and odds[best] > 0 and best not in negative:
+                        positive.add(best)
 
 
 def hash_of(word: str) -> int:
-    import zlib
-
     return zlib.crc32(word.encode())
 
 
 def unit_map(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subsequence numbers, their weights and the norm of each word's first row."""
-    codes, own = coded(words)
-    first = np.searchsorted(own, np.arange(len(words)))
-    codes = codes[first]
+    """Subsequence numbers, their weights, and the norm of each unit."""
+    codes = coded(words)
     parts = list(subsequences(codes))
     return np.concatenate([p for p, _ in parts], axis=1), np.repeat([w for _, w in parts], WIDE), norms(codes)
 
@@ -249,7 +294,7 @@ def kernel(marks: Marks, places: np.ndarray, weight: np.ndarray, norm: np.ndarra
 
 
 class Scorer:
-    """Scores texts; keeps the units that it has met, up to a bound."""
+    """Scores texts; keeps the pieces that it has met, up to a bound."""
 
     def __init__(self, machine: Machine, most: int = 120_000):
         self.machine, self.most, self.known = machine, most, {}
@@ -260,17 +305,41 @@ class Scorer:
         return self.machine.probability(self.margins(texts))
 
     def margins(self, texts: Iterable[str]) -> np.ndarray:
-        """The highest margin among each text's units, within -3 and 3."""
-        out: list[float] = []
+        """Three margins of each text, within -1 and 1: the highest unit's, the best second one of a sentence, and the best of these and
+        of the third ones of NEAR sentences."""
+        out = [np.zeros((0, 3))]
         for part in slices(texts):
-            bags = [units(t) for t in part]
-            new = list(set().union(*bags).difference(self.known))
+            rows = [sentences(t.lower()) for t in part]
+            found = [p for own in rows for row in own for p in row]
+            new = list(set(found).difference(self.known))
             if len(self.known) + len(new) > self.most:
                 self.known.clear()
-                new = list(set().union(*bags))
-            self.known.update(zip(new, self.machine.scores(new).tolist(), strict=True))
-            out += [max(map(self.known.__getitem__, b), default=-3.0) for b in bags]
-        return np.clip(np.array(out), -3, 3)
+                new = list(set(found))
+            self.known.update(zip(new, self.machine.piece_scores(new).tolist(), strict=True))
+            margin = np.fromiter(map(self.known.__getitem__, found), np.float64, len(found))
+            per_sentence = np.fromiter((len(row) for own in rows for row in own), np.int64)
+            of_text = np.repeat(np.repeat(np.arange(len(rows)), [len(own) for own in rows]), per_sentence)
+            near = [sum(map(len, own[i : i + NEAR])) for own in rows for i in range(0, len(own), NEAR)]
+            tops = np.full((3, len(rows)), -1.0)
+            if len(margin):
+                left = margin.copy()
+                drop_highest(left, per_sentence)
+                np.maximum.at(tops[1], of_text, left)
+                np.maximum.at(tops[0], of_text, margin)
+                drop_highest(margin, np.array(near))
+                drop_highest(margin, np.array(near))
+                np.maximum.at(tops[2], of_text, margin)
+            out.append(np.stack([tops[0], tops[1], np.maximum(tops[1], tops[2])], axis=1))
+        return np.clip(np.concatenate(out), -1, 1)
+
+
+def drop_highest(values: np.ndarray, sizes: np.ndarray) -> None:
+    """Sets the first highest value of each group of neighbours to -inf."""
+    sizes = sizes[sizes > 0]
+    at = np.cumsum(sizes) - sizes
+    places = np.flatnonzero(values == np.repeat(np.maximum.reduceat(values, at), sizes))
+    group = np.searchsorted(at, places, "right")
+    values[places[np.append(True, group[1:] != group[:-1])]] = -np.inf
 
 
 def slices(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
@@ -287,16 +356,30 @@ def slices(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
 
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Machine:
     known = labels.where(learnable(F.col("doc_id")) & F.col(label).isin(0, 1)).agg(F.avg(F.col(label).cast("double"))).first()[0]
-    return Machine().fit(*labelled_sample(docs, labels, label, PER_CLASS, MAX_BYTES), known)
+    return Machine().fit(*labelled_sample(docs, labels, label, PER_CLASS, drawn), known)
+
+
+def drawn(text: str) -> str:
+    """The text, or sentences of a long one, drawn by hash up to MAX_BYTES."""
+    if len(text) * 4 <= MAX_BYTES or len(text.encode()) <= MAX_BYTES:
+        return text
+    out, size = [], 0
+    for i, row in sorted(enumerate(sentences(text)), key=lambda x: (hash_of(" ".join(x[1])), x[0])):
+        s = " ".join(row)[:MAX_BYTES]
+        size += len(s.encode()) + 1
+        if size > MAX_BYTES and out:
+            break
+        out.append((i, s))
+    return "\n".join(s for _, s in sorted(out))
 
 
 def packed(machine: Machine) -> tuple:
-    return machine.weights, machine.bias, machine.slope, machine.base, machine.constant
+    return machine.weights, machine.bias, machine.curve, machine.constant
 
 
 def unpacked(values: tuple) -> Machine:
     machine = Machine()
-    machine.weights, machine.bias, machine.slope, machine.base, machine.constant = values
+    machine.weights, machine.bias, machine.curve, machine.constant = values
     return machine
 
 

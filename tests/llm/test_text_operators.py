@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -92,10 +93,14 @@ def test_pii(spark):
         assert x.spans.startswith(",".join(base)) and x.n_email + x.n_ip + x.n_card + x.n_phone == len(base)
     kinds = [s.split(":")[0] for s in pii.joined(pii.all_spans(more[-1][1])).split(",")]
     assert kinds == ["iban", "ssn", "phone_local"]
+    secret = 'token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b" and hash 9233a8ecf7c5b09fe5949719b6b82bc439e9329b' + " " * 50 + "secret aaaaaaaaaaaaaaaaaaaaaaaa1"
+    assert pii.all_spans(secret) == [("secret", 9, 49)]
     masked = {x.doc_id: x.text for x in pii.mask_documents(df).where("doc_id in (1, 7)").collect()}
     assert masked == {1: None, 7: "mail <EMAIL> and <IP> <PHONE> or <CARD>"}
     assert pii.span_digests(df.limit(0)).count() == 0
     assert not pii.all_spans("9" * 200_000 + "@")  # long runs end in time
+    began = time.time()
+    assert len(pii.all_spans("call 555-123-4567, +1 (555) 555-1234; " * 20_000)) == 40_000 and time.time() - began < 20
 
 
 def suffix_by_hand(rows, length):
@@ -253,7 +258,7 @@ def test_quality(spark):
     assert [x.score for x in none] == [0.5] and Q.scored(df.limit(0), Q.Network()).count() == 0
 
 
-def test_quality_of_texts_laid_end_to_end():
+def test_quality_of_texts_laid_end_to_end(monkeypatch):
     import pyarrow as pa
 
     from lacuna.llm import quality_cnn as Q
@@ -271,6 +276,83 @@ def test_quality_of_texts_laid_end_to_end():
         chunks = np.stack([net.p["embed"][raw[8 * k : 8 * k + 16]].ravel() @ net.p["filter"] for k in range(max(1, -(-(len(raw) - 16) // 8)))])
         by_hand.append(1 / (1 + np.exp(-(np.maximum(chunks.max(axis=0) + net.p["bias"], 0) @ net.p["out"] + net.p["base"][0]))))
     assert np.allclose(alone, by_hand, atol=1e-5)
+    long = "".join(r.choice("ab #é") for _ in range(5000))
+    whole = net.probability(*flat_bytes(pa.array([long])))
+    for part in (1, 7, 100):
+        monkeypatch.setattr(Q, "PART", part)
+        assert np.allclose(net.probability(*flat_bytes(pa.array([long]))), whole, atol=1e-6)
+    assert len(Q.drawn(long).encode()) <= Q.MAX_BYTES and Q.drawn("é") == "é"
+
+
+def test_quality_gradients():
+    from lacuna.llm import quality_cnn as Q
+
+    r = np.random.default_rng(2)
+    net = Q.Network(3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    raw = [r.integers(0, 6, n).astype(np.uint8) for n in (40, 9, 100, 0)]
+    y, weight = np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 0.5, 1])
+
+    def loss():
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        p = net.probability(np.concatenate(raw), offsets)
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / len(raw)
+
+    grads = net.gradients(raw, y, weight)
+    for name in ("embed", "filter", "bias", "out", "base"):
+        flat, decay = net.p[name].ravel(), 1e-4 * (name in ("filter", "out"))
+        for i in r.permutation(min(len(flat), 6 * 8))[:12]:
+            keep, h = flat[i], 1e-5
+            flat[i] = keep + h
+            up = loss()
+            flat[i] = keep - h
+            down = loss()
+            flat[i] = keep
+            assert abs((up - down) / (2 * h) + decay * keep - np.asarray(grads[name]).ravel()[i]) < 1e-5
+
+
+def test_subsequence_kernel():
+    from lacuna.llm import toxicity_ssk as T
+
+    def plain(u):
+        """Weighted three-letter subsequences by definition."""
+        c = [ord(x) for x in u.translate(T.LETTERS)]
+        out = Counter()
+        for i in range(len(c)):
+            for j in range(i + 1, len(c)):
+                for k in range(j + 1, min(len(c), i + T.SPAN)):
+                    out[c[i], c[j], c[k]] += T.LAMBDA ** (k - i + 1)
+        return out
+
+    r = random.Random(4)
+    words = [u for _ in range(40) for u in T.units("".join(r.choice("abcdé1дω.") for _ in range(r.randint(1, 30))))]
+    assert max(map(len, words)) == T.WIDE and len({T.LETTERS[ord(c)] for c in "éèüßñдиω1a"}) == 10
+    marks = T.norms_and_map(words[:20])
+    found = T.kernel(marks, *T.unit_map(words))
+    maps = [plain(w) for w in words]
+    norm = T.norms(T.coded(words))
+    want = [[sum(v * b[k] for k, v in a.items()) / norm[i] / norm[j] for j, b in enumerate(maps[:20])] for i, a in enumerate(maps)]
+    assert np.allclose(found, want, atol=1e-4)
+    # landmarks that are all training units make the Nyström map exact: its products are the kernel
+    gram = marks.rows.T @ marks.rows
+    value, vector = np.linalg.eigh(gram)
+    good = value > 1e-6 * value.max()
+    x = found[:20] @ (vector[:, good] / np.sqrt(value[good]))
+    assert np.allclose(x @ x.T, np.array(want)[:20], atol=1e-3)
+    # and a machine in that map is one weight for each subsequence
+    machine = T.Machine()
+    machine.learn(words[:10], words[10:20])
+    by_hand = [sum(v * machine.weights[(a * T.CODES + b) * T.CODES + c] for (a, b, c), v in m.items()) / n + machine.bias for m, n in zip(maps, norm, strict=True)]
+    assert np.allclose(machine.scores(words), by_hand, atol=1e-3)
+
+
+def test_toxicity_of_few_labels(spark):
+    from lacuna.llm import toxicity_ssk as T
+
+    texts = ["a fine day. we walk on"] * 3 + ["you are a fool. truly"] * 2
+    machine = T.Machine().fit(texts, np.array([0.0, 0, 0, 1, 1]))
+    p = T.Scorer(machine)(["a fine day", "such a fool", ""])
+    assert machine.constant is None and p[1] > p[0] and T.Machine().fit(texts[:3], np.zeros(3)).constant == 0.0
 
 
 def test_toxicity(spark):
@@ -293,7 +375,10 @@ def test_toxicity(spark):
     assert len(got) == 803 and np.mean([x.predicted == (x.doc_id % 4 == 0) for x in held]) > 0.97
     by = dict(zip(("idiot", "iddiot", "mororn", "tarelo", "numisha"), machine.scores(["idiot", "iddiot", "mororn", "tarelo", "numisha"]), strict=True))
     assert min(by["idiot"], by["iddiot"]) > max(by["tarelo"], by["numisha"])
-    assert T.units("an i d i o t here") >= {"idiot"}  # spelled out
+    assert T.sentences("an i d i o t here") == [["an", "i", "d", "i", "o", "t", "here", "idiot"]]  # spelled out
+    long = [(i, ". ".join(x for k, x in rows if k % 4 and (k // 2) % 2 == i)[:18_000] + f". {t} end.") for i, t in enumerate(("well", "you idiot clown"))]
+    assert [x.predicted for x in T.scored(spark.createDataFrame(long, "doc_id long, text string"), machine).orderBy("doc_id").collect()] == [0, 1]
+    assert len(T.drawn(long[0][1]).encode()) <= T.MAX_BYTES < len(long[0][1])
     kept = T.clean_documents(df, machine)
     assert kept.columns == df.columns and kept.where(F.col("doc_id") >= 1000).count() == 2
     assert T.scored(df, T.trained(df, labels.limit(0))).agg(F.max("score")).first()[0] == 0.0 and T.scored(df.limit(0), machine).count() == 0
