@@ -48,7 +48,7 @@ LANDMARKS, UNITS, ROUNDS = 256, 6000, 3
 BLOCK = 500
 #: A unit is a first witness if so many toxic texts have it, as a count and a share, after different words, the log odds are so
 #: high, and about so many such units or fewer are to be expected by chance.
-LEAST, LEAST_SHARE, ODDS, CHANCE = 3, 0.01, 2.5, 0.2
+LEAST, LEAST_SHARE, ODDS, CHANCE = 3, 0.01, 2.5, 0.1
 LONGEST, NEAR = 32, 24
 SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 SPELLED = re.compile(r"(?<!\S)\S(?:[ .*_-]\S){2,}(?!\S)")
