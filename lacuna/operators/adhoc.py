@@ -54,6 +54,7 @@ def score_buckets(df: DataFrame, column: str = "RELIABILITY_SCORE") -> DataFrame
     return counts.withColumns({"cumulative": F.sum("drugs").over(running), "pct": F.col("drugs") * 100.0 / F.sum("drugs").over(Window.partitionBy())})
 
 
+#: The scores that the method's report counts at.
 THRESHOLDS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9)
 
 

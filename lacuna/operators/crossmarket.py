@@ -12,6 +12,11 @@ from lacuna.params import DEFAULT, Params
 from lacuna.schemas import DRUG_STATISTICS
 
 
+def inn_names(agg: DataFrame) -> DataFrame:
+    """INN_ID and INN_NAME of aggregated series; of several names the smallest."""
+    return agg.where("INN_ID IS NOT NULL").groupBy("INN_ID").agg(F.min("INN_NAME").alias("INN_NAME"))
+
+
 def market_drug(did: DataFrame) -> DataFrame:
     """Ratio of sums for each market and product."""
     sums = did.groupBy("CLIENT_ID", "DRUGS_ID").agg(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Params:
+    # fixed values: the method's limits
     min_notsold: float = 0.20
     max_notsold: float = 0.95
     min_stockout_weeks: int = 1
@@ -29,7 +30,7 @@ class Params:
     max_file_mb: float = 2048.0
     reliability_low: float = 0.70
     reliability_high: float = 1.0
-    pareto_target: float = 0.80
+    pareto_target: float | None = 0.80
     top_n: int | None = None
     tier_a: float = 0.85
     tier_b: float = 0.55
@@ -39,7 +40,7 @@ class Params:
             raise ValueError("not-sold shares must satisfy 0 <= min < max <= 1")
         if min(self.min_stockout_weeks, self.pre_weeks, self.post_weeks) < 1 or self.max_gap_weeks < 0:
             raise ValueError("week counts must be positive")
-        if not 0 < self.pareto_target <= 1:
+        if self.pareto_target is not None and not 0 < self.pareto_target <= 1:
             raise ValueError("the Pareto target must lie in (0, 1]")
 
 

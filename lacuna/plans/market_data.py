@@ -44,6 +44,3 @@ def competitors(sold: DataFrame) -> DataFrame:
 def forms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(FORM_GROUPS), "form string, group string, excluded boolean")
 
-
-def inn_names(agg: DataFrame) -> DataFrame:
-    return agg.groupBy("INN_ID").agg(F.min("INN_NAME").alias("INN_NAME"))

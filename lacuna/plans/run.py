@@ -1,64 +1,208 @@
-"""The whole method over raw market files: discovery, per-market stages, statistics, checks, published tables."""
+"""The whole method over raw market files: discovery, per-market stages, statistics, checks, published tables.
+
+Per-market stages are stored in batches of markets under ``out/markets``. A market's key is a digest of its file (path,
+length, time of change), the form registry's rules and the parameters, so a change of any of them makes that market anew and
+no other, and any subset of markets reads what is there. A batch's rows are read from the raw files once, then each stage is
+a Parquet table by market that counts only with Spark's _SUCCESS; the batch counts once its manifest is written, last of all.
+A run that was cut short goes on from the last whole stage.
+
+A market whose file has malformed values or several CLIENT_IDs is left out of its batch with the status ``error`` and the
+reason; the others go on.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import logging
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lacuna.operators import crossmarket, did, export, shares, stockouts, weekly
 from lacuna.params import DEFAULT, Params
 from lacuna.session import tuned
 from lacuna.sources import markets, sheets
+from lacuna.sources.files import complete, exists, listed, read_text, remove, write_text
+
+log = logging.getLogger(__name__)
+
+
+class NotReady(Exception):
+    """What a run needs isn't there."""
 
 
-def folder_of(out: str, p: Params, ids: list[int]) -> str:
-    """Stage tables live under a key of the parameters and markets, so changed ones never meet old tables."""
-    return f"{out.rstrip('/')}/{hashlib.sha256(json.dumps([repr(p), sorted(ids)]).encode()).hexdigest()[:16]}"
+def digest(*parts: object) -> str:
+    return hashlib.sha256(json.dumps(parts, default=repr, ensure_ascii=False).encode()).hexdigest()[:16]
 
 
 def written(spark: SparkSession, path: str, make, partition: str | None = None, force: bool = False) -> DataFrame:
-    """The stage table at path; made and committed if it isn't there. Spark's commit leaves no half-written table."""
-    if not force:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            pass
+    """The stage table at path; made if it isn't there as a whole."""
     df = make()
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    if force or not complete(spark, path):
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run(spark: SparkSession, raw: str, out: str, registry: str | None = None, ids: list[int] | None = None, limit: int | None = None, force: bool = False, p: Params = DEFAULT, publish: str | None = None) -> bool:
-    """Whether all checks passed. Tables are published (CSV and spreadsheets in ``publish``) only if they did."""
-    tuned(spark)
-    found = markets.ready(markets.discover(spark, raw, p=p), ids, limit).collect()  # one row for each market
+@dataclass(frozen=True)
+class Market:
+    """A market of a stored batch: its status is success, no_data or error."""
+
+    client: int
+    key: str
+    batch: str
+    status: str
+    reason: str
+    made: str = ""
+
+
+def stored_markets(spark: SparkSession, out: str) -> dict[str, Market]:
+    """The markets of all whole batches by their keys; of a key that several have, the last one written."""
+    found: dict[str, Market] = {}
+    for path, _, changed in sorted(listed(spark, f"{out}/markets", "*/manifest.json"), key=lambda x: x[2]):
+        for row in json.loads(read_text(spark, path))["markets"]:
+            found[row["key"]] = Market(row["client"], row["key"], path.rsplit("/", 1)[0], row["status"], row["reason"], str(changed))
+    return found
+
+
+def preflight(spark: SparkSession, raw: str, ids: list[int] | None = None, limit: int | None = None, p: Params = DEFAULT) -> list:
+    """The ready markets of a raw folder, one row each; NotReady if there are none."""
+    if not exists(spark, raw):
+        raise NotReady(f"no folder {raw}")
+    found = markets.discover(spark, raw, p=p).collect()  # a row for each file
     if not found:
-        raise ValueError("no market is ready")
-    rows = markets.market_rows(spark, [m.FILE_PATH for m in found])
-    base = folder_of(out, p, [m.CLIENT_ID for m in found])
-    stage = lambda name, make, by=None: written(spark, f"{base}/{name}", make, by, force)
+        raise NotReady(f"no market files in {raw}")
+    ready = {}
+    for m in found:
+        if m.STATUS != "READY":
+            log.warning("%s is left out: %s, %s", m.FILE_NAME, m.STATUS, m.REASON)
+        elif not ids or m.CLIENT_ID in ids:
+            if m.CLIENT_ID in ready:
+                log.warning("market %s has several files; %s is taken", m.CLIENT_ID, m.FILE_NAME)
+            ready[m.CLIENT_ID] = m
+    for i in sorted(set(ids or ()) - set(ready)):
+        log.warning("market %s has no ready file", i)
+    if not ready:
+        raise NotReady("no market is ready")
+    return [ready[c] for c in sorted(ready)][:limit]
+
+
+def run_markets(spark: SparkSession, raw: str, out: str, registry: str | None = None, ids: list[int] | None = None, limit: int | None = None, force: bool = False, p: Params = DEFAULT) -> list[Market]:
+    """The per-market stages of the ready markets; those that are stored already aren't made again."""
+    tuned(spark)
+    out = out.rstrip("/")
+    found = preflight(spark, raw, ids, limit, p)
     rules = markets.form_rules(spark, registry)
-    names = rows.where("INN_ID IS NOT NULL").groupBy("INN_ID").agg({"INN_NAME": "min"}).withColumnRenamed("min(INN_NAME)", "INN_NAME")
-    agg = stage("aggregated", lambda: weekly.aggregate_markets(rows, p), "CLIENT_ID")
-    events = stage("stockout_events", lambda: stockouts.stockout_events(stockouts.islands(agg, p), p), "CLIENT_ID")
+    rows = sorted(map(tuple, rules.collect()), key=str)  # a registry of forms
+    keys = {digest(m.FILE_PATH, m.FILE_LENGTH, m.CHANGED, rows, p): m for m in found}
+    stored = {} if force else stored_markets(spark, out)
+    if missing := {k: m for k, m in keys.items() if k not in stored}:
+        made = make_batch(spark, f"{out}/markets/{digest(sorted(missing))}", missing, rules, p, force)
+        stored |= {m.key: m for m in made}
+    return [stored[k] for k in keys]
+
+
+def make_batch(spark: SparkSession, base: str, missing: dict, rules: DataFrame, p: Params, force: bool) -> list[Market]:
+    if force and exists(spark, f"{base}/manifest.json"):
+        remove(spark, f"{base}/manifest.json")
+    schemas = {}
+
+    def stage(name: str, make, by: str = "CLIENT_ID") -> DataFrame:
+        df = written(spark, f"{base}/{name}", make, by, force)
+        schemas[name] = df.schema.jsonValue()  # a table without rows has no file to tell it
+        return df
+
+    files = markets.files_of(list(missing.values()))
+    rows = stage("rows", lambda: markets.parsed(markets.raw_rows(spark, files)), "FILE_NAME")
+    state = {r.FILE_NAME: r for r in markets.health(rows).collect()}  # a row for each file
+    bad = {}
+    for k, m in missing.items():
+        h = state.get(m.FILE_NAME)
+        if h is not None and h.malformed:
+            bad[m.FILE_NAME] = f"{h.malformed} of {h.rows} rows are malformed, such as {h.example}"
+        elif h is not None and h.one_client is False:
+            bad[m.FILE_NAME] = "several CLIENT_IDs"
+    for name, reason in bad.items():
+        log.error("%s is left out: %s", name, reason)
+    good = rows.where(~F.col("FILE_NAME").isin(*bad)) if bad else rows
+    agg = stage("aggregated", lambda: weekly.aggregate_markets(good.drop("MALFORMED", "FILE_NAME"), p))
+    for r in markets.unknown_forms(agg, rules).orderBy("form").collect() if not rules.isEmpty() else ():  # a registry of forms
+        log.warning("no rule names the form %s: it stands alone", r.form)
+    events = stage("stockout_events", lambda: stockouts.stockout_events(stockouts.islands(agg, p), p))
     measured = did.measured_events(events, p)
-    pairs = stage("pairs", lambda: did.candidate_pairs(measured, agg, rules), "CLIENT_ID")
-    effects = stage("did_events", lambda: did.did_events(measured, pairs, p), "CLIENT_ID")
-    market = stage("substitute_shares", lambda: shares.market_shares(did.substitute_pairs(pairs, p), names), "CLIENT_ID")
-    stats = stage("drug_statistics", lambda: crossmarket.drug_statistics(crossmarket.market_drug(effects), names, p))
-    dc = export.drug_coefficients(stats, p)
-    final = stage("final_shares", lambda: shares.final_shares(market, dc))
+    pairs = stage("pairs", lambda: did.candidate_pairs(measured, agg, rules))
+    effects = stage("did_events", lambda: did.did_events(measured, pairs, p))
+    stage("substitute_pairs", lambda: did.substitute_pairs(pairs, p))
+    stage("substitute_shares", lambda: shares.market_shares(did.substitute_pairs(pairs, p), crossmarket.inn_names(agg)))
+    have = {r.CLIENT_ID for r in effects.select("CLIENT_ID").distinct().collect()}  # a row for each market
+    rows_ = [{"client": m.CLIENT_ID, "key": k, "status": "error" if m.FILE_NAME in bad else "success" if m.CLIENT_ID in have else "no_data", "reason": bad.get(m.FILE_NAME, "")} for k, m in missing.items()]
+    write_text(spark, f"{base}/manifest.json", json.dumps({"markets": rows_, "schemas": schemas}, ensure_ascii=False))
+    return [Market(r["client"], r["key"], base, r["status"], r["reason"]) for r in rows_]
+
+
+def chosen(spark: SparkSession, out: str, ids: list[int] | None = None) -> list[Market]:
+    """The stored markets that gave data, the last of each, or of the ids only."""
+    last = {m.client: m for m in sorted(stored_markets(spark, out.rstrip("/")).values(), key=lambda m: int(m.made)) if m.status != "error"}
+    found = [last[c] for c in sorted(last) if not ids or c in ids]
+    for i in sorted(set(ids or ()) - set(last)):
+        log.warning("market %s isn't stored", i)
+    if not found:
+        raise NotReady("no market is stored")
+    return found
+
+
+def stage_of(spark: SparkSession, which: list[Market], name: str, skip_unreadable: bool = False) -> DataFrame:
+    """A stage's rows of stored markets, by partition. Files that can't be read fail the job, or are skipped if asked for."""
+    by_batch: dict[str, list[int]] = {}
+    for m in which:
+        by_batch.setdefault(m.batch, []).append(m.client)
+    parts = []
+    for base, clients in by_batch.items():
+        if skip_unreadable and not complete(spark, f"{base}/{name}"):
+            log.warning("%s/%s isn't whole: skipped", base, name)
+            continue
+        schema = StructType.fromJson(json.loads(read_text(spark, f"{base}/manifest.json"))["schemas"][name])
+        read = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_unreadable).lower()).parquet(f"{base}/{name}")
+        parts.append(read.where(F.col("CLIENT_ID").isin(clients)))
+    if not parts:
+        raise NotReady(f"no table of {name} is whole")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_cross_market(spark: SparkSession, out: str, which: list[Market], p: Params = DEFAULT, force: bool = False, skip_unreadable: bool = False) -> DataFrame:
+    """drug_statistics across some stored markets."""
+    make = lambda: crossmarket.drug_statistics(crossmarket.market_drug(stage_of(spark, which, "did_events", skip_unreadable)), crossmarket.inn_names(stage_of(spark, which, "aggregated", skip_unreadable)), p)
+    return written(spark, f"{across(out, which, p)}/drug_statistics", make, None, force)
+
+
+def across(out: str, which: list[Market], p: Params) -> str:
+    return f"{out.rstrip('/')}/across/{digest(sorted((m.key, m.batch) for m in which), p)}"
+
+
+def run_export(spark: SparkSession, out: str, which: list[Market], p: Params = DEFAULT, publish: str | None = None, force: bool = False, skip_unreadable: bool = False) -> bool:
+    """Whether all checks passed. Tables are published (CSV and spreadsheets in ``publish``) only if they did."""
+    dc = export.drug_coefficients(run_cross_market(spark, out, which, p, force, skip_unreadable), p)
+    final = written(spark, f"{across(out, which, p)}/final_shares", lambda: shares.final_shares(stage_of(spark, which, "substitute_shares", skip_unreadable), dc), None, force)
     checks = export.validate(dc, final, p)
     if publish is None:
         return checks.where("NOT passed").isEmpty()
     good = sheets.report(checks, f"{publish}/validation_report.txt")
     if good:
-        for name, df, order in (("drug_coefficients", dc, ["COEF_1", "DRUGS_ID"]), ("substitute_shares", final, ["DRUGS_ID", "SUBSTITUTE_RANK"])):
+        for name, sheet, df, order in (("drug_coefficients", "Drug Coefficients", dc, ["COEF_1", "DRUGS_ID"]), ("substitute_shares", "Substitute Shares", final, ["DRUGS_ID", "SUBSTITUTE_RANK"])):
             df = df.orderBy(*order, ascending=[name != "drug_coefficients", True])
             sheets.write_csv(df, f"{publish}/{name}.csv")
-            sheets.write_xlsx(df, f"{publish}/{name}.xlsx", name)
+            sheets.write_xlsx(df, f"{publish}/{name}.xlsx", sheet)
     return good
+
+
+def run(spark: SparkSession, raw: str, out: str, registry: str | None = None, ids: list[int] | None = None, limit: int | None = None, force: bool = False, p: Params = DEFAULT, publish: str | None = None) -> bool:
+    """All stages; whether all checks passed. Markets that failed are left out and logged."""
+    which = run_markets(spark, raw, out, registry, ids, limit, force, p)
+    good = [m for m in which if m.status != "error"]
+    if not good:
+        raise NotReady("every market failed")
+    return run_export(spark, out, good, p, publish, force)

@@ -6,7 +6,6 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lacuna.operators import crossmarket, did, export, shares, stockouts, weekly
 from lacuna.params import DEFAULT, Params
@@ -36,7 +35,7 @@ class Stages:
 
     @cached_property
     def inn_names(self) -> DataFrame:
-        return self.target.where("INN_ID IS NOT NULL").groupBy("INN_ID").agg(F.min("INN_NAME").alias("INN_NAME"))
+        return crossmarket.inn_names(self.aggregated)
 
     @cached_property
     def islands(self) -> DataFrame:
@@ -48,7 +47,7 @@ class Stages:
 
     @cached_property
     def measured(self) -> DataFrame:
-        return did.measured_events(self.events, self.p)
+        return self.kept(did.measured_events(self.events, self.p))
 
     @cached_property
     def pairs(self) -> DataFrame:

@@ -5,6 +5,7 @@ RAW_REQUIRED = ("ORG_ID", "CLIENT_ID", "DRUGS_ID", "PERIOD_ID", "Q", "V", "INN",
 RAW_USED = RAW_REQUIRED[:11]
 RENAMES = {"ORG_ID": "PHARM_ID", "INN": "INN_NAME", "Full medication name": "DRUGS_NAME", "NFC Code (1)": "NFC1_ID", "NFC Code (2)": "NFC_ID"}
 
+#: The columns of the tables that the method puts out, in their order.
 AGGREGATED = ("CLIENT_ID", "PHARM_ID", "DRUGS_ID", "Date", "Q", "V", "DRUGS_NAME", "INN_NAME", "INN_ID", "NFC1_ID", "NFC_ID", "NOTSOLD_PERCENT", "MARKET_TOTAL_DRUGS_PACK", "MARKET_TOTAL_DRUGS_REVENUE")
 STOCKOUT_EVENTS = ("EVENT_ID", "CLIENT_ID", "INN_ID", "INN_NAME", "DRUGS_ID", "DRUGS_NAME", "NFC1_ID", "STOCKOUT_START", "STOCKOUT_END", "STOCKOUT_WEEKS", "PRE_START", "PRE_END", "PRE_WEEKS", "PRE_AVG_Q")
 DID_EVENTS = ("EVENT_ID", "CLIENT_ID", "INN_ID", "DRUGS_ID", "DRUGS_NAME", "NFC1_ID", "POST_START", "POST_END", "POST_WEEKS", "POST_STATUS", "MARKET_PRE", "MARKET_DURING", "MARKET_GROWTH", "INTERNAL_LIFT", "LOST_SALES", "TOTAL_EFFECT", "SHARE_INTERNAL", "SHARE_LOST", "SUBSTITUTES_COUNT", "SUBSTITUTES_WITH_LIFT")

@@ -2,59 +2,106 @@
 
 from __future__ import annotations
 
-from datetime import date
+import csv
+import json
+import logging
+from collections.abc import Iterator
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.functions.scalars import decimal_comma, monday, period_date
+from lacuna.functions.scalars import monday, period_date
 from lacuna.params import DEFAULT, Params
-from lacuna.schemas import RAW_REQUIRED, RAW_USED, RENAMES, STATUSES, missing_columns
+from lacuna.schemas import RAW_USED, RENAMES, STATUSES, missing_columns
+from lacuna.sources.files import exists, listed, read_text, write_text
+from lacuna.sources.sheets import write_csv
+
+log = logging.getLogger(__name__)
+RENAMED_FROM = {b: a for a, b in RENAMES.items()}
 
 #: Text that counts as missing in the input contract.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 MARKET_LIST = "CLIENT_ID long, FILE_NAME string, FILE_PATH string, FILE_SIZE_MB double, STATUS string, REASON string"
 
 
-def files(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None) -> list[tuple[str, int]]:
-    """(path, length) of the files, by path, from the folder's own file system; empty files are listed too."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder, pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted((f.getPath().toString(), f.getLen()) for f in found)[:limit]
+HEADS = "FILE_PATH string, lines array<string>, error string"
+
+
+def first_lines(path: str, count: int, most: int = 1 << 20) -> list[str]:
+    """The first lines of a file, from its first bytes only."""
+    from pyarrow import fs
+
+    store, at = (fs.LocalFileSystem(), path.removeprefix("file:")) if path.startswith(("file:", "/")) else fs.FileSystem.from_uri(path)
+    raw = b""
+    with store.open_input_stream(at) as f:
+        while raw.count(b"\n") < count and len(raw) < most and (more := f.read(1 << 14)):
+            raw += more
+    return raw.decode("utf-8-sig", errors="replace").splitlines()[:count]
+
+
+def heads(spark: SparkSession, paths: list[str], rows: int) -> DataFrame:
+    """HEADS: the header and the first rows of each file, all in one job; error instead, where a file can't be read."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    found.append((path, first_lines(path, rows + 1), None))
+                except OSError as e:
+                    found.append((path, None, f"{type(e).__name__}: {e}"))
+            columns = list(zip(*found, strict=True)) if found else [()] * 3
+            kinds = (pa.string(), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["FILE_PATH", "lines", "error"])
 
-def header(spark: SparkSession, path: str, rows: int) -> list[list[str]]:
-    """Cells of the first lines. head() reads the first split only as far as it needs."""
-    lines = [r.value for r in spark.read.text(path).head(rows + 1)]
-    return [[c.strip().strip('"') for c in line.lstrip("﻿").split(";")] for line in lines]
+    parts = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    return spark.createDataFrame([(p,) for p in paths], "FILE_PATH string").repartition(parts).mapInArrow(run, HEADS)
 
 
-def sniffed(path: str, length: int, cells: list[list[str]], p: Params = DEFAULT) -> tuple:
-    """A row of MARKET_LIST from a file's size and first lines; the first rule that fails names the status."""
+def sniffed(path: str, length: int, changed: int, lines: list[str] | None, error: str | None, p: Params = DEFAULT) -> tuple:
+    """A row of FOUND from a file's size and first lines; the first rule that fails names the status."""
     name, size = path.rsplit("/", 1)[-1], round(length / 1048576, 2)
-    client = None
-    if not cells or len(cells) < 2:
-        status, reason = "EMPTY", "no data rows"
-    elif missing := missing_columns(cells[0]):
+    cells = [[c.strip() for c in row] for row in csv.reader(lines or [], delimiter=";")]
+    client, header = None, cells[0] if cells else []
+    if error:
+        status, reason = "MALFORMED", f"can't be read: {error}"
+    elif len(cells) < 2:
+        status, reason = "EMPTY", "no data rows" if cells else "no header"
+    elif missing := missing_columns(header):
         status, reason = "MALFORMED", "missing columns: " + ", ".join(missing)
     else:
-        at = cells[0].index("CLIENT_ID")
+        at = header.index("CLIENT_ID")
         ids = {row[at] if len(row) > at else "" for row in cells[1:]}
         if len(ids) != 1 or not next(iter(ids)).isdigit():
             status, reason = "MALFORMED", "CLIENT_ID isn't one whole number"
         else:
             client = int(next(iter(ids)))
             status, reason = ("OVERSIZED", f"more than {p.max_file_mb:g} MB") if length / 1048576 > p.max_file_mb else ("READY", "")
-    return client, name, path, size, status, reason
+    return client, name, path, size, status, reason, header, length, changed
+
+
+FOUND = f"{MARKET_LIST}, HEADER array<string>, FILE_LENGTH long, CHANGED long"
 
 
 def discover(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None, p: Params = DEFAULT) -> DataFrame:
-    """The market list, READY first, then by market (null last) and file name. One short read for each file."""
-    listed = files(spark, folder, pattern, limit)
-    rows = [sniffed(path, length, header(spark, path, p.sniff_rows) if length else [], p) for path, length in listed]
+    """FOUND: the market list, READY first, then by market (null last) and file name, with each file's header, length and time."""
+    files = {path: (length, changed) for path, length, changed in listed(spark, folder, pattern)[:limit]}
+    found = heads(spark, list(files), p.sniff_rows).collect() if files else []  # a few lines of each file
+    rows = [sniffed(r.FILE_PATH, *files[r.FILE_PATH], r.lines, r.error, p) for r in found]
     rank = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("STATUS"))
-    return spark.createDataFrame(rows, MARKET_LIST).orderBy(rank, F.asc_nulls_last("CLIENT_ID"), "FILE_NAME")
+    return spark.createDataFrame(rows, FOUND).orderBy(rank, F.asc_nulls_last("CLIENT_ID"), "FILE_NAME")
+
+
+def save_market_list(found: DataFrame, path: str) -> None:
+    """The list as one semicolon-separated file with a byte-order mark, in its order."""
+    write_csv(found.select(*[c.split()[0] for c in MARKET_LIST.split(", ")]), path)
+
+
+def load_market_list(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.csv(path, schema=MARKET_LIST, sep=";", header=True)
 
 
 def status_counts(markets: DataFrame) -> DataFrame:
@@ -67,46 +114,84 @@ def ready(markets: DataFrame, ids: list[int] | None = None, limit: int | None =
     return kept.orderBy("CLIENT_ID").limit(limit) if limit else kept.orderBy("CLIENT_ID")
 
 
-def raw_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The used columns of market files as text, chosen by name: files of one header are read together."""
+def raw_rows(spark: SparkSession, files: list[tuple[str, list[str]]], columns: tuple[str, ...] = RAW_USED) -> DataFrame:
+    """Columns of market files as text, chosen by name, and FILE_NAME. files: (path, header); those of one header are read together."""
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        cells = header(spark, path, 0)
-        by_header.setdefault(tuple(cells[0]) if cells else (), []).append(path)
+    for path, header in files:
+        by_header.setdefault(tuple(header), []).append(path)
     parts = []
     for names, group in by_header.items():
-        if missing := missing_columns(list(names), RAW_REQUIRED):
-            raise ValueError(f"{group[0]}: missing columns {missing}")
         schema = ", ".join(f"`{n}` string" for n in names)
-        parts.append(spark.read.csv(group, schema=schema, sep=";", header=True, escape='"', enforceSchema=True).select(*[F.col(f"`{c}`") for c in RAW_USED]))
+        read = spark.read.csv(group, schema=schema, sep=";", header=True, escape='"', enforceSchema=True)
+        parts.append(read.select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_name").alias("FILE_NAME")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def whole_number(text: Column) -> Column:
+    """Text of a whole number, with zero decimals or none; null for anything else."""
+    return F.regexp_replace(text, r"\.0*$", "").try_cast("long")
+
+
+def parsed(raw: DataFrame) -> DataFrame:
+    """Canonical names and types: ids long, packs and value double, Date the Monday of the period's week.
+
+    MALFORMED names the first value that isn't what its column asks for (`Q=1,2,3`); null in good rows."""
+    used = [c for c in raw.columns if c != "FILE_NAME"]
+    text = [F.when(~F.trim(F.col(f"`{c}`")).isin(*MISSING), F.trim(F.col(f"`{c}`"))).alias(c) for c in used]
+    more = ["FILE_NAME"] if "FILE_NAME" in raw.columns else []
+    named = raw.select(*text, *more).withColumnsRenamed(RENAMES)
+    values = {c: whole_number(F.col(c)) for c in ("PHARM_ID", "CLIENT_ID", "DRUGS_ID", "INN_ID", "PERIOD_ID")}
+    values["PERIOD_ID"] = F.when(values["PERIOD_ID"].between(100_000_000, 999_999_999), values["PERIOD_ID"])
+    values |= {c: F.replace(F.col(c), F.lit(","), F.lit(".")).try_cast("double") for c in ("Q", "V")}
+    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c, v in values.items()])
+    rows = named.withColumn("MALFORMED", bad).withColumns(values)
+    return rows.withColumn("Date", monday(period_date(F.col("PERIOD_ID")))).drop("PERIOD_ID")
+
+
 def typed(raw: DataFrame) -> DataFrame:
-    """Canonical names and types: ids long, packs and value double, Date the Monday of the period's week."""
-    text = [F.when(~F.trim(F.col(f"`{c}`")).isin(*MISSING), F.trim(F.col(f"`{c}`"))).alias(c) for c in raw.columns]
-    named = raw.select(*text).withColumnsRenamed(RENAMES)
-    ids = {c: F.col(c).cast("double").cast("long") for c in ("PHARM_ID", "CLIENT_ID", "DRUGS_ID", "INN_ID")}
-    rows = named.withColumns(ids | {"Q": decimal_comma(F.col("Q")), "V": decimal_comma(F.col("V"))})
-    return rows.withColumn("Date", monday(period_date(F.col("PERIOD_ID").cast("long")))).drop("PERIOD_ID")
+    """The rows of parsed without malformed values."""
+    return parsed(raw).where("MALFORMED IS NULL").drop("MALFORMED", "FILE_NAME")
+
 
+def files_of(found: list) -> list[tuple[str, list[str]]]:
+    return [(r.FILE_PATH, r.HEADER) for r in found]
 
-def market_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return typed(raw_rows(spark, paths))
 
+def market_rows(spark: SparkSession, found: list) -> DataFrame:
+    """Typed rows of market files, given as rows of discover."""
+    return typed(raw_rows(spark, files_of(found)))
 
-def discovered_forms(rows: DataFrame) -> DataFrame:
-    return rows.select(F.trim("NFC1_ID").alias("form")).where("form <> ''").distinct()
 
+def health(rows: DataFrame) -> DataFrame:
+    """A row for each file of parsed rows: rows, malformed rows and one of their values, and whether there is one CLIENT_ID."""
+    return rows.groupBy("FILE_NAME").agg(
+        F.count("*").alias("rows"),
+        F.count("MALFORMED").alias("malformed"),
+        F.min("MALFORMED").alias("example"),
+        (F.min("CLIENT_ID") == F.max("CLIENT_ID")).alias("one_client"),
+    )
 
+
+def discovered_forms(rows: DataFrame, column: str = "NFC1_ID") -> DataFrame:
+    form = F.trim(F.col(f"`{column}`"))
+    return rows.select(form.alias("form")).where(form.isNotNull() & ~form.isin(*MISSING)).distinct()
+
+
+#: The rules of a new registry.
+GROUPS = ({"name": "ORAL_SOLID_RETARD", "description": "Тверді пероральні форми (звичайні + ретард-форми) — клінічно взаємозамінні.", "members": ["Пероральные твердые обычные", "Пероральные твердые длительно действующие"]},)
+EXCLUDED = ("Не предназначенные для использования у человека и прочие",)
+COMMENT = "Master data: NFC1 categories registry. Accumulating across runs."
 REGISTRY = "metadata struct<first_discovered_at:string,last_discovered_at:string,last_run_files_scanned:long,version:string>, all_categories array<string>, categories_history map<string,string>, compatibility_groups array<struct<name:string,description:string,members:array<string>>>, excluded array<string>"
 
 
 def form_rules(spark: SparkSession, path: str | None) -> DataFrame:
-    """(form, group, excluded) of a registry file; none without a file, so that forms match exactly."""
+    """(form, group, excluded) of a registry file; none without a file (with a warning if one was named), so that forms match exactly."""
     empty = spark.createDataFrame([], "form string, group string, excluded boolean")
     if path is None:
         return empty
+    if not exists(spark, path):
+        log.warning("no form registry at %s: forms match exactly", path)
+        return empty
     one = spark.read.schema(REGISTRY).json(path, multiLine=True)
     groups = one.select(F.explode("compatibility_groups").alias("g")).select(F.explode("g.members").alias("form"), F.col("g.name").alias("group"), F.lit(False).alias("excluded"))
     out = one.select(F.explode("excluded").alias("form"), F.lit(None).cast("string").alias("group"), F.lit(True).alias("excluded"))
@@ -114,15 +199,15 @@ def form_rules(spark: SparkSession, path: str | None) -> DataFrame:
     return every.groupBy("form").agg(F.min("group").alias("group"), F.max("excluded").alias("excluded"))
 
 
-def merged_registry(old: dict | None, forms: list[str], scanned: int, today: str | None = None) -> dict:
-    """The registry with new forms: categories only grow, first dates and rules never change."""
-    today = today or date.today().isoformat()
-    old = old or {}
+def merged_registry(old: dict | None, forms: list[str], scanned: int, now: str | None = None) -> dict:
+    """The registry with new forms: categories only grow, first dates and rules never change. Without an old one the rules are the fixed ones."""
+    now = now or datetime.now().isoformat(timespec="seconds")
+    old = {"_comment": COMMENT, "compatibility_groups": list(GROUPS), "excluded": list(EXCLUDED)} if old is None else old
     meta, history = old.get("metadata", {}), dict(old.get("categories_history", {}))
-    for f in sorted(set(forms)):
-        history.setdefault(f, today)
-    return {
-        "metadata": {"first_discovered_at": meta.get("first_discovered_at") or today, "last_discovered_at": today, "last_run_files_scanned": scanned, "version": meta.get("version", "1")},
+    for f in sorted(set(forms) - set(old.get("all_categories", []))):
+        history.setdefault(f, now[:10])
+    return old | {
+        "metadata": meta | {"first_discovered_at": meta.get("first_discovered_at") or now, "last_discovered_at": now, "last_run_files_scanned": scanned, "version": meta.get("version", 1)},
         "all_categories": sorted({*old.get("all_categories", []), *forms}),
         "categories_history": history,
         "compatibility_groups": old.get("compatibility_groups", []),
@@ -130,6 +215,16 @@ def merged_registry(old: dict | None, forms: list[str], scanned: int, today: str
     }
 
 
+def update_registry(spark: SparkSession, found: list, path: str) -> list[str]:
+    """Merges the forms of readable files (rows of discover) into the registry file; the forms that are new."""
+    known = json.loads(read_text(spark, path)) if exists(spark, path) else None
+    files = files_of([r for r in found if r.STATUS in ("READY", "OVERSIZED")])
+    column = RENAMED_FROM["NFC1_ID"]
+    forms = [r.form for r in discovered_forms(raw_rows(spark, files, (column,)), column).collect()] if files else []  # a registry of forms
+    write_text(spark, path, json.dumps(merged_registry(known, forms, len(found)), ensure_ascii=False, indent=2) + "\n")
+    return sorted(set(forms) - set((known or {}).get("all_categories", [])))
+
+
 def unknown_forms(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Forms in the data that no rule names; each stands alone."""
     return discovered_forms(rows).join(rules, "form", "left_anti")

@@ -66,10 +66,11 @@ def write_xlsx(df: DataFrame, path: str, sheet: str = "data") -> None:
         z.writestr("xl/worksheets/sheet1.xml", f'<?xml version="1.0"?><worksheet xmlns="{main}"><sheetData>{data}</sheetData></worksheet>')
 
 
-def read_xlsx(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The first sheet's rows below its header, columns chosen by the schema's names."""
+def sheet_cells(path: str) -> tuple[str, list[dict[int, object]]]:
+    """(name, rows of place -> value) of the first sheet; numbers stay text."""
     with zipfile.ZipFile(path) as z:
         shared = [("".join(t.text or "" for t in s.iter(f"{{{_NS['m']}}}t"))) for s in ET.fromstring(z.read("xl/sharedStrings.xml"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        name = next(ET.fromstring(z.read("xl/workbook.xml")).iter(f"{{{_NS['m']}}}sheet")).get("name")
         root = ET.fromstring(z.read("xl/worksheets/sheet1.xml"))
     rows = []
     for r in root.iter(f"{{{_NS['m']}}}row"):
@@ -80,17 +81,47 @@ def read_xlsx(spark: SparkSession, path: str, schema: str) -> DataFrame:
                 at = at * 26 + ord(letter) - 64
             value = c.findtext("m:v", None, _NS)
             kind = c.get("t")
-            row[at - 1] = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t")) if kind == "inlineStr" else shared[int(value)] if kind == "s" else value == "1" if kind == "b" else value
+            row[at - 1] = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t")) if kind == "inlineStr" else shared[int(value)] if kind == "s" else value == "1" if kind == "b" else value if value is None else Number(value)
         rows.append(row)
+    return name, rows
+
+
+class Number(str):
+    """The text of a cell that is a number."""
+
+
+def kind_of(values: list[object]) -> str:
+    """The type that holds all values of a column."""
+    found = [v for v in values if v is not None]
+    if found and all(isinstance(v, bool) for v in found):
+        return "boolean"
+    if found and all(isinstance(v, Number) for v in found):
+        return "long" if all(re.fullmatch(r"-?[0-9]+", v) for v in found) else "double"
+    return "string"
+
+
+def read_xlsx(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The first sheet's rows below its header. Columns are chosen by the schema's names; without a schema all, typed by their cells."""
+    _, rows = sheet_cells(path)
     if not rows:
-        return spark.createDataFrame([], schema)
-    names = {v: i for i, v in rows[0].items()}
+        return spark.createDataFrame([], schema or "nothing string")
+    names = {str(v): i for i, v in rows[0].items()}
+    if schema is None:
+        schema = ", ".join(f"`{n}` {kind_of([r.get(i) for r in rows[1:]])}" for n, i in names.items())
     fields = spark.createDataFrame([], schema).schema
-    convert = {"long": lambda v: int(float(v)), "bigint": lambda v: int(float(v)), "int": lambda v: int(float(v)), "double": float, "boolean": bool, "string": str}
+    convert = {"bigint": lambda v: int(float(v)) if "." in v or "e" in v.lower() else int(v), "double": float, "boolean": bool, "string": str}
+    convert["int"] = convert["bigint"]
     take = lambda r, f: None if r.get(names[f.name]) is None else convert[f.dataType.simpleString()](r[names[f.name]])
     return spark.createDataFrame([tuple(take(r, f) for f in fields) for r in rows[1:]], fields)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A published table by its extension: a spreadsheet, or semicolon-separated text with a header."""
+    if path.lower().endswith(".xlsx"):
+        return read_xlsx(spark, path)
+    return spark.read.csv(path, sep=";", header=True, inferSchema=True, escape='"')
+
+
 def report(checks: DataFrame, path: str) -> bool:
     """A text report of the checks; whether all passed."""
     rows = checks.orderBy("check").collect()  # a row for each check

@@ -1,4 +1,7 @@
-"""Markets that arrive over time: each micro-batch of raw rows rebuilds the series of the markets that it touches."""
+"""Markets that arrive over time: each micro-batch of raw rows rebuilds the series of the markets that it touches.
+
+A batch is stored under its number, so one that comes again after a failure replaces itself and no sale counts twice; rows
+with malformed values go to a table of their own."""
 
 from __future__ import annotations
 
@@ -9,23 +12,29 @@ from pyspark.sql.streaming import StreamingQuery
 from lacuna.operators import weekly
 from lacuna.params import DEFAULT, Params
 from lacuna.schemas import RAW_REQUIRED, RAW_USED
-from lacuna.sources.markets import typed
+from lacuna.sources.markets import parsed
 
 
 def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed rows of files of the standard header as they appear."""
+    """Parsed rows of files of the standard header as they appear; MALFORMED marks the bad ones."""
     schema = ", ".join(f"`{c}` string" for c in RAW_REQUIRED)
-    return typed(spark.readStream.schema(schema).csv(folder, sep=";", header=True, escape='"').select(*[f"`{c}`" for c in RAW_USED]))
+    return parsed(spark.readStream.schema(schema).csv(folder, sep=";", header=True, escape='"').select(*[f"`{c}`" for c in RAW_USED]))
 
 
-def refreshed(batch: DataFrame, store: str, out: str, p: Params = DEFAULT) -> None:
-    """Appends the batch to the store and rewrites the aggregated partitions of its markets. Both tables go by market."""
+def refreshed(batch: DataFrame, number: int, store: str, out: str, p: Params = DEFAULT) -> None:
+    """Stores the batch and rewrites the aggregated partitions of its markets. The store goes by batch and market, ``out`` by market."""
     spark = batch.sparkSession
-    batch.write.mode("append").partitionBy("CLIENT_ID").parquet(store)
-    touched = [r.CLIENT_ID for r in batch.select("CLIENT_ID").distinct().collect()]  # ids of one batch's markets
-    rows = spark.read.schema(batch.schema).parquet(store).where(F.col("CLIENT_ID").isin(touched))  # prunes partitions
+    good = batch.where("MALFORMED IS NULL AND CLIENT_ID IS NOT NULL").drop("MALFORMED")
+    for rows, place in ((good, f"{store}/rows/batch={number}"), (batch.where("MALFORMED IS NOT NULL"), f"{store}/malformed/batch={number}")):
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy("CLIENT_ID") if place.startswith(f"{store}/rows/") else writer).parquet(place)
+    touched = [r.CLIENT_ID for r in good.select("CLIENT_ID").distinct().collect()]  # ids of one batch's markets
+    if not touched:
+        return
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in good.schema) + ", batch long"
+    rows = spark.read.schema(schema).parquet(f"{store}/rows").where(F.col("CLIENT_ID").isin(touched)).drop("batch")  # prunes partitions
     weekly.aggregate_markets(rows, p).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("CLIENT_ID").parquet(out)
 
 
 def start(rows: DataFrame, store: str, out: str, checkpoint: str, p: Params = DEFAULT) -> StreamingQuery:
-    return rows.writeStream.foreachBatch(lambda batch, _: refreshed(batch, store, out, p)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(lambda batch, number: refreshed(batch, number, store, out, p)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -219,44 +219,3 @@ def test_checks_and_adhoc(spark, tmp_path):
     assert [r.DRUGS_ID for r in adhoc.pareto_cut(v, "volume", Params(pareto_target=0.8)).orderBy("position").collect()] == [1, 2]
     assert {r.bucket: r.drugs for r in adhoc.score_buckets(v).collect()} == {7: 1, 8: 1, 9: 1}
     assert [r.n for r in adhoc.histogram(v, "volume", 5).orderBy("bin").collect()] == [1, 1, 1, 1]
-
-
-def test_files_run_and_stream(spark, tmp_path):
-    from lacuna.plans.run import run
-    from lacuna.schemas import RAW_REQUIRED
-    from lacuna.sources import markets, sheets
-    from lacuna.streaming import incremental
-
-    raw = tmp_path / "raw"
-    raw.mkdir()
-    r = np.random.default_rng(5)
-    for client in (1, 2, 3):
-        lines = [";".join(RAW_REQUIRED)]
-        for shop in (client, 99):
-            for drug in range(1, 5):
-                for w in range(40):
-                    if shop == 99 or r.random() > 0.35:
-                        q = str(r.integers(1, 20)) + ",5"
-                        lines.append(f'{shop};{client};{drug};{2023 * 100000 + 7 * w + 1};{q};"10,5";inn;{drug % 2};"name ""{drug}""";TAB;TAB;a;b')
-        (raw / f"{client}.csv").write_text("﻿" * (client == 2) + "\n".join(lines) + "\n", encoding="utf-8")
-    (raw / "4.csv").write_text("a;b\n1;2\n")
-    (raw / "5.csv").write_text("")
-    found = markets.discover(spark, str(raw)).collect()
-    assert [(f.CLIENT_ID, f.STATUS) for f in found] == [(1, "READY"), (2, "READY"), (3, "READY"), (None, "EMPTY"), (None, "MALFORMED")]
-    old = markets.merged_registry(None, ["TAB"], 3, "2024-01-01")
-    new = markets.merged_registry(old | {"excluded": ["X"]}, ["SYR"], 4, "2024-02-01")
-    assert new["all_categories"] == ["SYR", "TAB"] and new["categories_history"]["TAB"] == "2024-01-01" and new["excluded"] == ["X"] and new["metadata"]["first_discovered_at"] == "2024-01-01"
-    publish = tmp_path / "publish"
-    publish.mkdir()
-    p = Params(min_market_count=2)
-    assert run(spark, str(raw), str(tmp_path / "out"), p=p, publish=str(publish))
-    assert run(spark, str(raw), str(tmp_path / "out"), p=p)  # from the stored stages
-    assert (publish / "drug_coefficients.csv").read_bytes().startswith(b"\xef\xbb\xbfDRUGS_ID;")
-    back = sheets.read_xlsx(spark, str(publish / "drug_coefficients.xlsx"), "DRUGS_ID long, COEF_1 double, DRUGS_NAME string")
-    assert back.count() == 4 and 'name "1"' in [x.DRUGS_NAME for x in back.collect()]
-    for x in ("4.csv", "5.csv"):
-        (raw / x).unlink()
-    q = incremental.start(incremental.raw_stream(spark, str(raw)), str(tmp_path / "store"), str(tmp_path / "series"), str(tmp_path / "state"))
-    q.awaitTermination()
-    want = weekly.aggregate_markets(markets.market_rows(spark, [f.FILE_PATH for f in found[:3]]))
-    assert spark.read.parquet(str(tmp_path / "series")).count() == want.count() > 0
