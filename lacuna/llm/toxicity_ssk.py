@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -207,25 +208,27 @@ class Machine:
     def separate(self, texts: list[str], labels: np.ndarray) -> None:
         """Learns from the sentences of labelled texts."""
         ids: dict[str, int] = {}
-        bags: list[list[np.ndarray]] = []  # of each text, of each sentence, its units
-        before: dict[int, set[str]] = {}  # pieces before a unit in toxic texts
-        for t, y in zip(texts, labels, strict=True):
-            own = []
+        unit, size, of_text = array("i"), array("i"), array("i")  # units of all sentences; of each sentence how many, and its text
+        after = array("q")  # in toxic texts a unit and the piece before it, as one number
+        for i, (t, y) in enumerate(zip(texts, labels, strict=True)):
             for row in sentences(t.lower()):
-                bag = {ids.setdefault(u, len(ids)) for p in row for u in units(p)}
-                own.append(np.fromiter(bag, np.int32, len(bag)))
-                if y == 1:
-                    for a, p in zip(["", *row], row, strict=False):
-                        for u in units(p):
-                            before.setdefault(ids[u], set()).add(a)
-            bags.append(own)
+                bag, last = set(), ""
+                for p in row:
+                    own = [ids.setdefault(u, len(ids)) for u in units(p)]
+                    bag.update(own)
+                    if y == 1:
+                        after.extend([u << 32 | hash_of(last) for u in own])
+                    last = p
+                unit.extend(bag)
+                size.append(len(bag))
+                of_text.append(i)
         words = list(ids)
-        clean, toxic, contexts = (np.zeros(len(words), np.int64) for _ in range(3))
-        for own, y in zip(bags, labels, strict=True):
-            if own:
-                (toxic if y == 1 else clean)[np.unique(np.concatenate(own))] += 1
-        for i, b in before.items():
-            contexts[i] = min(toxic[i], len(b))
+        unit, size, of_text = (np.frombuffer(x, np.int32) if len(x) else np.zeros(0, np.int32) for x in (unit, size, of_text))
+        pairs = np.unique(np.repeat(of_text, size).astype(np.int64) << 32 | unit)  # a text has a unit once
+        is_toxic = labels[pairs >> 32] == 1
+        toxic, clean = (np.bincount(pairs[x] & 0xFFFFFFFF, minlength=len(words)) for x in (is_toxic, ~is_toxic))
+        contexts = np.minimum(toxic, np.bincount(np.unique(np.frombuffer(after, np.int64)) >> 32, minlength=len(words)) if len(after) else 0)
+        del pairs, after
         n_toxic, n_clean = labels.sum(), len(labels) - labels.sum()
         odds = np.log((contexts + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
         # how unlikely so uneven counts are by chance, over all units that could have had them
@@ -248,10 +251,19 @@ class Machine:
             negative |= set(sorted(close.tolist(), key=lambda i: (-margin[i], words[i]))[:UNITS])
             found = np.zeros(len(words), bool)
             found[[i for i in positive if margin[i] > 0]] = True
-            for own, y in zip(bags, labels, strict=True):
-                if y == 1 and not any(found[b].any() for b in own) and any(map(len, own)):
-                    sentence = max((b for b in own if len(b)), key=lambda b: margin[b].max())
-                    best = min(sentence[margin[sentence] == margin[sentence].max()].tolist(), key=words.__getitem__)
+            start = np.cumsum(size) - size
+            full = np.flatnonzero((size > 0) & (labels[of_text] == 1))
+            if len(full):
+                # the highest unit and whether a known one is there, of each toxic sentence, then of each toxic text
+                explained, high = np.zeros(len(labels), bool), np.full(len(labels), -np.inf)
+                inside = np.repeat(labels[of_text] == 1, size)
+                edges = np.cumsum(size[full]) - size[full]
+                np.logical_or.at(explained, of_text[full], np.logical_or.reduceat(found[unit[inside]], edges))
+                top = np.maximum.reduceat(margin[unit[inside]], edges)
+                np.maximum.at(high, of_text[full], top)
+                for k in full[(top == high[of_text[full]]) & ~explained[of_text[full]]].tolist():
+                    own = unit[start[k] : start[k] + size[k]]
+                    best = min(own[margin[own] == margin[own].max()].tolist(), key=words.__getitem__)
                     if margin[best] > -0.3 and odds[best] > 0 and best not in negative:
                         positive.add(best)
 
