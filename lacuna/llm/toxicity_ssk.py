@@ -53,28 +53,32 @@ LEAST, LEAST_SHARE, ODDS, CHANCE = 3, 0.01, 2.5, 0.1
 LONGEST, NEAR = 32, 24
 SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 SPELLED = re.compile(r"(?<!\S)\S(?:[ .*_-]\S){2,}(?!\S)")
-END = "\1"
+PUNCTUATION, END = ".,;:!?\"'()[]", "\1"
 #: (offsets of the second and third letter, weight) of every subsequence within the span.
 GAPS = [(j, k, LAMBDA ** (k + 1)) for k in range(2, SPAN) for j in range(1, k)]
 
 
 def sentences(text: str) -> list[list[str]]:
     """The pieces (what stands between spaces) of each sentence, then its spelled-out runs without what separates their letters."""
-    out = []
+    out, spelled = [], SPELLED.search(text)
     for s in SENTENCE.split(text):
         row = s.split()
-        for i in range(0, len(row), LONGEST):
-            out.append(row[i : i + LONGEST])
-        if out:
+        if len(row) > LONGEST:
+            out += [row[i : i + LONGEST] for i in range(0, len(row), LONGEST)]
+        else:
+            out.append(row)
+        if spelled:
             out[-1] = out[-1] + [re.sub(r"[ .*_-]", "", m[0]) for m in SPELLED.finditer(s)]
-    return out
+    return [row for row in out if row]
 
 
 def units(piece: str) -> list[str]:
     """The units of a piece: its letters and digits between two ends, in overlapping parts if they are many."""
-    w = "".join(filter(str.isalnum, piece))
-    if not w:
-        return []
+    w = piece if piece.isalnum() else piece.strip(PUNCTUATION)
+    if not w.isalnum():
+        w = "".join(filter(str.isalnum, w))
+        if not w:
+            return []
     w = END + w + END
     return [w] if len(w) <= WIDE else [w[i : i + WIDE] for i in range(0, len(w) - WIDE + SLIDE, SLIDE)]
 
