@@ -52,9 +52,14 @@ def candidate_pairs(events: DataFrame, agg: DataFrame, forms: DataFrame) -> Data
     return pairs.withColumn("gain", lift(F.col("during"), F.col("expectation"))).drop("packs")
 
 
+def exact_sum(c: str) -> Column:
+    """The sum to nine decimals, which doesn't depend on the order of the rows as a sum of doubles would."""
+    return F.sum(F.col(c).cast("decimal(28,9)"))
+
+
 def did_events(events: DataFrame, pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Effects of the measured events; those whose rounded total is below the least effect are left out."""
-    gains = pairs.groupBy("EVENT_ID").agg(F.sum("gain").alias("internal"), F.count("*").cast("int").alias("n"), F.count_if(F.col("gain") > 0).cast("int").alias("n_lift"))
+    gains = pairs.groupBy("EVENT_ID").agg(exact_sum("gain").cast("double").alias("internal"), F.count("*").cast("int").alias("n"), F.count_if(F.col("gain") > 0).cast("int").alias("n_lift"))
     rows = events.join(gains, "EVENT_ID", "left").withColumn("internal", F.coalesce("internal", F.lit(0.0))).withColumn("total", F.col("internal") + F.col("lost"))
     return rows.withColumns({
         "MARKET_PRE": rounded(F.col("inn_pre"), 2),
@@ -72,7 +77,7 @@ def did_events(events: DataFrame, pairs: DataFrame, p: Params = DEFAULT) -> Data
 
 def substitute_pairs(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """The pairs of kept events. The event's total is a window sum, so the pairs are made once."""
-    total = F.sum("gain").over(Window.partitionBy("EVENT_ID")) + F.col("lost")
+    total = exact_sum("gain").over(Window.partitionBy("EVENT_ID")).cast("double") + F.col("lost")
     kept = pairs.withColumn("total", rounded(total, 4)).where(F.col("total") >= p.min_effect)
     return kept.select(
         "EVENT_ID", "CLIENT_ID", "INN_ID", F.col("DRUGS_ID").alias("TARGET_DRUGS_ID"), F.col("DRUGS_NAME").alias("TARGET_DRUGS_NAME"), F.col("NFC1_ID").alias("TARGET_NFC1_ID"),

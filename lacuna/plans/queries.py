@@ -19,9 +19,18 @@ from lacuna.session import tuned
 PARAMS = Params(min_market_count=3)
 
 
-def stages(spark: SparkSession, sf_dir: str, dip_test: bool = False) -> Stages:
-    sold = market_data.sales(tuned(spark), sf_dir).persist()  # read three times, and small: one row for each nation, product and week
-    return Stages(sold, market_data.competitors(sold), market_data.forms(spark), PARAMS, dip_test)
+_last: list[Stages] = []
+
+
+def stages(spark: SparkSession, sf_dir: str) -> Stages:
+    """The chain for one query. What the chain before kept is freed, so no query is answered from another one's tables."""
+    while _last:
+        _last.pop().release()
+    s = Stages(market_data.sales(tuned(spark), sf_dir), None, market_data.forms(spark), PARAMS)
+    s.target = s.kept(s.target)  # read twice, and small: one row for each nation, product and week
+    s.competitors = market_data.competitors(s.target)
+    _last.append(s)
+    return s
 
 
 def round_all(df: DataFrame, places: int, *columns: str) -> DataFrame:
@@ -94,7 +103,8 @@ def iqr_trim(spark, d):
 
 
 def drug_statistics(spark, d):
-    return stages(spark, d).drug_statistics
+    """The p-values are those of drug_modality."""
+    return stages(spark, d).drug_statistics.drop("DIP_PVALUE")
 
 
 def drug_modality(spark, d):
@@ -106,7 +116,15 @@ def drug_coefficients(spark, d):
 
 
 def drug_coefficients_dip(spark, d):
-    return stages(spark, d, dip_test=True).drug_coefficients
+    return stages(spark, d).drug_coefficients
+
+
+def two_peaks(spark, d):
+    """Statistics of shares with two peaks: 0.2 or 0.8 by market for products of even number, 0.5 everywhere for the others."""
+    seen = market_data.sales(spark, d).select("CLIENT_ID", "DRUGS_ID", "DRUGS_NAME", "INN_ID", "INN_NAME", "NFC1_ID").distinct()
+    share = F.when(F.col("DRUGS_ID") % 2 == 1, 0.5).when(F.col("CLIENT_ID") % 2 == 0, 0.2).otherwise(0.8)
+    found = crossmarket.drug_statistics(seen.withColumn("SHARE_INTERNAL", share), crossmarket.inn_names(seen), PARAMS)
+    return found.select("DRUGS_ID", "DRUG_CLASS", "MARKET_COUNT_CLEAN", "MEAN_SHARE_INTERNAL", "STD_SHARE_INTERNAL", "VARIATION_COEF", "RELIABILITY_LABEL", "RELIABILITY_SCORE")
 
 
 def substitute_shares(spark, d):

@@ -1,4 +1,7 @@
-"""The registered queries in SQL. Each CTE is one stage; a query names the stages that it needs."""
+"""The registered queries in SQL. Each CTE is one stage; a query names the stages that it needs.
+
+SQL has no dip test: ``stats`` takes every product of the order tables as unimodal, which the queries find by testing them;
+``two_peaks`` has products of either kind by construction."""
 
 from __future__ import annotations
 
@@ -51,7 +54,7 @@ CTES = {
     "sums": """SELECT c."EVENT_ID", c.sub_id, coalesce(sum(CASE WHEN a."Date" < c.s THEN a."Q" END), 0) AS pre, coalesce(sum(CASE WHEN a."Date" >= c.s THEN a."Q" END), 0) AS during
         FROM cand c JOIN agg a ON c."CLIENT_ID" = a."CLIENT_ID" AND c.sub_id = a."DRUGS_ID" AND a."Date" BETWEEN c.s - 28 AND c.e GROUP BY ALL""",
     "pairs": """SELECT c.*, u.pre, u.during, greatest(0, u.pre * growth) AS ex, greatest(0, u.during - greatest(0, u.pre * growth)) AS gain FROM cand c JOIN sums u ON c."EVENT_ID" = u."EVENT_ID" AND c.sub_id = u.sub_id""",
-    "gains": """SELECT "EVENT_ID", sum(gain) AS internal, count(*) AS n, count(*) FILTER (WHERE gain > 0) AS n_lift FROM pairs GROUP BY ALL""",
+    "gains": """SELECT "EVENT_ID", CAST(sum(CAST(gain AS DECIMAL(28,9))) AS DOUBLE) AS internal, count(*) AS n, count(*) FILTER (WHERE gain > 0) AS n_lift FROM pairs GROUP BY ALL""",
     "did": f"""SELECT * FROM (SELECT m."EVENT_ID", m."CLIENT_ID", m."INN_ID", m."DRUGS_ID", m."DRUGS_NAME", m."NFC1_ID", ns AS "POST_START", ns + 21 AS "POST_END", 4 AS "POST_WEEKS", 'valid' AS "POST_STATUS",
         {r('inn_pre', 2)} AS "MARKET_PRE", {r('inn_during', 2)} AS "MARKET_DURING", {r('growth', 6)} AS "MARKET_GROWTH", {r('coalesce(internal, 0)', 4)} AS "INTERNAL_LIFT", {r('lost', 4)} AS "LOST_SALES",
         {r('coalesce(internal, 0) + lost', 4)} AS "TOTAL_EFFECT",
@@ -132,7 +135,10 @@ SELECTS = {
     "share_invariant": 'SELECT "CLIENT_ID", count(*) AS drugs, max(abs(s - 1)) < 0.001 AS passed FROM (SELECT "CLIENT_ID", "STOCKOUT_DRUG_ID", sum("SUBSTITUTE_SHARE") AS s FROM mshares GROUP BY ALL) GROUP BY "CLIENT_ID"',
     "market_drug": f'SELECT "CLIENT_ID", "DRUGS_ID", {r(chr(34) + "INTERNAL_LIFT" + chr(34), 4)} AS "INTERNAL_LIFT", {r(chr(34) + "LOST_SALES" + chr(34), 4)} AS "LOST_SALES", {r(chr(34) + "TOTAL_EFFECT" + chr(34), 4)} AS "TOTAL_EFFECT", "EVENTS_COUNT", "DRUGS_NAME", "INN_ID", "NFC1_ID", {r("x", 6)} AS "SHARE_INTERNAL" FROM mdrug',
     "iqr_trim": f'SELECT "CLIENT_ID", "DRUGS_ID", {r("x", 6)} AS "SHARE_INTERNAL" FROM clean',
-    "drug_statistics": "SELECT * FROM stats",
+    "drug_statistics": 'SELECT * EXCLUDE ("DIP_PVALUE") FROM stats',
+    "two_peaks": f"""SELECT "DRUGS_ID", CASE WHEN "DRUGS_ID" % 2 = 0 THEN 'MULTIMODAL' ELSE 'UNIMODAL' END AS "DRUG_CLASS", CAST(n AS INTEGER) AS "MARKET_COUNT_CLEAN", {r('mean', 6)} AS "MEAN_SHARE_INTERNAL", {r('sd', 6)} AS "STD_SHARE_INTERNAL", {r('sd / mean', 6)} AS "VARIATION_COEF",
+        CASE WHEN sd / mean < 0.15 THEN 'HIGH' WHEN sd / mean < 0.30 THEN 'MEDIUM' ELSE 'LOW' END AS "RELIABILITY_LABEL", {r("greatest(0, 1 - sd / mean) * least(1, log10(n) / log10(150)) * CASE WHEN DRUGS_ID % 2 = 0 THEN 0.85 ELSE 1 END", 6)} AS "RELIABILITY_SCORE"
+        FROM (SELECT "DRUGS_ID", count(*) AS n, avg(x) AS mean, stddev_samp(x) AS sd FROM (SELECT DISTINCT "CLIENT_ID", "DRUGS_ID", CAST(CASE WHEN "DRUGS_ID" % 2 = 1 THEN 0.5 WHEN "CLIENT_ID" % 2 = 0 THEN 0.2 ELSE 0.8 END AS DOUBLE) AS x FROM sales) GROUP BY "DRUGS_ID")""",
     "drug_coefficients": "SELECT * FROM dc",
     "substitute_shares": "SELECT * FROM ss",
     "checks": " UNION ALL ".join(f"SELECT '{n}' AS \"check\", ({q}) AS passed" for n, q in CHECKS.items()),

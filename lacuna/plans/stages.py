@@ -17,7 +17,7 @@ class Stages:
     Tables that several later stages read are marked for storage (memory, then disk), so one query makes them once;
     what a lost executor held is made again. ``release`` frees them."""
 
-    def __init__(self, target: DataFrame, competitors: DataFrame, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
+    def __init__(self, target: DataFrame, competitors: DataFrame | None, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
         self.target, self.competitors, self.forms, self.p, self.dip_test = target, competitors, forms, p, dip_test
         self.held: list[DataFrame] = []
 

@@ -194,13 +194,50 @@ def test_outlier_goes(spark):
     assert (r.MARKET_COUNT_TOTAL, r.MARKET_COUNT_CLEAN, r.COVERAGE_PCT) == (5, 4, 1.0) and abs(r.MEAN_SHARE_INTERNAL - r.COVERAGE_PCT * r.CONDITIONAL_RETENTION) < 1e-5
 
 
+def plain_dip(values):
+    """The dip by its definition: the least d for which some distribution function, convex up to a value and concave after it, stays within d."""
+    x, counts = np.unique(values, return_counts=True)
+    high = np.cumsum(counts) / counts.sum()
+    low = high - counts / counts.sum()
+
+    def convex_fits(top, bottom, at):
+        for k in range(len(at)):
+            hull = min([top[k]] + [top[a] + (top[b] - top[a]) * (at[k] - at[a]) / (at[b] - at[a]) for a in range(k) for b in range(k + 1, len(at))])
+            if hull < bottom[k] - 1e-12:
+                return False
+        return True
+
+    def fits(d):
+        return any(convex_fits(low[: m + 1] + d, high[: m + 1] - d, x[: m + 1]) and convex_fits(d - high[m:][::-1], -d - low[m:][::-1], -x[m:][::-1]) for m in range(len(x)))
+
+    a, b = 0.0, 0.5
+    for _ in range(34):
+        a, b = (a, (a + b) / 2) if fits((a + b) / 2) else ((a + b) / 2, b)
+    return b
+
+
 def test_dip():
     r = np.random.default_rng(1)
+    for n in (4, 5, 6, 8, 10, 12):
+        for k in range(5):
+            v = np.round(r.random(n) * 6) / 6 if k % 2 else r.random(n) ** 2
+            if len(np.unique(v)) > 1:
+                assert modality.dip(v) == pytest.approx(plain_dip(v), abs=1e-8)
     two = np.concatenate([r.normal(0.2, 0.02, 40), r.normal(0.8, 0.02, 40)])
     table = modality.reference_table()
     assert modality.p_value(two, table) < 0.01 < 0.1 < modality.p_value(r.normal(0.5, 0.1, 80), table)
-    assert modality.p_value(np.full(10, 0.3), table) == 1.0 and modality.dip(np.array([0.0, 0.0, 1.0, 1.0])) == pytest.approx(0.25, abs=0.13)
+    assert modality.p_value(np.full(10, 0.3), table) == 1.0 and modality.dip(np.array([0.0, 0.0, 1.0, 1.0])) == 0.25
     assert abs(modality.dip(two) - modality.dip(two * 3 + 1)) < 1e-12  # location and scale don't matter
+    for n in (9, 25):  # sizes between those of the table: about every twentieth uniform sample falls below 0.05
+        assert 0.02 < np.mean([modality.p_value(r.random(n), table) < 0.05 for _ in range(600)]) < 0.08
+
+
+def test_two_peaks_cost_reliability(spark):
+    from lacuna.plans import queries
+
+    found = queries.two_peaks(spark, "/root/testdata/sf0.01").collect()
+    assert {(r.DRUGS_ID % 2, r.DRUG_CLASS) for r in found} == {(0, "MULTIMODAL"), (1, "UNIMODAL")}
+    assert {r.DRUG_CLASS for r in queries.drug_modality(spark, "/root/testdata/sf0.01").collect()} == {"UNIMODAL"}  # as the SQL has it
 
 
 def test_checks_and_adhoc(spark, tmp_path):
