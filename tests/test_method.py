@@ -207,8 +207,17 @@ def plain_dip(values):
                 return False
         return True
 
+    def least_end(top, bottom, at):
+        """The lowest last value of a convex function within the bounds: it can't rise less than before."""
+        rises = [bottom[j] + (bottom[j] - top[i]) / (at[j] - at[i]) * (at[-1] - at[j]) for i in range(len(at)) for j in range(i + 1, len(at))]
+        return max([bottom[-1], *rises])
+
     def fits(d):
-        return any(convex_fits(low[: m + 1] + d, high[: m + 1] - d, x[: m + 1]) and convex_fits(d - high[m:][::-1], -d - low[m:][::-1], -x[m:][::-1]) for m in range(len(x)))
+        for m in range(len(x)):
+            left, right = (low[: m + 1] + d, high[: m + 1] - d, x[: m + 1]), (d - high[m:][::-1], -d - low[m:][::-1], -x[m:][::-1])
+            if convex_fits(*left) and convex_fits(*right) and least_end(*left) <= -least_end(*right) + 1e-12:
+                return True
+        return False
 
     a, b = 0.0, 0.5
     for _ in range(34):
