@@ -174,7 +174,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0)
     count, length = asked.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     blocks = max(1, -(-count * (8 * max(length, 1) + 40 * k) // BLOCK_BYTES))
     slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shards = max(1, GROUPS * slots // blocks)
+    shards = max(1, min(GROUPS * slots // blocks, -(-rows.count() // TILE)))  # a list stands for a tile of rows at least
     cell = lambda block, shard: (block * shards + shard).alias("cell")
     block = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks))
     each = asked.select("times", "vec_id", "embedding", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
