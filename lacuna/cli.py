@@ -21,6 +21,7 @@ log = logging.getLogger(__name__)
 
 def arguments() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lacuna")
+    top.add_argument("--log", help="write the log to this file, too")
     commands = top.add_subparsers(dest="command", required=True)
 
     def command(name: str, *groups: str) -> argparse.ArgumentParser:
@@ -102,7 +103,8 @@ def done(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     a = arguments().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    handlers = [logging.StreamHandler(), *([logging.FileHandler(a.log, encoding="utf-8")] if a.log else [])]
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers)
     spark = SparkSession.builder.appName("lacuna").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
         if getattr(a, "publish", None):

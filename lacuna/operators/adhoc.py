@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -87,3 +87,14 @@ def subset(shares: DataFrame, keep: DataFrame) -> DataFrame:
 
 def without_pairs(keep: DataFrame, shares: DataFrame) -> DataFrame:
     return keep.join(shares.select("DRUGS_ID"), "DRUGS_ID", "left_anti")
+
+
+#: The coefficients whose contours the chart shows.
+LEVELS = (0.25, 0.50, 0.75)
+
+
+def contours(spark: SparkSession, levels: tuple[float, ...] = LEVELS, points: int = 200, least: float = 0.001) -> DataFrame:
+    """Points (coverage, retention) of equal coefficient = coverage * retention, at even coverages from ``least`` to 1."""
+    x = F.lit(least) + F.col("id") * ((1 - least) / (points - 1))
+    rows = spark.range(points).select("id", x.alias("coverage"), F.explode(F.array(*map(F.lit, levels))).alias("level"))
+    return rows.select("level", F.col("id").alias("point"), "coverage", F.least(F.lit(1.0), F.col("level") / F.col("coverage")).alias("retention"))

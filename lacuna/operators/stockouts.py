@@ -21,14 +21,14 @@ def islands(agg: DataFrame, p: Params = DEFAULT) -> DataFrame:
     inn = Window.partitionBy("CLIENT_ID", "INN_ID").orderBy(day)  # frames by day: all products of the INN together
     before = lambda *keys: Window.partitionBy(*keys).orderBy(day).rangeBetween(-7 * p.pre_weeks, -7)
     series = Window.partitionBy(*KEYS)
-    later = series.orderBy("Date").rowsBetween(1, Window.unboundedFollowing)
+    next_sale = f"lead(IF(Q > 0, Date, NULL), 1) IGNORE NULLS OVER (PARTITION BY {', '.join(KEYS)} ORDER BY Date)"
     rows = agg.withColumns({
         "inn_total": F.sum("MARKET_TOTAL_DRUGS_PACK").over(inn.rangeBetween(0, 0)),
         "inn_pre": F.coalesce(F.sum("MARKET_TOTAL_DRUGS_PACK").over(before("CLIENT_ID", "INN_ID")), F.lit(0.0)),
         "pre_sum": F.sum("Q").over(before(*KEYS)),
         "pre_rows": F.count("*").over(before(*KEYS)),
         "comp_pre": F.coalesce(F.sum("MARKET_TOTAL_DRUGS_PACK").over(before(*KEYS)), F.lit(0.0)),
-        "next_sale": F.min(F.when(F.col("Q") > 0, F.col("Date"))).over(later),
+        "next_sale": F.expr(next_sale),
         "last_week": F.max("Date").over(series),
     })
     zero = rows.where("Q = 0").withColumn("island", day - 7 * F.row_number().over(series.orderBy("Date")))

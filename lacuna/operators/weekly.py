@@ -25,9 +25,11 @@ def gap_filled(weekly: DataFrame) -> DataFrame:
     """Every week from a series' first to its last: each row also stands for the unsold weeks up to the next one.
 
     One shuffle: window and generator share the partitioning by series, and no skeleton is joined."""
-    order = Window.partitionBy(*SERIES).orderBy("Date")
-    ahead, behind = order.rowsBetween(Window.currentRow, Window.unboundedFollowing), order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    named = weekly.withColumns({c: F.coalesce(F.last(c, True).over(behind), F.first(c, True).over(ahead)) for c in ATTRIBUTES} | {"until": F.coalesce(F.date_sub(F.lead("Date").over(order), 7), F.col("Date"))})
+    series = Window.partitionBy(*SERIES)
+    order = series.orderBy("Date")
+    behind = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)  # grows row by row; a frame to the end would be read anew for each row
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("Date"))).over(series)
+    named = weekly.withColumns({c: F.coalesce(F.last(c, True).over(behind), first(c)) for c in ATTRIBUTES} | {"until": F.coalesce(F.date_sub(F.lead("Date").over(order), 7), F.col("Date"))})
     weeks = named.withColumn("week", F.explode(F.sequence("Date", "until", F.expr("INTERVAL 7 DAYS"))))
     sold = F.col("week") == F.col("Date")
     return weeks.select(*SERIES, F.col("week").alias("Date"), F.when(sold, F.col("Q")).otherwise(0.0).alias("Q"), F.when(sold, F.col("V")).otherwise(0.0).alias("V"), *ATTRIBUTES)

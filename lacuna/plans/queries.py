@@ -180,6 +180,10 @@ def coef_histogram(spark, d):
     return adhoc.histogram(stages(spark, d).drug_coefficients, "COEF_1", 50)
 
 
+def coefficient_contours(spark, d):
+    return round_all(adhoc.contours(spark), 9, "coverage", "retention")
+
+
 def subset_semi(spark, d):
     s = stages(spark, d)
     return adhoc.subset(s.final_shares, s.drug_coefficients.where("RELIABILITY_SCORE >= 0.25"))

@@ -150,6 +150,8 @@ SELECTS = {
     "score_sweep": 'SELECT CAST(t AS DOUBLE) AS threshold, (SELECT count(*) FROM dc WHERE "RELIABILITY_SCORE" >= t) AS passing FROM (SELECT unnest([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9]::DOUBLE[]) AS t)',
     "reliability_summary": "SELECT count(x) AS n, " + ", ".join(f"{r(q, 6)} AS {n}" for n, q in (("low", "min(x)"), ("high", "max(x)"), ("mean", "avg(x)"), ("std", "stddev_samp(x)"), *((f"p{k}", f"quantile_cont(x, {k / 100})") for k in (10, 25, 50, 75, 90)))) + ' FROM (SELECT "RELIABILITY_SCORE" AS x FROM dc)',
     "coef_histogram": 'SELECT CAST(least(49, CASE WHEN hi > lo THEN floor((x - lo) * 50 / (hi - lo)) ELSE 0 END) AS INTEGER) AS bin, count(*) AS n FROM (SELECT "COEF_1" AS x, min("COEF_1") OVER () AS lo, max("COEF_1") OVER () AS hi FROM dc) GROUP BY 1',
+    "coefficient_contours": f"""SELECT CAST(level AS DOUBLE) AS level, point, {r('x', 9)} AS coverage, {r('least(1, level / x)', 9)} AS retention
+        FROM (SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS level), (SELECT i AS point, 0.001::DOUBLE + i * ((1 - 0.001::DOUBLE) / 199) AS x FROM range(200) t(i))""",
     "subset_semi": 'SELECT * FROM ss WHERE "DRUGS_ID" IN (SELECT "DRUGS_ID" FROM dc WHERE "RELIABILITY_SCORE" >= 0.25)',
     "missing_anti": 'SELECT "DRUGS_ID" FROM vol WHERE "DRUGS_ID" NOT IN (SELECT "DRUGS_ID" FROM ss)',
     "form_registry": """SELECT DISTINCT "NFC1_ID" AS form, CASE WHEN "NFC1_ID" IN ('F0', 'F1') THEN 'solid' ELSE 'EXACT_MATCH' END AS "group" FROM sales""",
