@@ -13,24 +13,16 @@ from lacuna.operators import adhoc, crossmarket, modality, shares, stockouts, we
 from lacuna.params import Params
 from lacuna.plans import market_data
 from lacuna.plans.stages import Stages
-from lacuna.session import tuned
+from lacuna.session import stored, tuned
 
 #: Few nations have sales in the smallest tables.
 PARAMS = Params(min_market_count=3)
 
 
-_last: list[Stages] = []
-
-
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
-    """The chain for one query. What the chain before kept is freed, so no query is answered from another one's tables."""
-    while _last:
-        _last.pop().release()
-    s = Stages(market_data.sales(tuned(spark), sf_dir), None, market_data.forms(spark), PARAMS)
-    s.target = s.kept(s.target)  # read twice, and small: one row for each nation, product and week
-    s.competitors = market_data.competitors(s.target)
-    _last.append(s)
-    return s
+    """The chain for one query."""
+    sold = stored(market_data.sales(tuned(spark), sf_dir))  # read twice, and small: one row for each nation, product and week
+    return Stages(sold, market_data.competitors(sold), market_data.forms(spark), PARAMS)
 
 
 def round_all(df: DataFrame, places: int, *columns: str) -> DataFrame:
@@ -55,7 +47,7 @@ def market_totals(spark, d):
 
 
 def aggregated(spark, d):
-    return round_all(stages(spark, d).aggregated, 2, "V", "MARKET_TOTAL_DRUGS_REVENUE").withColumn("NOTSOLD_PERCENT", rounded(F.col("NOTSOLD_PERCENT"), 6))
+    return round_all(stages(spark, d).series, 2, "V", "MARKET_TOTAL_DRUGS_REVENUE").withColumn("NOTSOLD_PERCENT", rounded(F.col("NOTSOLD_PERCENT"), 6))
 
 
 def stockout_islands(spark, d):
@@ -223,7 +215,7 @@ def top_volume(spark, d):
 
 
 def products_per_market(spark, d):
-    s = stages(spark, d).aggregated
+    s = stages(spark, d).series
     return s.groupBy("CLIENT_ID").agg(F.countDistinct("DRUGS_ID").alias("drugs"), F.countDistinct("INN_ID").alias("inns"), F.count("*").alias("rows"))
 
 

@@ -4,34 +4,31 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lacuna.operators import crossmarket, did, export, shares, stockouts, weekly
 from lacuna.params import DEFAULT, Params
+from lacuna.session import stored
 
 
 class Stages:
-    """Tables of every stage from the target's rows, competitors' totals and the form registry. Nothing runs until it is read.
+    """Tables of every stage from the target's rows, competitors' totals and the form registry. Only what a table needs is run.
 
-    Tables that several later stages read are marked for storage (memory, then disk), so one query makes them once;
-    what a lost executor held is made again. ``release`` frees them."""
+    Tables that several later stages read are written to the shared folder when they are first asked for: they are made once,
+    a lost executor costs nothing of them, and plans stay short (tables kept in memory would be part of every later plan, as
+    often as paths lead to them)."""
 
-    def __init__(self, target: DataFrame, competitors: DataFrame | None, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
+    def __init__(self, target: DataFrame, competitors: DataFrame, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
         self.target, self.competitors, self.forms, self.p, self.dip_test = target, competitors, forms, p, dip_test
-        self.held: list[DataFrame] = []
 
-    def kept(self, df: DataFrame) -> DataFrame:
-        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
-
-    def release(self) -> None:
-        while self.held:
-            self.held.pop().unpersist()
+    @cached_property
+    def series(self) -> DataFrame:
+        return weekly.aggregated(self.target, self.competitors, self.p)
 
     @cached_property
     def aggregated(self) -> DataFrame:
-        return self.kept(weekly.aggregated(self.target, self.competitors, self.p))
+        """series, stored."""
+        return stored(self.series)
 
     @cached_property
     def inn_names(self) -> DataFrame:
@@ -47,15 +44,15 @@ class Stages:
 
     @cached_property
     def measured(self) -> DataFrame:
-        return self.kept(did.measured_events(self.events, self.p))
+        return stored(did.measured_events(self.events, self.p))
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return self.kept(did.candidate_pairs(self.measured, self.aggregated, self.forms))
+        return stored(did.candidate_pairs(self.measured, self.aggregated, self.forms))
 
     @cached_property
     def did_events(self) -> DataFrame:
-        return self.kept(did.did_events(self.measured, self.pairs, self.p))
+        return did.did_events(self.measured, self.pairs, self.p)
 
     @cached_property
     def substitute_pairs(self) -> DataFrame:
@@ -63,11 +60,11 @@ class Stages:
 
     @cached_property
     def market_shares(self) -> DataFrame:
-        return self.kept(shares.market_shares(self.substitute_pairs, self.inn_names))
+        return shares.market_shares(self.substitute_pairs, self.inn_names)
 
     @cached_property
     def market_drug(self) -> DataFrame:
-        return crossmarket.market_drug(self.did_events)
+        return stored(crossmarket.market_drug(self.did_events))
 
     @cached_property
     def drug_statistics(self) -> DataFrame:
@@ -75,11 +72,11 @@ class Stages:
 
     @cached_property
     def drug_coefficients(self) -> DataFrame:
-        return self.kept(export.drug_coefficients(self.drug_statistics, self.p))
+        return stored(export.drug_coefficients(self.drug_statistics, self.p))
 
     @cached_property
     def final_shares(self) -> DataFrame:
-        return self.kept(shares.final_shares(self.market_shares, self.drug_coefficients))
+        return stored(shares.final_shares(self.market_shares, self.drug_coefficients))
 
     @cached_property
     def checks(self) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: Joins may use a partitioning by some of their keys: the stages deal rows out by market and INN once, and all their
 #: windows, aggregations and joins within a market and INN then stay where they are.
@@ -17,3 +21,24 @@ def tuned(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, one of our own if all runs on this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='lacuna-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, where its lineage ends. The table goes when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/lacuna/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -163,7 +163,6 @@ def test_effects_against_a_plain_model(spark, seed):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=6e-5) for k in want)
     for e in s.did_events.collect():
         assert e.SHARE_INTERNAL is None or abs(e.SHARE_INTERNAL + e.SHARE_LOST - 1) < 2e-6
-    s.release()
 
 
 def test_market_and_final_shares(spark):
