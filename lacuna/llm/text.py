@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lacuna.session import stored as stored  # tables between steps, in the folder that all executors share
+
 #: Bytes of text that one vectorised step works on. A document longer than this forms a step of its own.
 STEP_BYTES = 1 << 20
 #: Bytes of rows that Spark hands to a task's Python at a time, as its setting has it.
@@ -156,32 +157,6 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Where none is named, one of our own if all runs on this machine."""
-    import tempfile
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='lacuna-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing that was written.
-
-    The table goes when the driver ends."""
-    import uuid
-
-    path = f"{shared_folder(df.sparkSession)}/lacuna/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def learnable(doc_id) -> object:
     """Whether labels of a document may be learned from: crc32 of its id as text, modulo 4, isn't 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 != 2, F.lit(True))
