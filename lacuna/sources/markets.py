@@ -123,7 +123,8 @@ def raw_rows(spark: SparkSession, files: list[tuple[str, list[str]]], columns: t
     for names, group in by_header.items():
         schema = ", ".join(f"`{n}` string" for n in names)
         read = spark.read.csv(group, schema=schema, sep=";", header=True, escape='"', enforceSchema=True)
-        parts.append(read.select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_name").alias("FILE_NAME")))
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it as in a URI
+        parts.append(read.select(*[F.col(f"`{c}`") for c in columns], name.alias("FILE_NAME")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -129,11 +129,12 @@ def test_a_stage_cut_short_is_made_again(spark, raw, tmp_path):
 
 @pytest.mark.parametrize("change", [lambda x: x.replace(",5;", ",5,7;"), lambda x: "1;" + x.split(";", 1)[1].replace("1;", "8;", 1), lambda x: x.replace("202300", "999999999")])
 def test_a_malformed_market_stops_no_other(spark, raw, tmp_path, change):
-    market_file(raw, 1, change=change)
+    market_file(raw, 1, change=change).rename(raw / "1 of+a%é.csv")
     out = str(tmp_path / "out")
     made = {m.client: m for m in R.run_markets(spark, str(raw), out, p=P)}
     assert {c: m.status for c, m in made.items()} == {1: "error", 2: "success", 3: "success"} and made[1].reason
     assert R.run(spark, str(raw), out, p=P) and [m.client for m in R.chosen(spark, out)] == [2, 3]
+    (raw / "1 of+a%é.csv").unlink()
     market_file(raw, 1)
     assert [m.status for m in R.run_markets(spark, str(raw), out, p=P)] == ["success"] * 3
 
