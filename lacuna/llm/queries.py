@@ -86,6 +86,26 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from lacuna.llm.alignment import aligned_documents
+
+    return aligned_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lacuna.llm.importance import resampled
+
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
@@ -122,6 +142,30 @@ SQL = {
             FROM (SELECT * FROM v WHERE vec_id % 100 = 0) q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
+    "op12_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS digest FROM p),
+        f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM q)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+            CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM f""",
+    "op13_importance": r"""
+        WITH w AS (SELECT 'd' AS kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+            UNION ALL SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+        f AS (SELECT kind, doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM w),
+        n AS (SELECT kind, doc_id, f, count(*) AS n FROM f GROUP BY ALL),
+        x AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM n)),
+        steps AS (SELECT f, flatten(list_transform(range(0, len(h) // 2), lambda i: [CAST(instr('123456789ABCDEF', h[2 * i + 1]) * 16 + instr('123456789ABCDEF', h[2 * i + 2]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS s FROM x),
+        b AS (SELECT f, xor(list_reduce([CAST(4294967295 AS BIGINT)] || s, lambda c, y: CASE WHEN y >= 0 THEN xor(c, y) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 10000 AS bucket FROM steps),
+        sums AS (SELECT bucket, sum(n) FILTER (kind = 'd') AS s, sum(n) FILTER (kind = 'b') AS t FROM n JOIN b USING (f) GROUP BY bucket),
+        every AS (SELECT CAST(sum(s) AS DOUBLE) AS a, CAST(sum(t) AS DOUBLE) AS b FROM sums),
+        g AS (SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (coalesce(a, 0) + 10000)) / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(b, 0) + 10000)))) AS BIGINT) AS gain FROM sums, every),
+        d AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS m, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight FROM n JOIN b USING (f) JOIN g USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+        s AS (SELECT w.doc_id, len(w) AS words, coalesce(m, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(concat('0x', sha256('7:' || w.doc_id)[:8]) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM w LEFT JOIN d ON w.doc_id = d.doc_id WHERE kind = 'd'),
+        r AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) AS r, count(*) FILTER (words >= 20) OVER () AS eligible FROM s)
+        SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND r <= 25 * eligible // 100 THEN r END AS rank FROM r""",
 }
 
 
