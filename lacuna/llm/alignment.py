@@ -10,9 +10,9 @@ their counts. Pairs are summed over all blocks, compared with the highest count
 B's vocabulary, so that can be broadcast), and go back to the blocks that have them, where each block's documents add them up. So
 a common pair costs one row a block, a block is bounded, and no row of the corpus meets another document's.
 
-Long texts are encoded in parts: at a single space between two ASCII letters A's pattern always cuts, and B's merges never
-cross such a space if no piece of its vocabulary has a space after another character, which is checked; each part gets the space back as both
-tokenizers' prefix. A text without such spaces is one part.
+Texts are encoded in chunks: before a single space between two visible ASCII or Latin characters A's pattern always cuts, and B's
+merges never cross it if no piece of its vocabulary has a space after another character, which is checked; each chunk gets the
+space back as both tokenizers' prefix. A task encodes a chunk once and keeps up to ``KEPT`` of them; a text without such spaces is one chunk.
 
 Defined cases: null and empty texts, and those whose tokens' bytes aren't the space and the text (a normalizer, unknown pieces), have
 zeros and an empty string; rows count one by one, also repeated ones and those without a doc_id; other columns are ignored; an empty table gives no rows.
@@ -24,6 +24,7 @@ import hashlib
 import os
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,14 @@ from pyspark.sql import functions as F
 
 from lacuna.llm.text import doc_texts, mapped, stored
 
-#: Bytes of text whose links are counted together; characters of a part, and bytes encoded at a time.
-BLOCK, PART, STEP = 1 << 25, 1 << 16, 1 << 20
+#: Bytes of text whose links are counted together, and that are encoded at a time.
+BLOCK, STEP = 1 << 23, 1 << 19
+#: Chunks that a task remembers; more characters make a chunk long, and SHORT * KEPT characters of long ones are the most.
+KEPT, SHORT = 1 << 18, 64
 BLOCKS = "block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>, pair int, a int, b int, n long"
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
-APART = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+APART = re.compile(r"(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
 
 
 class Vocabulary:
@@ -80,26 +83,68 @@ def with_pieces(path: str) -> Vocabulary:
     return Vocabulary(pieces, lambda texts: model.encode(texts, num_threads=1), splits)
 
 
-def parts(text: str, splits: bool, limit: int = PART) -> list[str]:
-    """The text cut at spaces between letters, in parts of about ``limit`` characters; the spaces go."""
-    if len(text) <= limit or not splits:
-        return [text]
-    out, at = [], 0
-    while len(text) - at > limit and (m := APART.search(text, at + limit)):
-        out.append(text[at : m.start()])
-        at = m.end()
-    return [*out, text[at:]]
-
-
-def encoded(texts: list[str], v: Vocabulary, splits: bool, limit: int = PART) -> list[np.ndarray]:
-    """The ids of each text."""
-    cut = [parts(t, splits, limit) for t in texts]
-    ids = v.encode([p for c in cut for p in c])
-    out, at = [], 0
-    for c in cut:
-        out.append(np.array([i for x in ids[at : at + len(c)] for i in x], np.int64))
-        at += len(c)
-    return out
+class Lists:
+    """Lists of ids, one after the other."""
+
+    def __init__(self):
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def add(self, lists: list[list[int]]) -> None:
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+
+    def taken(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of some lists end to end, their counts)."""
+        count = self.ends[which + 1] - self.ends[which]
+        return self.flat[np.repeat(self.ends[which] - np.cumsum(count) + count, count) + np.arange(count.sum())].astype(np.int64), count
+
+
+class Encoder:
+    """The ids of texts in both vocabularies, chunk by chunk."""
+
+    def __init__(self, va: Vocabulary, vb: Vocabulary, kept: int = KEPT):
+        self.va, self.vb, self.splits, self.kept = va, vb, va.splits and vb.splits, kept
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.a, self.b, self.good, self.long = Lists(), Lists(), np.zeros(0, bool), 0
+
+    def _learn(self, new: list[str]) -> None:
+        raw = [f" {c}".encode() for c in new]
+        size, good = np.array([len(r) for r in raw], np.int64), np.ones(len(new), bool)
+        for v, lists in ((self.va, self.a), (self.vb, self.b)):
+            ids = v.encode(new)
+            lists.add(ids)
+            flat = [v.pieces[i] for x in ids for i in x]
+            sums = np.concatenate([[0], np.cumsum([len(p) for p in flat], dtype=np.int64)])
+            ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+            if not np.array_equal(sums[ends], np.cumsum(size)) or b"".join(flat) != b"".join(raw):
+                good &= [b"".join([v.pieces[i] for i in x]) == r for x, r in zip(ids, raw, strict=True)]
+        self.known.update(zip(new, range(len(self.good), len(self.good) + len(new)), strict=True))
+        self.good = np.concatenate([self.good, good])
+        self.long += sum(len(c) for c in new if len(c) > SHORT)
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(whether each text is the bytes of its ids, ids of A, of B, how many of each in every such text), such texts end to end."""
+        cut = [APART.split(t) if self.splits else [t] for t in texts]
+        known = self.known
+        if new := list(dict.fromkeys([c for chunks in cut for c in chunks if c not in known])):
+            self._learn(new)
+        which = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64)
+        ends = np.cumsum([len(c) for c in cut], dtype=np.int64)
+        first = np.concatenate([[0], ends[:-1]])
+        good = np.array([bool(t) for t in texts], bool)
+        for i in np.flatnonzero(np.add.reduceat(~self.good[which], first) > 0) if len(which) else ():
+            raw = f" {texts[i]}".encode()
+            good[i] &= all(b"".join([v.pieces[k] for k in x.taken(which[first[i] : ends[i]])[0].tolist()]) == raw for v, x in ((self.va, self.a), (self.vb, self.b)))
+        texts_of = np.repeat(np.arange(len(texts)), ends - first)
+        which, texts_of = which[good[texts_of]], texts_of[good[texts_of]]
+        (a, n_a), (b, n_b) = self.a.taken(which), self.b.taken(which)
+        per_text = [np.bincount(texts_of, n, len(texts)).astype(np.int64)[good] for n in (n_a, n_b)]
+        if len(known) > self.kept or self.long > SHORT * self.kept:
+            self._forget()
+        return good, a, b, *per_text
 
 
 class Bits:
@@ -129,20 +174,16 @@ class Bits:
         return np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little"))
 
 
-def aligned(a: list[np.ndarray], b: list[np.ndarray], va: Vocabulary, vb: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(A token, B token) that each shared cut closes, by place in the texts' ids laid end to end, the cuts of each text, and both ends' bounds.
+def aligned(ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray, va: Vocabulary, vb: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(A token, B token) that each shared cut closes, as places in the texts' ids laid end to end, and the cuts of each text.
 
-    The tokens of a text have the same bytes in a and b, so every text ends with a shared cut."""
-    ids_a, ids_b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (a, b))
+    A text's tokens have the same bytes in both, so each text, of n_a tokens of A, ends with a shared cut."""
     ends_a, ends_b = np.cumsum(va.size[ids_a]), np.cumsum(vb.size[ids_b])
     size = int(ends_a[-1]) if len(ends_a) else 0
     bits_a, bits_b = (Bits.at(e - 1, size) for e in (ends_a, ends_b))  # a token's last byte
-    both = bits_a & bits_b
-    cuts = both.selected()
-    bound_a = np.cumsum([len(x) for x in a])
-    ends = ends_a[bound_a - 1] if len(a) else np.zeros(0, np.int64)
-    count = np.diff(np.concatenate([[0], np.searchsorted(cuts, ends)]))
-    return bits_a.rank(cuts), bits_b.rank(cuts), count, ids_a, ids_b
+    cuts = (bits_a & bits_b).selected()
+    count = np.diff(np.searchsorted(cuts, ends_a[np.cumsum(n_a) - 1]), prepend=0)
+    return bits_a.rank(cuts), bits_b.rank(cuts), count
 
 
 def group_texts(close_a: np.ndarray, close_b: np.ndarray, count: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, names: list[str], width: int) -> list[str]:
@@ -164,13 +205,13 @@ def group_texts(close_a: np.ndarray, close_b: np.ndarray, count: np.ndarray, ids
     return out
 
 
-def blocks(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[], Vocabulary], block: int = BLOCK, part: int = PART) -> DataFrame:
+def blocks(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[], Vocabulary], block: int = BLOCK) -> DataFrame:
     """BLOCKS, stored: a row for each document (pair is null) and one for each pair of a block (doc_id may be null)."""
     schema = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_a", "n_b", "n_groups")), ("groups_sha256", pa.string()), ("links", pa.list_(pa.int32())), *((n, pa.int32()) for n in ("pair", "a", "b")), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         va, vb = make_a(), make_b()
-        splits, width = va.splits and vb.splits, max(len(va.pieces), len(vb.pieces))
+        encoder, width = Encoder(va, vb), max(len(va.pieces), len(vb.pieces))
         names = [f"{i}{end}" for end in ",|;" for i in range(width)]
         number, held = (TaskContext.get().partitionId() << 32), 0
         doc_ids: list = []
@@ -178,19 +219,14 @@ def blocks(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[
         codes: list[np.ndarray] = []
 
         def add(ids: list, texts: list[str]) -> None:
-            found_a, found_b = (encoded(texts, v, splits, part) for v in (va, vb))
-            good = []
-            for i, (t, x, y) in enumerate(zip(texts, found_a, found_b, strict=True)):
-                raw = f" {t}".encode()
-                if t and all(b"".join([v.pieces[k] for k in z.tolist()]) == raw for v, z in ((va, x), (vb, y))):
-                    good.append(i)
+            good, a, b, n_a, n_b = encoder.encoded(texts)
             done: list[tuple] = [(0, 0, 0, "")] * len(texts)
-            if good:
-                a, b = ([x[i] for i in good] for x in (found_a, found_b))
-                close_a, close_b, count, ids_a, ids_b = aligned(a, b, va, vb)
-                codes.append(ids_a[close_a] << 32 | ids_b[close_b])
-                for i, x, y, n, text in zip(good, a, b, count.tolist(), group_texts(close_a, close_b, count, ids_a, ids_b, names, width), strict=True):
-                    done[i] = (len(x), len(y), n, hashlib.sha256(text.encode()).hexdigest())
+            if good.any():
+                close_a, close_b, count = aligned(a, b, n_a, va, vb)
+                codes.append(a[close_a] << 32 | b[close_b])
+                told = group_texts(close_a, close_b, count, a, b, names, width)
+                for i, *row, text in zip(np.flatnonzero(good).tolist(), n_a.tolist(), n_b.tolist(), count.tolist(), told, strict=True):
+                    done[i] = (*row, hashlib.sha256(text.encode()).hexdigest())
             doc_ids.extend(ids)
             rows.extend(done)
 
@@ -266,15 +302,15 @@ def _added_up(docs: pa.Table, told: pa.Table) -> pa.Table:
     return pa.table([*(docs.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")), *(pa.array(x, pa.int64()) for x in more), docs.column("groups_sha256")], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
-def links_of(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[], Vocabulary], block: int = BLOCK, part: int = PART) -> DataFrame:
+def links_of(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[], Vocabulary], block: int = BLOCK) -> DataFrame:
     """SCHEMA of each document: its tokens, groups and links, and what the corpus says of these."""
-    table = blocks(docs, make_a, make_b, block, part)
+    table = blocks(docs, make_a, make_b, block)
     mine = table.where("pair IS NOT NULL").select("block", "pair", "a", "b")
     told = mine.join(pair_counts(table), ["a", "b"]).select(F.col("block").alias("home"), "pair", "links", "best")
     rows = table.where("pair IS NULL").select("block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links")
     return rows.groupBy("block").cogroup(told.groupBy("home")).applyInArrow(_added_up, SCHEMA)
 
 
-def aligned_documents(docs: DataFrame, file_a: str, file_b: str, block: int = BLOCK, part: int = PART) -> DataFrame:
+def aligned_documents(docs: DataFrame, file_a: str, file_b: str, block: int = BLOCK) -> DataFrame:
     """links_of for a byte-level vocabulary file (A) and a model of pieces (B)."""
-    return links_of(docs, lambda: byte_level(file_a), lambda: with_pieces(file_b), block, part)
+    return links_of(docs, lambda: byte_level(file_a), lambda: with_pieces(file_b), block)

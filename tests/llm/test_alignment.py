@@ -64,8 +64,8 @@ def rows_of(spark, texts: dict):
 def test_equals_a_plain_alignment(spark):
     want = plain(TEXTS)
     assert want[5][0] and want[6][0] is not None
-    for block, part in ((1 << 25, 1 << 16), (200, 40)):  # one block; many, and long texts in parts
-        got = {r[0]: tuple(r)[1:] for r in alignment.aligned_documents(rows_of(spark, TEXTS).repartition(3, "doc_id"), A, B, block, part).collect()}
+    for block in (1 << 25, 200):  # one block of a task, and many
+        got = {r[0]: tuple(r)[1:] for r in alignment.aligned_documents(rows_of(spark, TEXTS).repartition(3, "doc_id"), A, B, block).collect()}
         assert got == want
 
 
@@ -87,11 +87,16 @@ def test_bitsets_rank_and_select():
     assert (bits & alignment.Bits.at(places[::2], 1000)).selected().tolist() == places[::2].tolist()
 
 
-def test_parts_keep_the_tokens():
-    text = "".join(t or "" for t in TEXTS.values())
-    for make in (lambda: alignment.byte_level(A), lambda: alignment.with_pieces(B)):
-        v = make()
-        assert v.splits and len(alignment.parts(text, True, 50)) > 3
-        assert alignment.encoded([text], v, True, 50)[0].tolist() == v.encode([text])[0]
-    assert alignment.parts("x" * 100, True, 10) == ["x" * 100]
-    assert " ".join(alignment.parts(text, True, 50)) == text
+def test_chunks_keep_the_tokens():
+    texts = ["", *(t for t in TEXTS.values() if t), "it's 'tis we'll x' s , . a1 2b -- é à", "".join(t or "" for t in TEXTS.values()), "a" * 80 + " b"]
+    va, vb = alignment.byte_level(A), alignment.with_pieces(B)
+    assert va.splits and vb.splits
+    for kept in (1 << 17, 2):  # few known chunks
+        encoder = alignment.Encoder(va, vb, kept)
+        for _ in range(2):
+            good, a, b, n_a, n_b = encoder.encoded(texts)
+            assert good.tolist() == [bool(t) and "▁" not in t for t in texts]  # the mark itself comes back as a space
+            for v, ids, n in ((va, a, n_a), (vb, b, n_b)):
+                assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [v.encode([t])[0] for t, g in zip(texts, good, strict=True) if g]
+    plain_pieces = alignment.Vocabulary(vb.pieces, vb.encode, False)
+    assert [x.tolist() for x in alignment.Encoder(va, plain_pieces).encoded(["to be or"])[1:3]] == [va.encode(["to be or"])[0], vb.encode(["to be or"])[0]]
