@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,7 +38,7 @@ from lacuna.llm.text import doc_texts, mapped, stored
 #: Bytes of text whose links are counted together, and that are encoded at a time.
 BLOCK, STEP = 1 << 23, 1 << 19
 #: Chunks that a task remembers; more characters make a chunk long, and SHORT * KEPT characters of long ones are the most.
-KEPT, SHORT = 1 << 18, 64
+KEPT, SHORT = 1 << 19, 64
 BLOCKS = "block long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>, pair int, a int, b int, n long"
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -89,9 +90,9 @@ class Lists:
     def __init__(self):
         self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+    def add(self, flat: np.ndarray, ends: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
 
     def taken(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of some lists end to end, their counts)."""
@@ -112,14 +113,13 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         raw = [f" {c}".encode() for c in new]
-        size, good = np.array([len(r) for r in raw], np.int64), np.ones(len(new), bool)
+        size, good = np.fromiter(map(len, raw), np.int64), np.ones(len(new), bool)
         for v, lists in ((self.va, self.a), (self.vb, self.b)):
             ids = v.encode(new)
-            lists.add(ids)
-            flat = [v.pieces[i] for x in ids for i in x]
-            sums = np.concatenate([[0], np.cumsum([len(p) for p in flat], dtype=np.int64)])
-            ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
-            if not np.array_equal(sums[ends], np.cumsum(size)) or b"".join(flat) != b"".join(raw):
+            flat, ends = np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum(np.fromiter(map(len, ids), np.int64))
+            lists.add(flat, ends)
+            sums = np.concatenate([[0], np.cumsum(v.size[flat])])
+            if not np.array_equal(sums[ends], np.cumsum(size)) or b"".join(map(v.pieces.__getitem__, chain.from_iterable(ids))) != b"".join(raw):
                 good &= [b"".join([v.pieces[i] for i in x]) == r for x, r in zip(ids, raw, strict=True)]
         self.known.update(zip(new, range(len(self.good), len(self.good) + len(new)), strict=True))
         self.good = np.concatenate([self.good, good])
@@ -233,13 +233,14 @@ def blocks(docs: DataFrame, make_a: Callable[[], Vocabulary], make_b: Callable[[
         def closed() -> Iterator[pa.RecordBatch]:
             """The block's documents and pairs; pairs are numbered from the commonest."""
             nonlocal doc_ids, rows, codes
-            kinds, which, n = np.unique(np.concatenate([*codes, np.zeros(0, np.int64)]), return_inverse=True, return_counts=True)
+            which, kinds = pd.factorize(np.concatenate([*codes, np.zeros(0, np.int64)]))
+            n = np.bincount(which, minlength=len(kinds))
             order = np.argsort(-n, kind="stable")
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             links, count = place[which], np.array([r[2] for r in rows], np.int64)
             ends = np.cumsum(count)
-            links = links[np.lexsort((links, np.repeat(np.arange(len(rows)), count)))]
+            links = np.sort(np.repeat(np.arange(len(rows)) << 32, count) | links) & 0xFFFFFFFF
             steps = np.diff(links, prepend=0)
             first = (ends - count)[count > 0]
             steps[first] = links[first]
