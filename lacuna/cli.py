@@ -29,6 +29,8 @@ def arguments() -> argparse.ArgumentParser:
         if "raw" in groups:
             c.add_argument("--raw", required=True)
             c.add_argument("--limit", type=int)
+            if name != "discover":
+                c.add_argument("--saved-list", help="look at the ready files of this market list only")
         if "out" in groups:
             c.add_argument("--out", required=True)
             c.add_argument("--market-ids", "--markets", type=int, nargs="*")
@@ -44,7 +46,8 @@ def arguments() -> argparse.ArgumentParser:
     found = command("discover", "raw", "registry")
     found.add_argument("--list", help="write the market list to this file")
     command("run", "raw", "out", "registry", "export")
-    command("markets", "raw", "out", "registry")
+    command("markets", "raw", "out", "registry").add_argument("--upto", choices=runs.PHASES, default=runs.PHASES[-1], help="the last phase to run; a later run goes on from there")
+    command("summary", "out")
     command("cross-market", "out", "export")
     command("export", "out", "export")
     chosen = commands.add_parser("filter")
@@ -87,18 +90,22 @@ def done(spark: SparkSession, a: argparse.Namespace) -> int:
         return 0
     if a.command == "run":
         p = Params(min_market_count=a.min_market_count)
-        return 0 if runs.run(spark, a.raw, a.out, a.registry, a.market_ids, a.limit, a.force, p, a.publish) else 1
+        return 0 if runs.run(spark, a.raw, a.out, a.registry, a.market_ids, a.limit, a.force, p, a.publish, a.saved_list) else 1
     if a.command == "markets":
-        found = runs.run_markets(spark, a.raw, a.out, a.registry, a.market_ids, a.limit, a.force)
-        for m in found:
-            log.info("market %s: %s %s", m.client, m.status, m.reason)
+        found = runs.run_markets(spark, a.raw, a.out, a.registry, a.market_ids, a.limit, a.force, saved=a.saved_list, upto=a.upto)
+        runs.log_summary(runs.summary(spark, a.out, found))
         return 1 if any(m.status == "error" for m in found) else 0
+    if a.command == "summary":
+        stored = [m for m in runs.stored_markets(spark, a.out.rstrip("/")).values() if not a.market_ids or m.client in a.market_ids]
+        runs.log_summary(runs.summary(spark, a.out, stored))
+        return 0 if stored else 2
     which = runs.chosen(spark, a.out, a.market_ids)
     p = Params(min_market_count=a.min_market_count)
+    without = runs.unreadable(spark, which) if a.skip_unreadable else None
     if a.command == "cross-market":
-        log.info("%d products", runs.run_cross_market(spark, a.out, which, p, a.force, a.skip_unreadable).count())
+        log.info("%d products", runs.run_cross_market(spark, a.out, which, p, a.force, without).count())
         return 0
-    return 0 if runs.run_export(spark, a.out, which, p, a.publish, a.force, a.skip_unreadable) else 1
+    return 0 if runs.run_export(spark, a.out, which, p, a.publish, a.force, without) else 1
 
 
 def main(argv: list[str] | None = None) -> int:

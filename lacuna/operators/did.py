@@ -11,17 +11,22 @@ from lacuna.operators.stockouts import with_post
 from lacuna.params import DEFAULT, Params
 from lacuna.schemas import DID_EVENTS, SUBSTITUTE_PAIRS
 
+#: What later stages need of a pair.
+PAIRS = ("EVENT_ID", "CLIENT_ID", "INN_ID", "DRUGS_ID", "DRUGS_NAME", "NFC1_ID", "SUBSTITUTE_DRUGS_ID", "SUBSTITUTE_DRUGS_NAME", "SUBSTITUTE_NFC1_ID", "lost", "pre", "during", "expectation", "gain")
+
 
 def product_series(agg: DataFrame, forms: DataFrame) -> DataFrame:
-    """One row for each product of a market and INN: its weeks as a dense array of packs, and its form's group.
+    """One row for each product of a market and INN: packs sold up to each week as a dense array, and its form's group.
 
-    An array holds one value a week, so it is short, and a pair needs no row for each week."""
-    rows = agg.groupBy("CLIENT_ID", "INN_ID", "DRUGS_ID").agg(
+    With running sums the packs of any weeks are two look-ups, however many weeks there are. They are decimals of six places, so
+    differences of them are exact."""
+    so_far = F.sum(F.col("Q").cast("decimal(18,6)")).over(Window.partitionBy("CLIENT_ID", "INN_ID", "DRUGS_ID").orderBy("Date").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = agg.withColumn("so_far", so_far.cast("decimal(18,6)")).groupBy("CLIENT_ID", "INN_ID", "DRUGS_ID").agg(
         F.min("DRUGS_NAME").alias("SUBSTITUTE_DRUGS_NAME"),
         F.min("NFC1_ID").alias("SUBSTITUTE_NFC1_ID"),
         F.min("Date").alias("first_week"),
         F.max("Date").alias("last"),
-        F.transform(F.sort_array(F.collect_list(F.struct("Date", "Q"))), lambda r: r["Q"]).alias("packs"),
+        F.sort_array(F.collect_list(F.struct("Date", "so_far")))["so_far"].alias("packs"),
     )
     named = forms.select(F.col("form").alias("SUBSTITUTE_NFC1_ID"), F.col("group").alias("sub_group"), F.col("excluded").alias("sub_excluded"))
     return rows.withColumnRenamed("DRUGS_ID", "SUBSTITUTE_DRUGS_ID").join(named, "SUBSTITUTE_NFC1_ID", "left")
@@ -29,15 +34,18 @@ def product_series(agg: DataFrame, forms: DataFrame) -> DataFrame:
 
 def packs_between(start: Column, end: Column) -> Column:
     """Sum of a series' packs from one week to another, both included."""
-    first = F.greatest(F.lit(0), F.floor(F.datediff(start, "first_week") / 7)).cast("int")
-    last = F.least(F.size("packs") - 1, F.floor(F.datediff(end, "first_week") / 7).cast("int"))
-    count = F.greatest(F.lit(0), last - first + 1)
-    return F.aggregate(F.slice("packs", first + 1, count), F.lit(0.0), lambda a, x: a + x)
+    week = lambda day: F.least(F.size("packs"), F.floor(F.datediff(day, "first_week") / 7).cast("int") + 1)
+    so_far = lambda weeks: F.when(weeks > 0, F.get("packs", weeks - 1)).otherwise(0)
+    return F.greatest(F.lit(0).cast("decimal(18,6)"), so_far(week(end)) - so_far(week(F.date_sub(start, 7)))).cast("double")
 
 
 def measured_events(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Events with a valid POST period, the market's growth and the competitors' gain."""
-    valid = with_post(events, p).where("POST_STATUS = 'valid'").withColumn("growth", growth(F.col("inn_pre"), F.col("inn_during"), p.min_market_pre))
+    return measured(with_post(events, p), p)
+
+
+def measured(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Those of with_post's events with a valid POST period, the market's growth and the competitors' gain."""
+    valid = events.where("POST_STATUS = 'valid'").withColumn("growth", growth(F.col("inn_pre"), F.col("inn_during"), p.min_market_pre))
     return valid.withColumn("lost", lift(F.col("comp_during"), expected(F.col("comp_pre"), F.col("growth"))))
 
 
@@ -49,7 +57,7 @@ def candidate_pairs(events: DataFrame, agg: DataFrame, forms: DataFrame) -> Data
     pairs = own.join(other, ["CLIENT_ID", "INN_ID"]).where("DRUGS_ID <> SUBSTITUTE_DRUGS_ID AND first_week <= STOCKOUT_END AND last >= STOCKOUT_START").where(fits)
     pairs = pairs.withColumns({"pre": packs_between(F.col("PRE_START"), F.col("PRE_END")), "during": packs_between(F.col("STOCKOUT_START"), F.col("STOCKOUT_END"))})
     pairs = pairs.withColumn("expectation", expected(F.col("pre"), F.col("growth")))
-    return pairs.withColumn("gain", lift(F.col("during"), F.col("expectation"))).drop("packs")
+    return pairs.withColumn("gain", lift(F.col("during"), F.col("expectation"))).select(*PAIRS)
 
 
 def exact_sum(c: str) -> Column:
@@ -59,8 +67,8 @@ def exact_sum(c: str) -> Column:
 
 def did_events(events: DataFrame, pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Effects of the measured events; those whose rounded total is below the least effect are left out."""
-    gains = pairs.groupBy("EVENT_ID").agg(exact_sum("gain").cast("double").alias("internal"), F.count("*").cast("int").alias("n"), F.count_if(F.col("gain") > 0).cast("int").alias("n_lift"))
-    rows = events.join(gains, "EVENT_ID", "left").withColumn("internal", F.coalesce("internal", F.lit(0.0))).withColumn("total", F.col("internal") + F.col("lost"))
+    gains = pairs.groupBy("CLIENT_ID", "INN_ID", "EVENT_ID").agg(exact_sum("gain").cast("double").alias("internal"), F.count("*").cast("int").alias("n"), F.count_if(F.col("gain") > 0).cast("int").alias("n_lift"))
+    rows = events.join(gains, ["CLIENT_ID", "INN_ID", "EVENT_ID"], "left").withColumn("internal", F.coalesce("internal", F.lit(0.0))).withColumn("total", F.col("internal") + F.col("lost"))
     return rows.withColumns({
         "MARKET_PRE": rounded(F.col("inn_pre"), 2),
         "MARKET_DURING": rounded(F.col("inn_during"), 2),
@@ -77,7 +85,7 @@ def did_events(events: DataFrame, pairs: DataFrame, p: Params = DEFAULT) -> Data
 
 def substitute_pairs(pairs: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """The pairs of kept events. The event's total is a window sum, so the pairs are made once."""
-    total = exact_sum("gain").over(Window.partitionBy("EVENT_ID")).cast("double") + F.col("lost")
+    total = exact_sum("gain").over(Window.partitionBy("CLIENT_ID", "INN_ID", "EVENT_ID")).cast("double") + F.col("lost")
     kept = pairs.withColumn("total", rounded(total, 4)).where(F.col("total") >= p.min_effect)
     return kept.select(
         "EVENT_ID", "CLIENT_ID", "INN_ID", F.col("DRUGS_ID").alias("TARGET_DRUGS_ID"), F.col("DRUGS_NAME").alias("TARGET_DRUGS_NAME"), F.col("NFC1_ID").alias("TARGET_NFC1_ID"),

@@ -13,6 +13,9 @@ from lacuna.params import DEFAULT, Params
 from lacuna.schemas import STOCKOUT_EVENTS
 
 KEYS = ("CLIENT_ID", "INN_ID", "DRUGS_ID")
+#: What judged says of a run, and with_post of an event.
+REASONS = ("valid", "no_market_activity", "no_pre_sales", "no_competitors")
+POST_STATUSES = ("valid", "no_recovery", "gap_too_large", "insufficient_data")
 
 
 def islands(agg: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -55,15 +58,20 @@ def judged(runs: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def stockout_events(runs: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Valid runs as numbered events; columns beyond STOCKOUT_EVENTS serve the next stage."""
-    number = F.row_number().over(Window.partitionBy("CLIENT_ID").orderBy("INN_ID", "DRUGS_ID", "STOCKOUT_START"))
-    return judged(runs, p).where("reason = 'valid'").withColumns({
+    """Valid runs (judged or not) as events, numbered within their market; columns beyond STOCKOUT_EVENTS serve the next stage.
+
+    A number is the events of the market's smaller INNs, one count for each, and the place within the INN, so events stay where they are."""
+    valid = judged(runs, p).where("reason = 'valid'")
+    smaller = Window.partitionBy("CLIENT_ID").orderBy("INN_ID").rowsBetween(Window.unboundedPreceding, -1)
+    before = valid.groupBy("CLIENT_ID", "INN_ID").agg(F.count("*").alias("n")).select("CLIENT_ID", "INN_ID", F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("smaller"))
+    number = F.col("smaller") + F.row_number().over(Window.partitionBy("CLIENT_ID", "INN_ID").orderBy("DRUGS_ID", "STOCKOUT_START"))
+    return valid.join(before, ["CLIENT_ID", "INN_ID"]).withColumns({
         "EVENT_ID": F.format_string("%d_%d_%04d", "CLIENT_ID", "INN_ID", number),
         "PRE_START": F.date_sub("STOCKOUT_START", 7 * p.pre_weeks),
         "PRE_END": F.date_sub("STOCKOUT_START", 7),
         "PRE_WEEKS": F.lit(p.pre_weeks),
         "PRE_AVG_Q": rounded(F.col("pre_sum") / F.col("pre_rows"), 4),
-    }).drop("reason")
+    }).drop("reason", "smaller")
 
 
 def event_table(events: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lacuna.params import DEFAULT, Params
 from lacuna.schemas import AGGREGATED
+from lacuna.session import DEALT, deals
 
 SERIES = ("CLIENT_ID", "INN_ID", "PHARM_ID", "DRUGS_ID")
 ATTRIBUTES = ("DRUGS_NAME", "INN_NAME", "NFC1_ID", "NFC_ID")
@@ -16,9 +17,9 @@ ATTRIBUTES = ("DRUGS_NAME", "INN_NAME", "NFC1_ID", "NFC_ID")
 def weekly_sales(rows: DataFrame) -> DataFrame:
     """One row for each shop, product and week; rows without an INN belong to no group and are left out.
 
-    Rows are dealt out by market and INN, which every later window, aggregation and join of a series can use as it is."""
+    Rows are dealt out by market and INN, into as many parts as tables have buckets, which every later window, aggregation and join can use as it is."""
     first = [F.min(c).alias(c) for c in ATTRIBUTES]  # the smallest: defined, whatever the file order
-    return rows.where("INN_ID IS NOT NULL").repartition("CLIENT_ID", "INN_ID").groupBy(*SERIES, "Date").agg(F.coalesce(F.sum("Q"), F.lit(0.0)).alias("Q"), F.coalesce(F.sum("V"), F.lit(0.0)).alias("V"), *first)
+    return rows.where("INN_ID IS NOT NULL").repartition(deals(rows.sparkSession), *DEALT).groupBy(*SERIES, "Date").agg(F.coalesce(F.sum("Q"), F.lit(0.0)).alias("Q"), F.coalesce(F.sum("V"), F.lit(0.0)).alias("V"), *first)
 
 
 def gap_filled(weekly: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from lacuna.operators import crossmarket, did, export, shares, stockouts, weekly
 from lacuna.params import DEFAULT, Params
-from lacuna.session import stored
+from lacuna.session import dealt, stored
 
 
 class Stages:
@@ -16,7 +16,8 @@ class Stages:
 
     Tables that several later stages read are written to the shared folder when they are first asked for: they are made once,
     a lost executor costs nothing of them, and plans stay short (tables kept in memory would be part of every later plan, as
-    often as paths lead to them)."""
+    often as paths lead to them). Those of market and INN are bucketed by these, as their rows are dealt out once, so what reads them
+    goes on without a shuffle by market and INN."""
 
     def __init__(self, target: DataFrame, competitors: DataFrame, forms: DataFrame, p: Params = DEFAULT, dip_test: bool = True):
         self.target, self.competitors, self.forms, self.p, self.dip_test = target, competitors, forms, p, dip_test
@@ -28,7 +29,7 @@ class Stages:
     @cached_property
     def aggregated(self) -> DataFrame:
         """series, stored."""
-        return stored(self.series)
+        return dealt(self.series, order=(*stockouts.KEYS, "Date"))
 
     @cached_property
     def inn_names(self) -> DataFrame:
@@ -36,7 +37,7 @@ class Stages:
 
     @cached_property
     def islands(self) -> DataFrame:
-        return stockouts.islands(self.aggregated, self.p)
+        return dealt(stockouts.islands(self.aggregated, self.p))
 
     @cached_property
     def events(self) -> DataFrame:
@@ -44,11 +45,11 @@ class Stages:
 
     @cached_property
     def measured(self) -> DataFrame:
-        return stored(did.measured_events(self.events, self.p))
+        return dealt(did.measured_events(self.events, self.p))
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return stored(did.candidate_pairs(self.measured, self.aggregated, self.forms))
+        return dealt(did.candidate_pairs(self.measured, self.aggregated, self.forms))
 
     @cached_property
     def did_events(self) -> DataFrame:

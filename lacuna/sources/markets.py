@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lacuna.functions.scalars import monday, period_date
 from lacuna.params import DEFAULT, Params
 from lacuna.schemas import RAW_USED, RENAMES, STATUSES, missing_columns
-from lacuna.sources.files import exists, listed, read_text, write_text
+from lacuna.sources.files import exists, input_file, listed, read_text, write_text
 from lacuna.sources.sheets import write_csv
 
 log = logging.getLogger(__name__)
@@ -32,11 +32,8 @@ HEADS = "FILE_PATH string, lines array<string>, error string"
 
 def first_lines(path: str, count: int, most: int = 1 << 20) -> list[str]:
     """The first lines of a file, from its first bytes only."""
-    from pyarrow import fs
-
-    store, at = (fs.LocalFileSystem(), path.removeprefix("file:")) if path.startswith(("file:", "/")) else fs.FileSystem.from_uri(path)
     raw = b""
-    with store.open_input_stream(at) as f:
+    with input_file(path) as f:
         while raw.count(b"\n") < count and len(raw) < most and (more := f.read(1 << 14)):
             raw += more
     return raw.decode("utf-8-sig", errors="replace").splitlines()[:count]
@@ -86,9 +83,9 @@ def sniffed(path: str, length: int, changed: int, lines: list[str] | None, error
 FOUND = f"{MARKET_LIST}, HEADER array<string>, FILE_LENGTH long, CHANGED long"
 
 
-def discover(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None, p: Params = DEFAULT) -> DataFrame:
-    """FOUND: the market list, READY first, then by market (null last) and file name, with each file's header, length and time."""
-    files = {path: (length, changed) for path, length, changed in listed(spark, folder, pattern)[:limit]}
+def discover(spark: SparkSession, folder: str, pattern: str = "*.csv", limit: int | None = None, p: Params = DEFAULT, only: set[str] | None = None) -> DataFrame:
+    """FOUND: the market list, READY first, then by market (null last) and file name, with each file's header, length and time. only: names of files to look at."""
+    files = {path: (length, changed) for path, length, changed in listed(spark, folder, pattern)[:limit] if only is None or path.rsplit("/", 1)[-1] in only}
     found = heads(spark, list(files), p.sniff_rows).collect() if files else []  # a few lines of each file
     rows = [sniffed(r.FILE_PATH, *files[r.FILE_PATH], r.lines, r.error, p) for r in found]
     rank = F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col("STATUS"))
@@ -114,17 +111,24 @@ def ready(markets: DataFrame, ids: list[int] | None = None, limit: int | None =
     return kept.orderBy("CLIENT_ID").limit(limit) if limit else kept.orderBy("CLIENT_ID")
 
 
-def raw_rows(spark: SparkSession, files: list[tuple[str, list[str]]], columns: tuple[str, ...] = RAW_USED) -> DataFrame:
-    """Columns of market files as text, chosen by name, and FILE_NAME. files: (path, header); those of one header are read together."""
+#: Text of a row whose number of fields isn't the header's, or whose quotes don't close; null in whole rows.
+BROKEN = "BROKEN_ROW"
+
+
+def raw_rows(spark: SparkSession, files: list[tuple[str, list[str]]], columns: tuple[str, ...] = RAW_USED, checked: bool = True) -> DataFrame:
+    """Columns of market files as text, chosen by name, BROKEN and FILE_NAME. files: (path, header); those of one header are read together.
+
+    Checked rows are split into all their fields, so none too many or too few goes unseen; unchecked ones into the columns asked for."""
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path, header in files:
         by_header.setdefault(tuple(header), []).append(path)
     parts = []
     for names, group in by_header.items():
-        schema = ", ".join(f"`{n}` string" for n in names)
-        read = spark.read.csv(group, schema=schema, sep=";", header=True, escape='"', enforceSchema=True)
+        schema = ", ".join(f"`{n}` string" for n in (*names, *([BROKEN] if checked else [])))
+        reader = spark.read.option("columnPruning", str(not checked).lower()).option("columnNameOfCorruptRecord", BROKEN)
+        read = reader.csv(group, schema=schema, sep=";", header=True, escape='"', enforceSchema=True)
         name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it as in a URI
-        parts.append(read.select(*[F.col(f"`{c}`") for c in columns], name.alias("FILE_NAME")))
+        parts.append(read.select(*[F.col(f"`{c}`") for c in columns], *([BROKEN] if checked else []), name.alias("FILE_NAME")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -136,17 +140,19 @@ def whole_number(text: Column) -> Column:
 def parsed(raw: DataFrame) -> DataFrame:
     """Canonical names and types: ids long, packs and value double, Date the Monday of the period's week.
 
-    MALFORMED names the first value that isn't what its column asks for (`Q=1,2,3`); null in good rows."""
-    used = [c for c in raw.columns if c != "FILE_NAME"]
+    MALFORMED names the first value that isn't what its column asks for (`Q=1,2,3`), or a row that isn't made of the header's
+    fields (`row=...`); null in good rows."""
+    more = [c for c in (BROKEN, "FILE_NAME") if c in raw.columns]
+    used = [c for c in raw.columns if c not in more]
     text = [F.when(~F.trim(F.col(f"`{c}`")).isin(*MISSING), F.trim(F.col(f"`{c}`"))).alias(c) for c in used]
-    more = ["FILE_NAME"] if "FILE_NAME" in raw.columns else []
     named = raw.select(*text, *more).withColumnsRenamed(RENAMES)
     values = {c: whole_number(F.col(c)) for c in ("PHARM_ID", "CLIENT_ID", "DRUGS_ID", "INN_ID", "PERIOD_ID")}
     values["PERIOD_ID"] = F.when(values["PERIOD_ID"].between(100_000_000, 999_999_999), values["PERIOD_ID"])
     values |= {c: F.replace(F.col(c), F.lit(","), F.lit(".")).try_cast("double") for c in ("Q", "V")}
-    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c, v in values.items()])
+    broken = [F.when(F.col(BROKEN).isNotNull(), F.concat(F.lit("row="), F.left(F.col(BROKEN), F.lit(80))))] if BROKEN in more else []
+    bad = F.coalesce(*broken, *[F.when(F.col(c).isNotNull() & v.isNull(), F.concat(F.lit(f"{c}="), F.col(c))) for c, v in values.items()])
     rows = named.withColumn("MALFORMED", bad).withColumns(values)
-    return rows.withColumn("Date", monday(period_date(F.col("PERIOD_ID")))).drop("PERIOD_ID")
+    return rows.withColumn("Date", monday(period_date(F.col("PERIOD_ID")))).drop("PERIOD_ID", BROKEN)
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -221,12 +227,12 @@ def update_registry(spark: SparkSession, found: list, path: str) -> list[str]:
     known = json.loads(read_text(spark, path)) if exists(spark, path) else None
     files = files_of([r for r in found if r.STATUS in ("READY", "OVERSIZED")])
     column = RENAMED_FROM["NFC1_ID"]
-    forms = [r.form for r in discovered_forms(raw_rows(spark, files, (column,)), column).collect()] if files else []  # a registry of forms
+    forms = [r.form for r in discovered_forms(raw_rows(spark, files, (column,), checked=False), column).collect()] if files else []  # a registry of forms
     write_text(spark, path, json.dumps(merged_registry(known, forms, len(found)), ensure_ascii=False, indent=2) + "\n")
     return sorted(set(forms) - set((known or {}).get("all_categories", [])))
 
 
-def unknown_forms(rows: DataFrame, rules: DataFrame) -> DataFrame:
+def unknown_forms(forms: list[str], rules: list[str]) -> list[str]:
     """Forms in the data that no rule names; each stands alone."""
-    return discovered_forms(rows).join(rules, "form", "left_anti")
+    return sorted({f.strip() for f in forms} - set(rules) - set(MISSING))
 

@@ -5,20 +5,22 @@ with malformed values go to a table of their own."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lacuna.operators import weekly
 from lacuna.params import DEFAULT, Params
 from lacuna.schemas import RAW_REQUIRED, RAW_USED
-from lacuna.sources.markets import parsed
+from lacuna.sources.files import listed, remove
+from lacuna.sources.markets import BROKEN, parsed
 
 
 def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Parsed rows of files of the standard header as they appear; MALFORMED marks the bad ones."""
-    schema = ", ".join(f"`{c}` string" for c in RAW_REQUIRED)
-    return parsed(spark.readStream.schema(schema).csv(folder, sep=";", header=True, escape='"').select(*[f"`{c}`" for c in RAW_USED]))
+    schema = ", ".join(f"`{c}` string" for c in (*RAW_REQUIRED, BROKEN))
+    reader = spark.readStream.schema(schema).option("columnPruning", "false").option("columnNameOfCorruptRecord", BROKEN)
+    return parsed(reader.csv(folder, sep=";", header=True, escape='"').select(*[f"`{c}`" for c in (*RAW_USED, BROKEN)]))
 
 
 def refreshed(batch: DataFrame, number: int, store: str, out: str, p: Params = DEFAULT) -> None:
@@ -33,7 +35,12 @@ def refreshed(batch: DataFrame, number: int, store: str, out: str, p: Params = D
         return
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in good.schema) + ", batch long"
     rows = spark.read.schema(schema).parquet(f"{store}/rows").where(F.col("CLIENT_ID").isin(touched)).drop("batch")  # prunes partitions
-    weekly.aggregate_markets(rows, p).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("CLIENT_ID").parquet(out)
+    made, clients = weekly.aggregate_markets(rows, p), Observation()
+    seen = made.observe(clients, F.collect_set("CLIENT_ID").alias("found"))  # ids of one batch's markets
+    seen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("CLIENT_ID").parquet(out)
+    for gone in set(touched) - set(clients.get["found"]):  # without series now: no partition replaces the old one
+        if listed(spark, out, f"CLIENT_ID={gone}"):
+            remove(spark, f"{out}/CLIENT_ID={gone}")
 
 
 def start(rows: DataFrame, store: str, out: str, checkpoint: str, p: Params = DEFAULT) -> StreamingQuery:
