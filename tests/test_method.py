@@ -224,7 +224,7 @@ def plain_dip(values):
     return b
 
 
-def test_dip():
+def test_dip(spark):
     r = np.random.default_rng(1)
     for n in (4, 5, 6, 8, 10, 12):
         for k in range(5):
@@ -232,7 +232,8 @@ def test_dip():
             if len(np.unique(v)) > 1:
                 assert modality.dip(v) == pytest.approx(plain_dip(v), abs=1e-8)
     two = np.concatenate([r.normal(0.2, 0.02, 40), r.normal(0.8, 0.02, 40)])
-    table = modality.reference_table()
+    table = modality.reference_table(spark)
+    assert {n: len(t) for n, t in table.items()} == dict.fromkeys(modality.SIZES, modality.DRAWS) and modality.reference_table(spark) is table
     assert modality.p_value(two, table) < 0.01 < 0.1 < modality.p_value(r.normal(0.5, 0.1, 80), table)
     assert modality.p_value(np.full(10, 0.3), table) == 1.0 and modality.dip(np.array([0.0, 0.0, 1.0, 1.0])) == 0.25
     assert abs(modality.dip(two) - modality.dip(two * 3 + 1)) < 1e-12  # location and scale don't matter
