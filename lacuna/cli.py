@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import argparse
 import logging
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -114,8 +113,6 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers)
     spark = SparkSession.builder.appName("lacuna").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        if getattr(a, "publish", None):
-            os.makedirs(a.publish, exist_ok=True)
         return done(spark, a)
     except KeyboardInterrupt:
         log.warning("interrupted")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lacuna.params import DEFAULT, Params
+from lacuna.session import deals, stored
 
 
 def with_reliability(volumes: DataFrame, coefficients: DataFrame) -> DataFrame:
@@ -18,10 +19,22 @@ def matched(enriched: DataFrame) -> DataFrame:
 
 
 def pareto(df: DataFrame, volume: str, key: str = "DRUGS_ID") -> DataFrame:
-    """Running share of the volume, largest first, ties by key. Products are a catalogue, so one ordered partition will do."""
-    order = Window.orderBy(F.desc(volume), F.asc(key))
-    running = F.sum(volume).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("position", F.row_number().over(order)).withColumn("cum_share", F.try_divide(running, F.sum(volume).over(Window.partitionBy())))
+    """Running share of the volume, largest first, ties by key, and ``before``, the share of what comes earlier.
+
+    Rows are dealt out by ranges of the order and stored; each range's sum and number then say where the next one starts, so no task
+    orders more than a range."""
+    spark, order = df.sparkSession, (F.desc(volume), F.asc(key))
+    ranges = stored(df.repartitionByRange(deals(spark), *order).withColumn("range", F.spark_partition_id()))
+    start, rows, total = [], 0, 0
+    for r in ranges.groupBy("range").agg(F.count("*").alias("n"), F.sum(volume).alias("s")).orderBy("range").collect():  # a row for each range
+        start.append((r.range, rows, float(total)))
+        rows, total = rows + r.n, total + (r.s or 0)
+    offsets = F.broadcast(spark.createDataFrame(start, "range int, rows_before long, sum_before double"))
+    inside = Window.partitionBy("range").orderBy(*order)
+    running = F.col("sum_before") + F.coalesce(F.sum(volume).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0.0))
+    placed = ranges.join(offsets, "range").withColumns({"position": (F.col("rows_before") + F.row_number().over(inside)).cast("int"), "running": running})
+    of_all = lambda x: F.try_divide(x, F.lit(float(total)))
+    return placed.withColumns({"cum_share": of_all(F.col("running")), "before": of_all(F.col("running") - F.coalesce(volume, F.lit(0.0)))}).drop("range", "rows_before", "sum_before", "running")
 
 
 def pareto_cut(df: DataFrame, volume: str, p: Params = DEFAULT, key: str = "DRUGS_ID") -> DataFrame:
@@ -29,9 +42,7 @@ def pareto_cut(df: DataFrame, volume: str, p: Params = DEFAULT, key: str = "DRUG
     kept = df.where(F.col("RELIABILITY_SCORE").between(p.reliability_low, p.reliability_high))
     if p.pareto_target is None:
         return top(kept, volume, p.top_n, key) if p.top_n else kept
-    curve = pareto(kept, volume, key)
-    before = F.coalesce(F.lag("cum_share").over(Window.orderBy("position")), F.lit(0.0))
-    return curve.withColumn("before", before).where(F.col("before") < p.pareto_target).drop("before")
+    return pareto(kept, volume, key).where(F.col("before") < p.pareto_target).drop("before")
 
 
 def top(df: DataFrame, volume: str, n: int, key: str = "DRUGS_ID") -> DataFrame:
@@ -74,9 +85,9 @@ def described(df: DataFrame, column: str = "RELIABILITY_SCORE") -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins from the smallest to the largest value, the last one closed."""
     c = F.col(column).cast("double")
-    span = Window.partitionBy()
-    rows = df.where(c.isNotNull()).select(c.alias("x")).groupBy("x").agg(F.count("*").alias("n"))
-    rows = rows.withColumns({"lo": F.min("x").over(span), "hi": F.max("x").over(span)})
+    values = df.where(c.isNotNull()).select(c.alias("x"))
+    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()  # one row
+    rows = values.groupBy("x").agg(F.count("*").alias("n")).withColumns({"lo": F.lit(ends.lo).cast("double"), "hi": F.lit(ends.hi).cast("double")})
     place = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))).otherwise(0)
     return rows.groupBy(F.least(F.lit(bins - 1), place.cast("int")).alias("bin")).agg(F.sum("n").alias("n"))
 
@@ -93,8 +104,8 @@ def without_pairs(keep: DataFrame, shares: DataFrame) -> DataFrame:
 LEVELS = (0.25, 0.50, 0.75)
 
 
-def contours(spark: SparkSession, levels: tuple[float, ...] = LEVELS, points: int = 200, least: float = 0.001) -> DataFrame:
-    """Points (coverage, retention) of equal coefficient = coverage * retention, at even coverages from ``least`` to 1."""
-    x = F.lit(least) + F.col("id") * ((1 - least) / (points - 1))
-    rows = spark.range(points).select("id", x.alias("coverage"), F.explode(F.array(*map(F.lit, levels))).alias("level"))
-    return rows.select("level", F.col("id").alias("point"), "coverage", F.least(F.lit(1.0), F.col("level") / F.col("coverage")).alias("retention"))
+def contours(coefficients: DataFrame, levels: tuple[float, ...] = LEVELS) -> DataFrame:
+    """Each product beside the contours coefficient = coverage * retention: the retention of a contour at its coverage, and whether it lies on it or above."""
+    coverage, retention = F.col("COVERAGE_PCT"), F.col("CONDITIONAL_RETENTION")
+    rows = coefficients.select("DRUGS_ID", coverage.alias("coverage"), retention.alias("retention"), F.explode(F.array(*map(F.lit, levels))).alias("level"))
+    return rows.select("DRUGS_ID", "level", "coverage", F.least(F.lit(1.0), F.try_divide("level", "coverage")).alias("contour"), (F.col("coverage") * F.col("retention") >= F.col("level")).alias("above"))

@@ -107,10 +107,6 @@ def drug_coefficients(spark, d):
     return stages(spark, d).drug_coefficients
 
 
-def drug_coefficients_dip(spark, d):
-    return stages(spark, d).drug_coefficients
-
-
 def two_peaks(spark, d):
     """Statistics of shares with two peaks: 0.2 or 0.8 by market for products of even number, 0.5 everywhere for the others."""
     seen = market_data.sales(spark, d).select("CLIENT_ID", "DRUGS_ID", "DRUGS_NAME", "INN_ID", "INN_NAME", "NFC1_ID").distinct()
@@ -128,8 +124,9 @@ def checks(spark, d):
 
 
 def volumes(spark, d) -> DataFrame:
+    """Sums of cents as decimals: those of doubles depend on the order of the rows, and halves then round either way."""
     sold = market_data.sales(spark, d)
-    return sold.groupBy("DRUGS_ID", "DRUGS_NAME").agg(rounded(F.sum("V"), 0).alias("volume"))
+    return sold.groupBy("DRUGS_ID", "DRUGS_NAME").agg(rounded(F.sum(F.col("V").cast("decimal(28,2)")).cast("double"), 0).alias("volume"))
 
 
 def enriched(spark, d) -> DataFrame:
@@ -173,7 +170,7 @@ def coef_histogram(spark, d):
 
 
 def coefficient_contours(spark, d):
-    return round_all(adhoc.contours(spark), 9, "coverage", "retention")
+    return round_all(adhoc.contours(stages(spark, d).drug_coefficients), 6, "contour")
 
 
 def subset_semi(spark, d):
@@ -183,7 +180,8 @@ def subset_semi(spark, d):
 
 def missing_anti(spark, d):
     s = stages(spark, d)
-    return adhoc.without_pairs(volumes(spark, d).select("DRUGS_ID"), s.final_shares)
+    reliable = adhoc.subset(s.final_shares, s.drug_coefficients.where("RELIABILITY_SCORE >= 0.25"))
+    return adhoc.without_pairs(volumes(spark, d).select("DRUGS_ID"), reliable)
 
 
 def form_registry(spark, d):
@@ -227,5 +225,5 @@ def top_substitutes(spark, d):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from lacuna.plans.sql import ORACLE
 
-    rows_only = ("drug_modality", "drug_coefficients_dip")
+    rows_only = ("drug_modality",)
     return {n: globals()[n] for n in (*ORACLE, *rows_only)}

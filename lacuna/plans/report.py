@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from lacuna.operators import adhoc
+from lacuna.sources.files import write_text
 
 
 def statistics(enriched: DataFrame, volume: str, path: str, top: int = 20) -> None:
@@ -17,7 +18,7 @@ def statistics(enriched: DataFrame, volume: str, path: str, top: int = 20) -> No
         (f"largest {top}", adhoc.top(enriched.where("RELIABILITY_SCORE IS NOT NULL"), volume, top)),
         ("largest 1000", adhoc.described(adhoc.top(enriched.where("RELIABILITY_SCORE IS NOT NULL"), volume, 1000))),
     )
-    with open(path, "w", encoding="utf-8") as f:
-        for title, df in parts:
-            f.write(f"== {title}\n" + "\t".join(df.columns) + "\n")
-            f.writelines("\t".join("" if v is None else str(v) for v in row) + "\n" for row in df.collect())
+    lines = []
+    for title, df in parts:
+        lines += [f"== {title}", "\t".join(df.columns), *("\t".join("" if v is None else str(v) for v in row) for row in df.collect())]
+    write_text(enriched.sparkSession, path, "\n".join(lines) + "\n")

@@ -80,7 +80,7 @@ CTES = {
         FROM (SELECT p."STOCKOUT_DRUG_ID" AS "DRUGS_ID", "SUBSTITUTE_DRUG_ID", {r('t / i', 6)} AS x, "DRUGS_NAME", "SUBSTITUTE_DRUG_NAME", "SAME_NFC1", "MARKETS_COUNT"
             FROM (SELECT "STOCKOUT_DRUG_ID", "SUBSTITUTE_DRUG_ID", sum("TOTAL_LIFT") AS t, count(DISTINCT "CLIENT_ID") AS "MARKETS_COUNT", min("STOCKOUT_DRUG_NAME") AS "DRUGS_NAME", min("SUBSTITUTE_DRUG_NAME") AS "SUBSTITUTE_DRUG_NAME", bool_or("SAME_NFC1") AS "SAME_NFC1" FROM mshares WHERE "STOCKOUT_DRUG_ID" IN (SELECT "DRUGS_ID" FROM dc) GROUP BY ALL) p
             JOIN (SELECT "STOCKOUT_DRUG_ID", sum(one) AS i FROM (SELECT "CLIENT_ID", "STOCKOUT_DRUG_ID", max("INTERNAL_LIFT") AS one FROM mshares GROUP BY ALL) GROUP BY ALL) q ON p."STOCKOUT_DRUG_ID" = q."STOCKOUT_DRUG_ID") WHERE x > 0""",
-    "vol": f"""SELECT "DRUGS_ID", "DRUGS_NAME", {r('sum("V")', 0)} AS volume FROM sales GROUP BY ALL""",
+    "vol": f"""SELECT "DRUGS_ID", "DRUGS_NAME", {r('CAST(sum(CAST("V" AS DECIMAL(28,2))) AS DOUBLE)', 0)} AS volume FROM sales GROUP BY ALL""",
     "rich": """SELECT v.*, d."RELIABILITY_SCORE" FROM vol v LEFT JOIN dc d ON v."DRUGS_ID" = d."DRUGS_ID" """,
 }
 
@@ -150,10 +150,10 @@ SELECTS = {
     "score_sweep": 'SELECT CAST(t AS DOUBLE) AS threshold, (SELECT count(*) FROM dc WHERE "RELIABILITY_SCORE" >= t) AS passing FROM (SELECT unnest([0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.85, 0.9]::DOUBLE[]) AS t)',
     "reliability_summary": "SELECT count(x) AS n, " + ", ".join(f"{r(q, 6)} AS {n}" for n, q in (("low", "min(x)"), ("high", "max(x)"), ("mean", "avg(x)"), ("std", "stddev_samp(x)"), *((f"p{k}", f"quantile_cont(x, {k / 100})") for k in (10, 25, 50, 75, 90)))) + ' FROM (SELECT "RELIABILITY_SCORE" AS x FROM dc)',
     "coef_histogram": 'SELECT CAST(least(49, CASE WHEN hi > lo THEN floor((x - lo) * 50 / (hi - lo)) ELSE 0 END) AS INTEGER) AS bin, count(*) AS n FROM (SELECT "COEF_1" AS x, min("COEF_1") OVER () AS lo, max("COEF_1") OVER () AS hi FROM dc) GROUP BY 1',
-    "coefficient_contours": f"""SELECT CAST(level AS DOUBLE) AS level, point, {r('x', 9)} AS coverage, {r('least(1, level / x)', 9)} AS retention
-        FROM (SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS level), (SELECT i AS point, 0.001::DOUBLE + i * ((1 - 0.001::DOUBLE) / 199) AS x FROM range(200) t(i))""",
+    "coefficient_contours": f"""SELECT "DRUGS_ID", level, "COVERAGE_PCT" AS coverage, {r('least(1, level / nullif("COVERAGE_PCT", 0))', 6)} AS contour, "COVERAGE_PCT" * "CONDITIONAL_RETENTION" >= level AS above
+        FROM dc, (SELECT CAST(unnest([0.25, 0.5, 0.75]) AS DOUBLE) AS level)""",
     "subset_semi": 'SELECT * FROM ss WHERE "DRUGS_ID" IN (SELECT "DRUGS_ID" FROM dc WHERE "RELIABILITY_SCORE" >= 0.25)',
-    "missing_anti": 'SELECT "DRUGS_ID" FROM vol WHERE "DRUGS_ID" NOT IN (SELECT "DRUGS_ID" FROM ss)',
+    "missing_anti": 'SELECT "DRUGS_ID" FROM vol WHERE "DRUGS_ID" NOT IN (SELECT "DRUGS_ID" FROM ss WHERE "DRUGS_ID" IN (SELECT "DRUGS_ID" FROM dc WHERE "RELIABILITY_SCORE" >= 0.25))',
     "form_registry": """SELECT DISTINCT "NFC1_ID" AS form, CASE WHEN "NFC1_ID" IN ('F0', 'F1') THEN 'solid' ELSE 'EXACT_MATCH' END AS "group" FROM sales""",
     "form_compatibility": """SELECT a.f AS form_a, b.f AS form_b, a.f = b.f OR (a.f IN ('F0', 'F1') AND b.f IN ('F0', 'F1')) AS is_compatible FROM (SELECT DISTINCT "NFC1_ID" AS f FROM sales) a, (SELECT DISTINCT "NFC1_ID" AS f FROM sales) b""",
     "period_parse": """SELECT DISTINCT CAST(year(o_orderdate) * 100000 + dayofyear(o_orderdate) - 1 AS BIGINT) AS "PERIOD_ID", CAST(o_orderdate AS DATE) AS "Date", CAST(date_trunc('week', o_orderdate) AS DATE) AS "Monday" FROM orders""",

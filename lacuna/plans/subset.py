@@ -35,6 +35,6 @@ def run_substitutes(spark: SparkSession, chosen: str, shares: str, to: str) -> t
     """Writes the pairs of the chosen products; how many pairs, and how many products have none."""
     keep, pairs = sheets.read_table(spark, chosen), sheets.read_table(spark, shares)
     found = adhoc.subset(pairs, keep.select("DRUGS_ID").distinct())
-    sheet = sheets.sheet_cells(shares)[0] if shares.lower().endswith(".xlsx") else SHARES_SHEET
+    sheet = sheets.sheet_name(shares) if shares.lower().endswith(".xlsx") else SHARES_SHEET
     sheets.write_xlsx(found.orderBy("DRUGS_ID", "SUBSTITUTE_RANK"), to, sheet)
     return found.count(), adhoc.without_pairs(keep.select("DRUGS_ID").distinct(), pairs).count()

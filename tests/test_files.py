@@ -155,13 +155,13 @@ def test_filter_and_substitutes_keep_types(spark, tmp_path):
     sheets.write_csv(spark.createDataFrame([(1, 0.9), (2, 0.8), (3, 0.1)], "DRUGS_ID long, RELIABILITY_SCORE double"), at["c.csv"])
     assert subset.run_filter(spark, at["v.xlsx"], at["c.csv"], at["to.xlsx"], at["report.txt"]) == 2
     back = sheets.read_xlsx(spark, at["to.xlsx"])
-    assert back.dtypes == volumes.dtypes and [r.DRUGS_ID for r in back.collect()] == [1, 2] and sheets.sheet_cells(at["to.xlsx"])[0] == "Drug Coefficients"
+    assert back.dtypes == volumes.dtypes and [r.DRUGS_ID for r in back.collect()] == [1, 2] and sheets.sheet_name(at["to.xlsx"]) == "Drug Coefficients"
     pairs = spark.createDataFrame([(1, 2, 1.0, True, 1), (3, 2, 1.0, False, 1)], "DRUGS_ID long, SUBSTITUTE_DRUG_ID long, SUBSTITUTE_SHARE double, SAME_NFC1 boolean, SUBSTITUTE_RANK long")
     sheets.write_csv(pairs, at["s.csv"])
     sheets.write_xlsx(pairs, at["s.xlsx"], "mine")
     for source, sheet in (("s.csv", "Substitute Shares"), ("s.xlsx", "mine")):
         assert subset.run_substitutes(spark, at["to.xlsx"], at[source], at["pairs.xlsx"]) == (1, 1)
-        assert sheets.sheet_cells(at["pairs.xlsx"])[0] == sheet and [r.DRUGS_ID for r in sheets.read_xlsx(spark, at["pairs.xlsx"]).collect()] == [1]
+        assert sheets.sheet_name(at["pairs.xlsx"]) == sheet and [r.DRUGS_ID for r in sheets.read_xlsx(spark, at["pairs.xlsx"]).collect()] == [1]
         assert [t for _, t in sheets.read_xlsx(spark, at["pairs.xlsx"]).dtypes][:4] == ["bigint", "bigint", "double", "boolean"]
 
 
