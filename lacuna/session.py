@@ -53,6 +53,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """The files of a table that stored wrote; nothing may read it any more."""
+    spark, root = df.sparkSession, f"{shared_folder(df.sparkSession).removeprefix('file://').removeprefix('file:')}/lacuna/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if root in folder:  # never a table of others
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def deals(spark: SparkSession) -> int:
     """How many buckets rows are dealt to: as many as a shuffle has partitions, or what lacuna.buckets says."""
     return int(spark.conf.get("lacuna.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
