@@ -35,8 +35,10 @@ NONE = np.int64(-(2**63))
 
 
 def vectors(df: DataFrame) -> DataFrame:
+    """The rows that take part. Vectors of floats stay so until a task multiplies them; others are doubles."""
+    kind = "array<float>" if dict(df.dtypes)["embedding"] == "array<float>" else "array<double>"
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(good)
+    return df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(good)
 
 
 def whole(column: pa.Array, scale: float) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -170,7 +172,8 @@ def lists_of_cells(rows: DataFrame, k: int, scale: float) -> DataFrame:
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of df with the highest products for each row of queries."""
     spark = df.sparkSession
-    rows, asked = vectors(df), stored(vectors(queries).groupBy("vec_id", "embedding").agg(F.count("*").alias("times")))
+    # rows are dealt by a number, so repeated ones spread; it is written down once, so a task that runs again deals them alike
+    rows, asked = stored(vectors(df).withColumn("number", F.monotonically_increasing_id())), stored(vectors(queries).groupBy("vec_id", "embedding").agg(F.count("*").alias("times")))
     count, length = asked.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
     blocks = max(1, -(-count * (8 * max(length, 1) + 40 * k) // BLOCK_BYTES))
     slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -178,9 +181,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, scale: float = 1024.0)
     cell = lambda block, shard: (block * shards + shard).alias("cell")
     block = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks))
     each = asked.select("times", "vec_id", "embedding", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    # rows are dealt by their place in the table, so repeated ones spread too
-    shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards))
-    every = rows.withColumn("shard", shard).select(F.lit(None).cast("long").alias("times"), "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "shard")
+    every = rows.withColumn("shard", F.pmod("number", F.lit(shards))).select(F.lit(None).cast("long").alias("times"), "vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "shard")
     both = each.unionByName(every).select(cell(F.col("block"), F.col("shard")), "times", "vec_id", "embedding")
     cells = both.repartition(blocks * shards, "cell").sortWithinPartitions("cell", F.col("times").isNull())
     lists, order = lists_of_cells(cells, k, scale), [F.desc("score"), F.asc("vec_id")]
