@@ -2,7 +2,7 @@
 
 The trees learn from the URLs that a rule labels: lengths, depths, digit ratio, entropy, parameter counts, and statistics
 of the host's suffix (its last label) over all labelled URLs. They are fitted on at most ``sample`` labelled URLs, drawn by
-hash; the suffix statistics count every labelled row. Only URLs without a rule are scored (``block_score``, else null).
+hash; the suffix statistics count every labelled row but the one that they describe. Only URLs without a rule are scored (``block_score``, else null).
 
 Defined cases: a null URL or one without :// has an empty host and path, no rule, and the method's verdict; with no
 labelled URLs, or one class only, the method allows, or says that class; repeated rows give repeated results; other
@@ -155,9 +155,11 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: i
     labelled = found.where(F.col("says").isNotNull())
     block = (F.col("says") == "block").cast("double")
     stats = labelled.groupBy("suffix").agg(F.count("*").alias("n"), F.sum(block).alias("n_block"))
-    stats = stats.select("suffix", F.col("n").cast("double").alias("suffix_count"), ((F.col("n_block") + 1) / (F.col("n") + 2)).alias("suffix_rate"))
     small = stats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    full = found.join(F.broadcast(stats) if small else stats, "suffix", "left").fillna({"suffix_count": 0.0, "suffix_rate": 0.5})
+    full = found.join(F.broadcast(stats) if small else stats, "suffix", "left").fillna(0, ["n", "n_block"])
+    own = F.col("says").isNotNull().cast("double")  # a labelled row's own label is no evidence about it
+    others = F.col("n") - own
+    full = full.withColumns({"suffix_count": others, "suffix_rate": (F.col("n_block") - F.coalesce(block, F.lit(0.0)) + 1) / (others + 2)})
     drawn = full.where(F.col("says").isNotNull()).select("page_id", "url", "host", "path", "suffix_rate", "suffix_count", block.alias("y")).orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(sample).toArrow()
     x = lambda t: features(*(t.column(c) for c in ("url", "host", "path")), t.column("suffix_rate").to_numpy(), t.column("suffix_count").to_numpy())
     drawn = drawn.combine_chunks()
