@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from lacuna.session import drop as drop
 from lacuna.session import stored as stored  # tables between steps, in the folder that all executors share
 
 #: Bytes of text that one vectorised step works on. A document longer than this forms a step of its own.
@@ -163,7 +165,9 @@ def learnable(doc_id) -> object:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, drawn: Callable[[str], str]) -> tuple[list[str], np.ndarray]:
-    """(texts, labels 0 or 1): of each class at most ``per_class`` learnable rows, taken by hash, and of each text what ``drawn`` says."""
+    """(texts, labels 0 or 1): of each class at most ``per_class`` learnable rows, taken by hash, and of each text what ``drawn`` says.
+
+    An id that several rows have counts once for each different text; an id with both labels stands in both classes."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(learnable(F.col("doc_id")) & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     rows = None
     for y in (0, 1):
@@ -171,5 +175,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         rows = part if rows is None else rows.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     joined = texts.join(F.broadcast(rows), "doc_id")  # rows: 2 * per_class of 12 bytes at most
-    found = joined.select(F.udf(drawn, "string", useArrow=True)("text").alias("text"), "y").toArrow().sort_by([("y", "ascending"), ("text", "ascending")])
+    drawn_texts = joined.select("doc_id", F.udf(drawn, "string", useArrow=True)("text").alias("text"), "y").dropDuplicates()
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text"))
+    bounded = drawn_texts.withColumn("place", place).where(F.col("place") <= per_class)  # repeated ids don't add to it
+    found = bounded.select("text", "y").toArrow().sort_by([("y", "ascending"), ("text", "ascending")])
     return found.column("text").to_pylist(), found.column("y").to_numpy().astype(np.float64)
