@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lacuna.llm import bpe_replay, fm_decontam, pii, prob_minhash, toxicity_ssk
 from lacuna.llm.queries import tokenizer_file
-from lacuna.llm.text import stored, table
+from lacuna.llm.text import drop, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs, read = stored(stage(spark, docs, sf_dir)), before
+        if read is not None:
+            drop(read)  # the stage before is whole in docs
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
