@@ -11,8 +11,9 @@ from pyspark.sql.window import Window
 from lacuna.functions.scalars import compatibility_group, compatible, decimal_comma, monday, period_date, rounded
 from lacuna.operators import adhoc, crossmarket, modality, shares, stockouts, weekly
 from lacuna.params import Params
-from lacuna.plans import market_data
+from lacuna.plans import market_data, market_files
 from lacuna.plans.stages import Stages
+from lacuna.schemas import DID_EVENTS, DRUG_COEFFICIENTS, FINAL_SHARES, MARKET_SHARES
 from lacuna.session import stored, tuned
 
 #: Few nations have sales in the smallest tables.
@@ -217,6 +218,53 @@ def products_per_market(spark, d):
     return s.groupBy("CLIENT_ID").agg(F.countDistinct("DRUGS_ID").alias("drugs"), F.countDistinct("INN_ID").alias("inns"), F.count("*").alias("rows"))
 
 
+def recovery_counts(spark, d):
+    """Events by what came after them."""
+    return stockouts.with_post(stages(spark, d).events, PARAMS).groupBy("POST_STATUS").agg(F.count("*").alias("events"))
+
+
+def market_summary(spark, d):
+    """A row for each market with a series: its products, weeks, unsold runs, events, those with a POST period, and effects."""
+    s = stages(spark, d)
+    by = lambda df, name: df.groupBy("CLIENT_ID").agg(F.count("*").alias(name))
+    rows = s.aggregated.groupBy("CLIENT_ID").agg(F.countDistinct("DRUGS_ID").alias("products"), F.count("*").alias("weeks"))
+    for df, name in ((s.islands, "runs"), (s.events, "events"), (s.measured, "measured"), (s.did_events, "effects")):
+        rows = rows.join(by(df, name), "CLIENT_ID", "left")
+    return rows.fillna(0)
+
+
+def file_rows(spark, d):
+    """Weekly sums of all shops, read from raw market files."""
+    sums = market_files.market_rows(spark, d).groupBy("CLIENT_ID", "PHARM_ID", "INN_ID", "DRUGS_ID", "DRUGS_NAME", "INN_NAME", "NFC1_ID", "Date").agg(F.sum("Q").alias("Q"), F.sum("V").alias("V"))
+    return round_all(sums, 2, "V")
+
+
+def stored_did_events(spark, d):
+    """did_events of a run over raw market files."""
+    return market_files.stored_stage(spark, d, "did_events", PARAMS).select(*DID_EVENTS)
+
+
+def stored_shares(spark, d):
+    return market_files.stored_stage(spark, d, "substitute_shares", PARAMS).select(*MARKET_SHARES)
+
+
+def stage_counts(spark, d):
+    """What a run over raw market files counted while it wrote its stages."""
+    return market_files.stage_counts(spark, d, PARAMS)
+
+
+def published_coefficients(spark, d):
+    """The published spreadsheet of a run over raw market files, read back."""
+    back = market_files.published(spark, d, "drug_coefficients.xlsx", PARAMS)
+    return back.select(*[F.col(c).cast("int") if c in ("MARKETS_WITH_SUB", "MARKET_COUNT") else F.col(c).cast("double") if c in ("COVERAGE_PCT", "CONDITIONAL_RETENTION", "COEF_1", "UNIQUENESS_COEF", "RELIABILITY_SCORE") else F.col(c) for c in DRUG_COEFFICIENTS])
+
+
+def published_shares(spark, d):
+    """The published text table of a run over raw market files, read back."""
+    back = market_files.published(spark, d, "substitute_shares.csv", PARAMS)
+    return back.select(*[F.col(c).cast("int") if c == "SUBSTITUTE_RANK" else F.col(c).cast("double") if c == "SUBSTITUTE_SHARE" else F.col(c) for c in FINAL_SHARES])
+
+
 def top_substitutes(spark, d):
     rank = F.row_number().over(Window.partitionBy("DRUGS_ID").orderBy("SUBSTITUTE_RANK"))
     return stages(spark, d).final_shares.withColumn("n", rank).where("n <= 3").select("DRUGS_ID", "SUBSTITUTE_DRUG_ID", "SUBSTITUTE_SHARE", "SUBSTITUTE_RANK")

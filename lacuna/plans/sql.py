@@ -160,6 +160,24 @@ SELECTS = {
     "comma_decimal": f'SELECT l_orderkey, l_linenumber, {r("CAST(l_extendedprice AS DOUBLE)", 2)} AS "V" FROM lineitem',
     "top_volume": 'SELECT "DRUGS_ID", volume FROM vol ORDER BY volume DESC, "DRUGS_ID" LIMIT 20',
     "products_per_market": 'SELECT "CLIENT_ID", count(DISTINCT "DRUGS_ID") AS drugs, count(DISTINCT "INN_ID") AS inns, count(*) AS rows FROM agg GROUP BY "CLIENT_ID"',
+    "recovery_counts": 'SELECT status AS "POST_STATUS", count(*) AS events FROM post GROUP BY 1',
+    "market_summary": """SELECT a."CLIENT_ID", a.products, a.weeks, coalesce(r.n, 0) AS runs, coalesce(e.n, 0) AS events, coalesce(m.n, 0) AS measured, coalesce(d.n, 0) AS effects
+        FROM (SELECT "CLIENT_ID", count(DISTINCT "DRUGS_ID") AS products, count(*) AS weeks FROM agg GROUP BY 1) a LEFT JOIN (SELECT "CLIENT_ID", count(*) AS n FROM islands GROUP BY 1) r ON r."CLIENT_ID" = a."CLIENT_ID"
+        LEFT JOIN (SELECT "CLIENT_ID", count(*) AS n FROM events GROUP BY 1) e ON e."CLIENT_ID" = a."CLIENT_ID" LEFT JOIN (SELECT "CLIENT_ID", count(*) AS n FROM measured GROUP BY 1) m ON m."CLIENT_ID" = a."CLIENT_ID"
+        LEFT JOIN (SELECT "CLIENT_ID", count(*) AS n FROM did GROUP BY 1) d ON d."CLIENT_ID" = a."CLIENT_ID" """,
+    "file_rows": f"""SELECT c."CLIENT_ID", s."CLIENT_ID" AS "PHARM_ID", s."INN_ID", s."DRUGS_ID", s."DRUGS_NAME", s."INN_NAME", s."NFC1_ID", s."Date", s."Q", {r('s."V"', 2)} AS "V" FROM sales s JOIN (SELECT DISTINCT "REGION", "CLIENT_ID" FROM sales) c ON c."REGION" = s."REGION" """,
+    "stored_did_events": "SELECT * FROM did",
+    "stored_shares": "SELECT * FROM mshares",
+    "stage_counts": """SELECT * FROM (
+        SELECT 'rows' AS stage, unnest(['rows', 'malformed', 'stray']) AS kind, unnest([(SELECT count(*) FROM sales s JOIN (SELECT DISTINCT "REGION", "CLIENT_ID" FROM sales) c ON c."REGION" = s."REGION"), 0, 0]) AS n
+        UNION ALL SELECT 'aggregated', unnest(['rows', 'forms']), unnest([(SELECT count(*) FROM agg), (SELECT count(DISTINCT "NFC1_ID") FROM agg)])
+        UNION ALL SELECT 'stockout_runs', unnest(['rows', 'valid', 'no_market_activity', 'no_pre_sales', 'no_competitors']), unnest([count(*), count(*) FILTER (reason = 'valid'), count(*) FILTER (reason = 'no_market_activity'), count(*) FILTER (reason = 'no_pre_sales'), count(*) FILTER (reason = 'no_competitors')]) FROM islands
+        UNION ALL SELECT 'stockout_events', unnest(['rows', 'valid', 'no_recovery', 'gap_too_large', 'insufficient_data']), unnest([count(*), count(*) FILTER (status = 'valid'), count(*) FILTER (status = 'no_recovery'), count(*) FILTER (status = 'gap_too_large'), count(*) FILTER (status = 'insufficient_data')]) FROM post
+        UNION ALL SELECT 'pairs', unnest(['rows', 'with_gain']), unnest([count(*), count(*) FILTER (gain > 0)]) FROM pairs
+        UNION ALL SELECT 'did_events', unnest(['rows', 'clients']), unnest([count(*), count(DISTINCT "CLIENT_ID")]) FROM did
+        UNION ALL SELECT 'substitute_pairs', 'rows', count(*) FROM subpairs UNION ALL SELECT 'substitute_shares', 'rows', count(*) FROM mshares)""",
+    "published_coefficients": "SELECT * FROM dc",
+    "published_shares": "SELECT * FROM ss",
     "top_substitutes": 'SELECT "DRUGS_ID", "SUBSTITUTE_DRUG_ID", "SUBSTITUTE_SHARE", "SUBSTITUTE_RANK" FROM ss WHERE "SUBSTITUTE_RANK" <= 3',
 }
 

@@ -76,6 +76,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     write_bytes(spark, path, text.encode("utf-8"))
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    at, store = _at(spark, path)
+    if not store.rename(at, _at(spark, to)[0]):
+        raise OSError(f"{path} couldn't be moved to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     at, store = _at(spark, path)
     store.delete(at, True)
