@@ -16,6 +16,7 @@ from lacuna.session import new_folder, stored, tuned
 from lacuna.sources import markets, sheets
 from lacuna.sources.files import listed, move, write_text
 
+
 def comma(c: str) -> Column:
     return F.replace(F.format_string("%.2f", c), F.lit("."), F.lit(","))
 

@@ -205,3 +205,29 @@ def test_packs_of_any_weeks_are_two_lookups(spark):
         assert r.x == want, r
 
 
+
+
+def test_the_path_of_files_equals_the_chain_over_tables(spark):
+    from lacuna.plans import market_files, queries
+
+    d = "/root/testdata/sf0.001"
+    want = rows_of(queries.did_events(spark, d))
+    assert want and rows_of(queries.stored_did_events(spark, d)) == want
+    raw = market_files.raw_folder(spark, d)
+    found = markets.discover(spark, raw).collect()
+    assert {f.STATUS for f in found} == {"READY"} and all(f.FILE_NAME == f"{f.CLIENT_ID}.csv" for f in found)
+
+
+def test_commands_for_phases_lists_and_summaries(spark, raw, tmp_path, caplog):  # noqa: F811
+    from lacuna import cli
+
+    at = lambda name: str(tmp_path / name)
+    assert cli.main(["discover", "--raw", str(raw), "--list", at("new/list.csv")]) == 0
+    some = ["markets", "--raw", str(raw), "--out", at("out"), "--saved-list", at("new/list.csv"), "--market-ids", "1", "2"]
+    assert cli.main(["summary", "--out", at("out")]) == 2
+    assert cli.main([*some, "--upto", "stockouts"]) == 0 and cli.main(some) == 0
+    with caplog.at_level(logging.INFO):
+        assert cli.main(["summary", "--out", at("out")]) == 0
+    assert "2 markets: 2 success" in caplog.text and "stockout_runs: " in caplog.text
+    assert cli.main(["export", "--out", at("out"), "--publish", f"file:{tmp_path}/deep/publish", "--min-market-count", "2", "--skip-unreadable"]) == 0
+    assert (tmp_path / "deep/publish/substitute_shares.xlsx").exists()
