@@ -63,8 +63,11 @@ def drop(df: DataFrame) -> None:
 
 
 def deals(spark: SparkSession) -> int:
-    """How many buckets rows are dealt to: as many as a shuffle has partitions, or what lacuna.buckets says."""
-    return int(spark.conf.get("lacuna.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    """How many buckets rows are dealt to: as many as a shuffle has partitions, or what lacuna.buckets says. On one machine four for each core are enough."""
+    if own := spark.conf.get("lacuna.buckets", None):
+        return int(own)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(n, 4 * spark.sparkContext.defaultParallelism) if spark.sparkContext.master.startswith("local[") else n
 
 
 def dealt(df: DataFrame, path: str | None = None, by: tuple[str, ...] = DEALT, order: tuple[str, ...] = DEALT) -> DataFrame:
