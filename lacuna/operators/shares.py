@@ -12,14 +12,13 @@ from lacuna.schemas import FINAL_SHARES, MARKET_SHARES
 
 def market_shares(pairs: DataFrame, inn_names: DataFrame) -> DataFrame:
     """pairs: substitute_pairs; inn_names: INN_ID, INN_NAME. Ranks come before rounding, ties by INN and substitute."""
-    named = pairs.join(inn_names, "INN_ID", "left").withColumn("INN_NAME", F.coalesce("INN_NAME", F.lit("")))
     keys = {"TARGET_DRUGS_ID": "STOCKOUT_DRUG_ID", "TARGET_DRUGS_NAME": "STOCKOUT_DRUG_NAME", "TARGET_NFC1_ID": "STOCKOUT_NFC1_ID", "SUBSTITUTE_DRUGS_ID": "SUBSTITUTE_DRUG_ID", "SUBSTITUTE_DRUGS_NAME": "SUBSTITUTE_DRUG_NAME"}
-    named = named.withColumnsRenamed(keys)
-    sums = named.groupBy("CLIENT_ID", "INN_ID", "INN_NAME", *keys.values(), "SUBSTITUTE_NFC1_ID", "SAME_NFC1").agg(F.sum("LIFT").alias("TOTAL_LIFT"), F.count("EVENT_ID").alias("EVENTS_COUNT")).where("TOTAL_LIFT > 0")
+    sums = pairs.withColumnsRenamed(keys).groupBy("CLIENT_ID", "INN_ID", *keys.values(), "SUBSTITUTE_NFC1_ID", "SAME_NFC1").agg(F.sum("LIFT").alias("TOTAL_LIFT"), F.count("EVENT_ID").alias("EVENTS_COUNT")).where("TOTAL_LIFT > 0")
     drug = Window.partitionBy("CLIENT_ID", "STOCKOUT_DRUG_ID")
     shared = sums.withColumn("INTERNAL_LIFT", F.sum("TOTAL_LIFT").over(drug)).withColumn("share", F.try_divide("TOTAL_LIFT", "INTERNAL_LIFT"))
     ranked = shared.withColumn("SUBSTITUTE_RANK", F.row_number().over(drug.orderBy(F.desc(rounded(F.col("share"), 12)), "INN_ID", "SUBSTITUTE_DRUG_ID")))
-    return ranked.withColumns({"TOTAL_LIFT": rounded(F.col("TOTAL_LIFT"), 4), "INTERNAL_LIFT": rounded(F.col("INTERNAL_LIFT"), 4), "SUBSTITUTE_SHARE": rounded(F.col("share"), 6)}).select(*MARKET_SHARES)
+    named = ranked.join(inn_names, "INN_ID", "left").withColumn("INN_NAME", F.coalesce("INN_NAME", F.lit("")))  # sums only, not their pairs, are named
+    return named.withColumns({"TOTAL_LIFT": rounded(F.col("TOTAL_LIFT"), 4), "INTERNAL_LIFT": rounded(F.col("INTERNAL_LIFT"), 4), "SUBSTITUTE_SHARE": rounded(F.col("share"), 6)}).select(*MARKET_SHARES)
 
 
 def share_sums(shares: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lacuna.functions.scalars import monday
+from lacuna.sources.markets import rule_table
 
 #: Forms that count as one group; all others stand alone.
 FORM_GROUPS = (("F0", "solid", False), ("F1", "solid", False))
@@ -42,5 +43,5 @@ def competitors(sold: DataFrame) -> DataFrame:
 
 
 def forms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FORM_GROUPS), "form string, group string, excluded boolean")
+    return rule_table(spark, FORM_GROUPS)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import json
 import logging
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime
 from functools import reduce
 
@@ -191,19 +191,24 @@ COMMENT = "Master data: NFC1 categories registry. Accumulating across runs."
 REGISTRY = "metadata struct<first_discovered_at:string,last_discovered_at:string,last_run_files_scanned:long,version:string>, all_categories array<string>, categories_history map<string,string>, compatibility_groups array<struct<name:string,description:string,members:array<string>>>, excluded array<string>"
 
 
+def rule_table(spark: SparkSession, rows: Iterable[tuple[str, str | None, bool]]) -> DataFrame:
+    """Rules (form, group, excluded) as a table whose size Spark knows from the start: a join with it is a broadcast within Spark's own limit, so rows
+    dealt out by market and INN stay where they are and are never dealt out by a few forms."""
+    columns = list(zip(*rows, strict=True)) or [()] * 3
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.bool_()), strict=True)], names=["form", "group", "excluded"]))
+
+
 def form_rules(spark: SparkSession, path: str | None) -> DataFrame:
-    """(form, group, excluded) of a registry file; none without a file (with a warning if one was named), so that forms match exactly."""
-    empty = spark.createDataFrame([], "form string, group string, excluded boolean")
-    if path is None:
-        return empty
-    if not exists(spark, path):
-        log.warning("no form registry at %s: forms match exactly", path)
-        return empty
+    """rule_table of a registry file; empty without a file (with a warning if one was named), so that forms match exactly."""
+    if path is None or not exists(spark, path):
+        if path is not None:
+            log.warning("no form registry at %s: forms match exactly", path)
+        return rule_table(spark, [])
     one = spark.read.schema(REGISTRY).json(path, multiLine=True)
     groups = one.select(F.explode("compatibility_groups").alias("g")).select(F.explode("g.members").alias("form"), F.col("g.name").alias("group"), F.lit(False).alias("excluded"))
     out = one.select(F.explode("excluded").alias("form"), F.lit(None).cast("string").alias("group"), F.lit(True).alias("excluded"))
-    every = empty.unionByName(groups).unionByName(out)
-    return every.groupBy("form").agg(F.min("group").alias("group"), F.max("excluded").alias("excluded"))
+    every = groups.unionByName(out).groupBy("form").agg(F.min("group").alias("group"), F.max("excluded").alias("excluded"))
+    return rule_table(spark, map(tuple, every.collect()))  # what one file names, read as one record
 
 
 def merged_registry(old: dict | None, forms: list[str], scanned: int, now: str | None = None) -> dict:

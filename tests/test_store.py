@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_files import P, market_file, raw, rows_of  # noqa: F401 (raw is a fixture)
 
-from lacuna.operators import stockouts
+from lacuna.operators import did, stockouts
 from lacuna.plans import run as R
 from lacuna.plans import store
 from lacuna.schemas import RAW_REQUIRED
 from lacuna.sources import markets
+from lacuna.sources.files import write_text
 
 
 def test_a_forced_run_that_breaks_off_leaves_the_old_version(spark, raw, tmp_path, monkeypatch):  # noqa: F811
@@ -161,7 +162,7 @@ def test_a_stream_drops_partitions_of_markets_without_series(spark, tmp_path):
     assert seen() == {2: 19}
 
 
-def test_stages_shuffle_by_market_and_inn_once(spark):
+def test_stages_shuffle_by_market_and_inn_once(spark, tmp_path):
     from lacuna.plans import queries
 
     s = queries.stages(spark, "/root/testdata/sf0.001")
@@ -173,6 +174,16 @@ def test_stages_shuffle_by_market_and_inn_once(spark):
         assert not by_inn(getattr(s, name)), name
     for df in (stockouts.islands(tables["aggregated"]), tables["islands"].join(tables["pairs"], ["CLIENT_ID", "INN_ID"])):
         assert "Exchange hashpartitioning" not in plan(df.hint("merge"))
+    registry = f"file:{tmp_path}/registry.json"
+    write_text(spark, registry, json.dumps({"compatibility_groups": [{"name": "solid", "description": "", "members": ["F0", "F1"]}], "excluded": ["F9"]}))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")  # of these tables only the rules are smaller
+    try:
+        for rules in (s.forms, markets.form_rules(spark, registry), markets.form_rules(spark, None)):  # pairs are dealt out neither by form nor anew
+            made = plan(did.candidate_pairs(tables["measured"], tables["aggregated"], rules))
+            assert "SortMergeJoin" in made and "Exchange hashpartitioning" not in made
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert not spark.catalog.listTables()
 
 
