@@ -121,7 +121,7 @@ def substitute_shares(spark, d):
 
 
 def checks(spark, d):
-    return stages(spark, d).checks.select("check", "passed")
+    return stages(spark, d).checks
 
 
 def volumes(spark, d) -> DataFrame:

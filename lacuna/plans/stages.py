@@ -81,4 +81,4 @@ class Stages:
 
     @cached_property
     def checks(self) -> DataFrame:
-        return export.validate(self.drug_coefficients, self.final_shares, self.p)
+        return export.every_check(self.drug_coefficients, self.final_shares, self.p)
